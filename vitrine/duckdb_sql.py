@@ -160,3 +160,23 @@ SELECT event_id, coalesce(event_time, ingestion_time) AS event_time, event_time_
 FROM ev""")
 
 ORACLE["event_time_iso"] = with_ev("SELECT event_id, event_time, event_time_iso FROM ev")
+
+TOLERANCE_MS = 3600 * 1000
+_WM = f"""
+wm AS (
+  SELECT *, greatest(0, max(coalesce(event_time, ingestion_time) - {TOLERANCE_MS}) OVER (
+              ORDER BY ingestion_time, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS watermark
+  FROM ev),
+wml AS (SELECT *, coalesce(event_time, ingestion_time) < watermark AS is_late FROM wm)"""
+
+ORACLE["arrival_watermark"] = with_ev(
+    "SELECT event_id, event_type, ingestion_time, event_time, watermark, is_late FROM wml", _WM)
+ORACLE["accepted_events"] = with_ev(f"SELECT {EVENT_COLS} FROM wml WHERE NOT is_late", _WM)
+ORACLE["late_events"] = with_ev(f"SELECT {EVENT_COLS}, watermark FROM wml WHERE is_late", _WM)
+ORACLE["late_rate"] = with_ev("""
+SELECT event_type, CAST(count(*) AS BIGINT) AS total_events,
+       CAST(count(CASE WHEN is_late THEN 1 END) AS BIGINT) AS late_events,
+       CAST(count(CASE WHEN is_simulated_late THEN 1 END) AS BIGINT) AS flagged_late,
+       CAST(count(CASE WHEN is_late AND is_simulated_late THEN 1 END) AS BIGINT) AS flagged_and_late,
+       round(count(CASE WHEN is_late THEN 1 END) / count(*) * 100, 2) AS late_pct
+FROM wml GROUP BY event_type""", _WM)

@@ -16,7 +16,9 @@ from vitrine.functions.columns import iso_utc
 from vitrine.functions.defaults import normalize_defaults
 from vitrine.operators.carts import abandoned_carts
 from vitrine.operators.funnel import cart_subtotal_by_category, filter_event_type, funnel
+from vitrine.operators.lateness import accepted_events, late_events, late_rate, with_arrival_watermark
 from vitrine.operators.logistics import logistics_sla
+from vitrine.schemas import EVENT_COLUMNS
 from vitrine.operators.pairs import click_checkout_pair_count, click_checkout_pairs
 from vitrine.session import ensure_session_settings
 from vitrine.sources.driver_events import read_driver_events
@@ -103,3 +105,29 @@ def q_defaults(spark, sf_dir):
 def q_iso(spark, sf_dir):
     ev = events(spark, sf_dir)
     return ev.select("event_id", "event_time", iso_utc("event_time").alias("event_time_iso"))
+
+
+# ---------------------------------------------------------------- lateness
+def watermarked(spark, sf_dir) -> DataFrame:
+    return with_arrival_watermark(events(spark, sf_dir), TOLERANCE_MS)
+
+
+@register("arrival_watermark")
+def q_arrival_watermark(spark, sf_dir):
+    return watermarked(spark, sf_dir).select(
+        "event_id", "event_type", "ingestion_time", "event_time", "watermark", "is_late")
+
+
+@register("accepted_events")
+def q_accepted(spark, sf_dir):
+    return accepted_events(watermarked(spark, sf_dir)).select(*EVENT_COLUMNS)
+
+
+@register("late_events")
+def q_late(spark, sf_dir):
+    return late_events(watermarked(spark, sf_dir)).select(*EVENT_COLUMNS, "watermark")
+
+
+@register("late_rate")
+def q_late_rate(spark, sf_dir):
+    return late_rate(watermarked(spark, sf_dir))
