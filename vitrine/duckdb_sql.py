@@ -180,3 +180,105 @@ SELECT event_type, CAST(count(*) AS BIGINT) AS total_events,
        CAST(count(CASE WHEN is_late AND is_simulated_late THEN 1 END) AS BIGINT) AS flagged_and_late,
        round(count(CASE WHEN is_late THEN 1 END) / count(*) * 100, 2) AS late_pct
 FROM wml GROUP BY event_type""", _WM)
+
+WINDOW_MS = 24 * 3600 * 1000
+SLIDE_MS = 6 * 3600 * 1000
+HOT = 5
+_WIN = f"""
+acc AS (SELECT * FROM wml WHERE NOT is_late),
+clk AS (SELECT * FROM acc WHERE event_type = 'CLICK'),
+wexp AS (SELECT c.*, (c.event_time // {SLIDE_MS}) * {SLIDE_MS} - i * {SLIDE_MS} AS window_start
+         FROM clk c, unnest(range(0, {WINDOW_MS // SLIDE_MS})) AS r(i)),
+win AS (SELECT window_start, window_start + {WINDOW_MS} AS window_end, product_id,
+               CAST(count(*) AS BIGINT) AS clicks, arg_max(category, event_time) AS category,
+               arg_max(product_name, event_time) AS product_name
+        FROM wexp GROUP BY window_start, product_id),
+cwm AS (SELECT watermark AS close_wm FROM clk ORDER BY ingestion_time DESC, event_id DESC LIMIT 1),
+emitted AS (
+  SELECT win.*, coalesce(window_end <= (SELECT close_wm FROM cwm), false) AS closed,
+         CASE WHEN coalesce(window_end <= (SELECT close_wm FROM cwm), false)
+              THEN coalesce(category, 'Geral') || '#' || product_id
+              ELSE 'FINAL#' || product_id END AS row_key
+  FROM win),
+la AS (
+  SELECT 'LOGISTICS_ALERT#' || lpad(CAST(9999999999999 - event_time AS VARCHAR), 13, '0') || '#' || coalesce(order_id, 'N/A') AS row_key,
+         'LOGISTICS_DELAY' AS alert_type, coalesce(order_id, 'N/A') AS order_id, coalesce(region, 'N/A') AS region,
+         coalesce(carrier, 'Desconhecida') AS carrier, coalesce(delay_minutes, 0) AS delay_minutes,
+         delivery_status, event_time AS timestamp, ingestion_time AS put_seq
+  FROM acc
+  WHERE event_type = 'DELIVERY_UPDATE'
+    AND (coalesce(delivery_status IN ('DELAYED', 'FAILED_ATTEMPT'), false) OR coalesce(delay_minutes, 0) >= 60)),
+ta AS (
+  SELECT 'TRENDING_SURGE#' || lpad(CAST(9999999999999 - window_end AS VARCHAR), 13, '0') || '#' || product_id AS row_key,
+         'TRENDING_PRODUCT_SURGE' AS alert_type, product_id,
+         CASE WHEN closed THEN product_name END AS product_name,
+         CASE WHEN closed THEN coalesce(category, 'Geral') END AS category,
+         clicks AS clicks_in_window, window_start, window_end, window_end AS put_seq
+  FROM emitted WHERE clicks >= {HOT}),
+alerts AS (
+  SELECT row_key, alert_type, order_id, region, carrier, delay_minutes, delivery_status, timestamp,
+         NULL::VARCHAR AS product_id, NULL::VARCHAR AS product_name, NULL::VARCHAR AS category,
+         NULL::BIGINT AS clicks_in_window, NULL::BIGINT AS window_start, NULL::BIGINT AS window_end, put_seq
+  FROM la
+  UNION ALL
+  SELECT row_key, alert_type, NULL, NULL, NULL, NULL, NULL, NULL,
+         product_id, product_name, category, clicks_in_window, window_start, window_end, put_seq
+  FROM ta),
+mputs AS (SELECT row_key, clicks AS clicks_window, window_end AS last_window_end FROM emitted)"""
+
+_ALERT_COLS = ("row_key, alert_type, order_id, region, carrier, delay_minutes, delivery_status, timestamp, "
+               "product_id, product_name, category, clicks_in_window, window_start, window_end")
+
+ORACLE["sliding_clicks"] = with_ev("SELECT window_start, window_end, product_id, clicks FROM win", _WM, _WIN)
+ORACLE["closed_windows"] = with_ev(
+    "SELECT window_start, window_end, product_id, clicks, row_key FROM emitted WHERE closed", _WM, _WIN)
+ORACLE["final_windows"] = with_ev(
+    "SELECT window_start, window_end, product_id, clicks, row_key FROM emitted WHERE NOT closed", _WM, _WIN)
+ORACLE["trending_alerts"] = with_ev(
+    "SELECT row_key, alert_type, product_id, product_name, category, clicks_in_window, window_start, window_end FROM ta",
+    _WM, _WIN)
+ORACLE["logistics_alerts"] = with_ev(
+    "SELECT row_key, alert_type, order_id, region, carrier, delay_minutes, delivery_status, timestamp FROM la",
+    _WM, _WIN)
+ORACLE["alerts_all"] = with_ev(f"SELECT {_ALERT_COLS} FROM alerts", _WM, _WIN)
+ORACLE["alerts_kv"] = with_ev("""
+SELECT row_key, 'info:' || qualifier AS "column", value
+FROM (UNPIVOT (SELECT row_key, alert_type, order_id, region, carrier, CAST(delay_minutes AS VARCHAR) AS delay_minutes,
+                      delivery_status, CAST(timestamp AS VARCHAR) AS timestamp, product_id, product_name, category,
+                      CAST(clicks_in_window AS VARCHAR) AS clicks_in_window, CAST(window_start AS VARCHAR) AS window_start,
+                      CAST(window_end AS VARCHAR) AS window_end FROM alerts)
+      ON COLUMNS(* EXCLUDE (row_key)) INTO NAME qualifier VALUE value)
+WHERE value IS NOT NULL""", _WM, _WIN)
+ORACLE["alerts_json"] = with_ev("""
+SELECT row_key,
+       CASE WHEN alert_type = 'LOGISTICS_DELAY'
+            THEN '{"alert_type":"' || alert_type || '","order_id":"' || order_id || '","region":"' || region
+                 || '","carrier":"' || carrier || '","delay_minutes":' || delay_minutes
+                 || CASE WHEN delivery_status IS NULL THEN '' ELSE ',"delivery_status":"' || delivery_status || '"' END
+                 || ',"timestamp":' || timestamp || '}'
+            ELSE '{"alert_type":"' || alert_type || '","product_id":"' || product_id || '"'
+                 || CASE WHEN product_name IS NULL THEN '' ELSE ',"product_name":"' || product_name || '"' END
+                 || CASE WHEN category IS NULL THEN '' ELSE ',"category":"' || category || '"' END
+                 || ',"clicks_in_window":' || clicks_in_window || ',"window_start":' || window_start
+                 || ',"window_end":' || window_end || '}' END AS payload
+FROM alerts""", _WM, _WIN)
+ORACLE["recent_alerts"] = with_ev(
+    f"SELECT {_ALERT_COLS} FROM alerts WHERE alert_type = 'LOGISTICS_DELAY' ORDER BY row_key LIMIT 20", _WM, _WIN)
+ORACLE["alerts_latest"] = with_ev(f"""
+SELECT {_ALERT_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY put_seq DESC) AS rn FROM alerts) WHERE rn = 1""",
+    _WM, _WIN)
+ORACLE["alerts_versions"] = with_ev(f"""
+SELECT {_ALERT_COLS}, version FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY row_key ORDER BY put_seq DESC) AS INTEGER) AS version FROM alerts)
+WHERE version <= 3""", _WM, _WIN)
+ORACLE["metrics_latest"] = with_ev("""
+SELECT row_key, arg_max(clicks_window, last_window_end) AS clicks_window, max(last_window_end) AS last_window_end
+FROM mputs GROUP BY row_key""", _WM, _WIN)
+ORACLE["metrics_versions"] = with_ev("""
+SELECT row_key, clicks_window, last_window_end, version FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY row_key ORDER BY last_window_end DESC) AS INTEGER) AS version
+  FROM mputs) WHERE version <= 5""", _WM, _WIN)
+ORACLE["metric_lookup"] = with_ev("""
+SELECT row_key, arg_max(clicks_window, last_window_end) AS clicks_window, max(last_window_end) AS last_window_end
+FROM mputs WHERE row_key = 'Casa#P-03' GROUP BY row_key""", _WM, _WIN)

@@ -18,6 +18,9 @@ from vitrine.operators.carts import abandoned_carts
 from vitrine.operators.funnel import cart_subtotal_by_category, filter_event_type, funnel
 from vitrine.operators.lateness import accepted_events, late_events, late_rate, with_arrival_watermark
 from vitrine.operators.logistics import logistics_sla
+from vitrine.operators import alerts as A
+from vitrine.operators import serving as S
+from vitrine.operators.windows import emitted_windows, sliding_click_counts, split_windows
 from vitrine.schemas import EVENT_COLUMNS
 from vitrine.operators.pairs import click_checkout_pair_count, click_checkout_pairs
 from vitrine.session import ensure_session_settings
@@ -131,3 +134,107 @@ def q_late(spark, sf_dir):
 @register("late_rate")
 def q_late_rate(spark, sf_dir):
     return late_rate(watermarked(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- windows, alerts, serving
+def accepted_snapshot(spark, sf_dir) -> DataFrame:
+    """Watermarked events, materialised once below spark.checkpoint.dir: the
+    window, close-watermark and alert branches all read it, so the arrival
+    scan (one shuffle) runs once instead of once per branch."""
+    return watermarked(spark, sf_dir).checkpoint(eager=True)
+
+
+def window_counts(wm: DataFrame) -> DataFrame:
+    return sliding_click_counts(accepted_events(wm), WINDOW_MS, SLIDE_MS)
+
+
+def emitted(wm: DataFrame) -> DataFrame:
+    return emitted_windows(window_counts(wm), wm)
+
+
+def alert_changelog(wm: DataFrame) -> DataFrame:
+    return A.all_alerts(A.logistics_alerts(accepted_events(wm)),
+                        A.trending_alerts(emitted(wm), HOT_THRESHOLD))
+
+
+WINDOW_OUT = ["window_start", "window_end", "product_id", "clicks"]
+
+
+@register("sliding_clicks")
+def q_sliding(spark, sf_dir):
+    return window_counts(watermarked(spark, sf_dir)).select(*WINDOW_OUT)
+
+
+@register("closed_windows")
+def q_closed(spark, sf_dir):
+    wm = accepted_snapshot(spark, sf_dir)
+    closed, _ = split_windows(window_counts(wm), wm)
+    return closed.select(*WINDOW_OUT, "row_key")
+
+
+@register("final_windows")
+def q_final(spark, sf_dir):
+    wm = accepted_snapshot(spark, sf_dir)
+    _, final = split_windows(window_counts(wm), wm)
+    return final.select(*WINDOW_OUT, "row_key")
+
+
+@register("trending_alerts")
+def q_trending(spark, sf_dir):
+    wm = accepted_snapshot(spark, sf_dir)
+    return A.trending_alerts(emitted(wm), HOT_THRESHOLD).drop("put_seq")
+
+
+@register("logistics_alerts")
+def q_logistics_alerts(spark, sf_dir):
+    return A.logistics_alerts(accepted_events(watermarked(spark, sf_dir))).drop("put_seq")
+
+
+@register("alerts_all")
+def q_alerts_all(spark, sf_dir):
+    return alert_changelog(accepted_snapshot(spark, sf_dir)).drop("put_seq")
+
+
+@register("alerts_kv")
+def q_alerts_kv(spark, sf_dir):
+    return A.alerts_kv(alert_changelog(accepted_snapshot(spark, sf_dir)))
+
+
+@register("alerts_json")
+def q_alerts_json(spark, sf_dir):
+    return A.alerts_json(alert_changelog(accepted_snapshot(spark, sf_dir)))
+
+
+@register("recent_alerts")
+def q_recent_alerts(spark, sf_dir):
+    alerts = alert_changelog(accepted_snapshot(spark, sf_dir)).drop("put_seq")
+    return A.recent_alerts(alerts, C.LOGISTICS_ALERT_TYPE, RECENT_ALERTS_N)
+
+
+@register("alerts_latest")
+def q_alerts_latest(spark, sf_dir):
+    return S.alerts_latest(alert_changelog(accepted_snapshot(spark, sf_dir)))
+
+
+@register("alerts_versions")
+def q_alerts_versions(spark, sf_dir):
+    return S.alerts_versions(alert_changelog(accepted_snapshot(spark, sf_dir)))
+
+
+def metric_puts(spark, sf_dir) -> DataFrame:
+    return S.metric_puts(emitted(accepted_snapshot(spark, sf_dir)))
+
+
+@register("metrics_latest")
+def q_metrics_latest(spark, sf_dir):
+    return S.metrics_latest(metric_puts(spark, sf_dir))
+
+
+@register("metrics_versions")
+def q_metrics_versions(spark, sf_dir):
+    return S.metrics_versions(metric_puts(spark, sf_dir))
+
+
+@register("metric_lookup")
+def q_metric_lookup(spark, sf_dir):
+    return S.lookup(S.metrics_latest(metric_puts(spark, sf_dir)), LOOKUP_METRIC_KEY)
