@@ -282,3 +282,58 @@ SELECT row_key, clicks_window, last_window_end, version FROM (
 ORACLE["metric_lookup"] = with_ev("""
 SELECT row_key, arg_max(clicks_window, last_window_end) AS clicks_window, max(last_window_end) AS last_window_end
 FROM mputs WHERE row_key = 'Casa#P-03' GROUP BY row_key""", _WM, _WIN)
+
+# ---- JSON sources: the noise lines mixed into the log (same rules as
+# ---- vitrine.sources.driver_events.NOISE_RULES)
+_NOISE = """
+noise AS (
+  SELECT CAST(right(event_id, 2) AS INTEGER) AS d, event_id AS src_id,
+         CASE CAST(right(event_id, 2) AS INTEGER)
+              WHEN 11 THEN 'not json ' || event_id
+              WHEN 22 THEN '[' || CAST(event_time AS VARCHAR) || ']'
+              WHEN 33 THEN 'null'
+              WHEN 44 THEN '{"event_id":"' || event_id || '","delay_minutes":"abc"}'
+              WHEN 55 THEN ''
+              WHEN 66 THEN '[]'
+              WHEN 77 THEN '{}' END AS line
+  FROM ev WHERE CAST(right(event_id, 2) AS INTEGER) IN (11, 22, 33, 44, 55, 66, 77))"""
+
+_NULL_EVENT = ("NULL::VARCHAR, NULL::BIGINT, NULL::VARCHAR, NULL::BIGINT, NULL::BOOLEAN, NULL::VARCHAR, "
+               "NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR, NULL::DOUBLE, "
+               "NULL::INTEGER, NULL::DOUBLE, NULL::VARCHAR, NULL::DOUBLE, NULL::VARCHAR, NULL::VARCHAR, "
+               "NULL::INTEGER, NULL::VARCHAR, NULL::VARCHAR, NULL::DOUBLE, NULL::INTEGER")
+
+ORACLE["scan_raw_json"] = with_ev(f"SELECT {EVENT_COLS} FROM ev")
+_RAW20 = ("event_id, event_time, event_time_iso, ingestion_time, is_simulated_late, event_type, user_id, region, "
+          "product_id, product_name, category, price, quantity, subtotal, order_id, total_amount, payment_method, "
+          "delivery_status, delay_minutes, carrier")
+ORACLE["scan_raw_table"] = with_ev(f"""
+SELECT {_RAW20}, strftime(epoch_ms(ingestion_time), '%Y') AS year, strftime(epoch_ms(ingestion_time), '%m') AS month,
+       strftime(epoch_ms(ingestion_time), '%d') AS day FROM ev""")
+ORACLE["scan_tolerant"] = with_ev(f"""
+SELECT {EVENT_COLS} FROM ev
+UNION ALL SELECT {_NULL_EVENT} FROM noise WHERE d = 77""", _NOISE)
+ORACLE["scan_rejects"] = with_ev("SELECT line FROM noise WHERE d IN (11, 22, 33, 44, 66)", _NOISE)
+ORACLE["parse_json_lines"] = with_ev(f"""
+SELECT {EVENT_COLS}, NULL::VARCHAR AS _corrupt_record FROM ev
+UNION ALL
+SELECT {_NULL_EVENT.replace("NULL::VARCHAR", "CASE WHEN d = 44 THEN src_id END", 1)},
+       CASE WHEN d = 77 THEN NULL ELSE line END
+FROM noise WHERE d <> 55""", _NOISE)
+ORACLE["total_events"] = with_ev("""
+SELECT CAST((SELECT count(*) FROM ev) + count(CASE WHEN d <> 55 THEN 1 END) AS BIGINT) AS total_events,
+       CAST((SELECT count(*) FROM ev) + count(CASE WHEN d = 77 THEN 1 END) AS BIGINT) AS good_events,
+       CAST(count(CASE WHEN d IN (11, 22, 33, 44, 66) THEN 1 END) AS BIGINT) AS rejected_events,
+       CAST(count(CASE WHEN d = 55 THEN 1 END) AS BIGINT) AS blank_lines
+FROM noise""", _NOISE)
+
+# ---- warehouse: what is read back equals the source query
+ORACLE["dw_write_funnel"] = ORACLE["funnel"]
+ORACLE["dw_write_logistics"] = ORACLE["logistics_sla"]
+ORACLE["dw_write_abandoned"] = ORACLE["abandoned_carts"]
+ORACLE["dw_write_path"] = ORACLE["funnel"]
+PRUNED_DT = "2024-01-15"
+ORACLE["dw_read_funnel_dt"] = with_ev(f"""
+SELECT * FROM ({_FUNNEL.format(cat="category", dt="strftime(epoch_ms(event_time), '%Y-%m-%d')",
+                               group="category, strftime(epoch_ms(event_time), '%Y-%m-%d')")})
+WHERE dt = '{PRUNED_DT}'""")

@@ -23,8 +23,10 @@ from vitrine.operators import serving as S
 from vitrine.operators.windows import emitted_windows, sliding_click_counts, split_windows
 from vitrine.schemas import EVENT_COLUMNS
 from vitrine.operators.pairs import click_checkout_pair_count, click_checkout_pairs
-from vitrine.session import ensure_session_settings
-from vitrine.sources.driver_events import read_driver_events
+from vitrine.session import ensure_session_settings, scratch_path
+from vitrine.sinks.warehouse import Warehouse, read_partitioned_path, write_partitioned_path
+from vitrine.sources import json_lines as J
+from vitrine.sources.driver_events import noisy_event_log, read_driver_events
 
 # Run parameters of the registered queries (FIXTURES.md): a fixed run date
 # for the literal ``dt``, and event-time parameters scaled to the driver
@@ -238,3 +240,96 @@ def q_metrics_versions(spark, sf_dir):
 @register("metric_lookup")
 def q_metric_lookup(spark, sf_dir):
     return S.lookup(S.metrics_latest(metric_puts(spark, sf_dir)), LOOKUP_METRIC_KEY)
+
+
+# ---------------------------------------------------------------- JSON sources
+def _write_text(df: DataFrame, path: str) -> str:
+    df.write.mode("overwrite").text(path)
+    return path
+
+
+def clean_log(spark, sf_dir) -> str:
+    """The driver events as a JSON-lines log below spark.checkpoint.dir."""
+    return _write_text(J.to_json_lines(events(spark, sf_dir)), scratch_path(spark, "log"))
+
+
+def noisy_log(spark, sf_dir) -> str:
+    return _write_text(noisy_event_log(events(spark, sf_dir)), scratch_path(spark, "noisy-log"))
+
+
+@register("scan_raw_json")
+def q_scan_raw_json(spark, sf_dir):
+    return J.read_events_json(spark, clean_log(spark, sf_dir))
+
+
+@register("scan_raw_table")
+def q_scan_raw_table(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    layout = J.landing_layout(J.to_json_lines(ev, keep=("ingestion_time",)), "ingestion_time")
+    root = scratch_path(spark, "raw")
+    J.write_landing(layout, root)
+    table = "vitrine_raw_" + root.rsplit("-", 1)[-1]
+    J.create_raw_table(spark, table, root)
+    return spark.table(table)
+
+
+@register("scan_tolerant")
+def q_scan_tolerant(spark, sf_dir):
+    return J.read_tolerant(spark, noisy_log(spark, sf_dir))
+
+
+@register("scan_rejects")
+def q_scan_rejects(spark, sf_dir):
+    return J.read_rejects(spark, noisy_log(spark, sf_dir))
+
+
+@register("parse_json_lines")
+def q_parse_json_lines(spark, sf_dir):
+    parsed = J.parse_json_lines(noisy_event_log(events(spark, sf_dir)))
+    return parsed.drop("_line")
+
+
+@register("total_events")
+def q_total_events(spark, sf_dir):
+    return J.line_counts(spark, noisy_log(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- warehouse
+def warehouse(spark) -> Warehouse:
+    root = scratch_path(spark, "dw")
+    return Warehouse(spark, "vitrine_dw_" + root.rsplit("-", 1)[-1], root).create()
+
+
+@register("dw_write_funnel")
+def q_dw_write_funnel(spark, sf_dir):
+    wh = warehouse(spark)
+    wh.write("dw_sales_funnel_daily", funnel(events(spark, sf_dir), dt=RUN_DT))
+    return wh.read("dw_sales_funnel_daily")
+
+
+@register("dw_write_logistics")
+def q_dw_write_logistics(spark, sf_dir):
+    wh = warehouse(spark)
+    wh.write("dw_logistics_sla_daily", logistics_sla(events(spark, sf_dir), dt=RUN_DT))
+    return wh.read("dw_logistics_sla_daily")
+
+
+@register("dw_write_abandoned")
+def q_dw_write_abandoned(spark, sf_dir):
+    wh = warehouse(spark)
+    wh.write("dw_abandoned_carts_daily", abandoned_carts(events(spark, sf_dir)))
+    return wh.read("dw_abandoned_carts_daily")
+
+
+@register("dw_write_path")
+def q_dw_write_path(spark, sf_dir):
+    path = scratch_path(spark, "dw-path")
+    write_partitioned_path(funnel(events(spark, sf_dir), dt=RUN_DT), "dw_sales_funnel_daily", path)
+    return read_partitioned_path(spark, "dw_sales_funnel_daily", path)
+
+
+@register("dw_read_funnel_dt")
+def q_dw_read_funnel_dt(spark, sf_dir):
+    wh = warehouse(spark)
+    wh.write("dw_sales_funnel_daily", funnel(events(spark, sf_dir), daily=True))
+    return wh.read("dw_sales_funnel_daily", dt=PRUNED_DT)

@@ -31,7 +31,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("WARN")
+    spark.sparkContext.setLogLevel("ERROR")
     ensure_session_settings(spark)
     return spark
 

@@ -92,3 +92,35 @@ def adapt_events(raw: DataFrame) -> DataFrame:
 
 def read_driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapt_events(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+
+
+# --- fixed values: noise lines mixed into the event log for the tolerant
+# --- scan, keyed by the last two digits of the driver event id.
+NOISE_RULES = {
+    11: "not json",            # 'not json <event_id>'
+    22: "array of a number",   # '[<event_time>]'
+    33: "json null",           # 'null'
+    44: "wrong type",          # '{"event_id":"<id>","delay_minutes":"abc"}'
+    55: "blank line",          # ''
+    66: "empty array",         # '[]'
+    77: "empty object",        # '{}'
+}
+
+
+def noisy_event_log(events: DataFrame) -> DataFrame:
+    """The event log as JSON lines plus deterministic malformed / blank /
+    empty lines derived from the events themselves (one extra line for each
+    event whose id ends in a NOISE_RULES key).  Column ``value``."""
+    d = F.pmod(F.col("event_id").cast("long"), F.lit(100))
+    eid, et = F.col("event_id"), F.col("event_time").cast("string")
+    noise = (F.when(d == 11, F.concat(F.lit("not json "), eid))
+             .when(d == 22, F.concat(F.lit("["), et, F.lit("]")))
+             .when(d == 33, F.lit("null"))
+             .when(d == 44, F.concat(F.lit('{"event_id":"'), eid, F.lit('","delay_minutes":"abc"}')))
+             .when(d == 55, F.lit(""))
+             .when(d == 66, F.lit("[]"))
+             .when(d == 77, F.lit("{}")))
+    with_json = events.select(
+        F.to_json(F.struct(*[F.col(c) for c in EVENT_SCHEMA.fieldNames()])).alias("_json"),
+        noise.alias("_noise"))
+    return with_json.select(F.explode(F.array_compact(F.array("_json", "_noise"))).alias("value"))
