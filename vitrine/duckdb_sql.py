@@ -337,3 +337,13 @@ ORACLE["dw_read_funnel_dt"] = with_ev(f"""
 SELECT * FROM ({_FUNNEL.format(cat="category", dt="strftime(epoch_ms(event_time), '%Y-%m-%d')",
                                group="category, strftime(epoch_ms(event_time), '%Y-%m-%d')")})
 WHERE dt = '{PRUNED_DT}'""")
+
+# ---- streaming: equal to the batch results
+ORACLE["land_raw_stream"] = ORACLE["scan_tolerant"]
+ORACLE["fanout_counts"] = with_ev("""
+SELECT c.consumer, t.event_type, CAST(count(*) AS BIGINT) AS events
+FROM (SELECT event_type FROM ev UNION ALL SELECT NULL FROM noise WHERE d = 77) t,
+     (VALUES ('landing'), ('stream')) AS c(consumer)
+GROUP BY c.consumer, t.event_type""", _NOISE)
+ORACLE["stream_once"] = with_ev(
+    "SELECT window_start, window_end, product_id, clicks, row_key FROM emitted", _WM, _WIN)

@@ -114,7 +114,7 @@ def with_arrival_watermark(df: DataFrame, tolerance_ms: int = C.MAX_ALLOWED_DELA
            .withColumn("watermark", F.greatest(start.cast("long"),
                                                F.coalesce(F.col("_prefix"), F.lit(LONG_MIN)),
                                                F.col("_local")))
-           .withColumn("is_late", et < F.col("watermark")))
+           .withColumn("is_late", F.coalesce(et < F.col("watermark"), F.lit(False))))
     return out.drop("_blk", "_cand", "_local", "_prefix")
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vitrine import constants as C
 from vitrine.functions.columns import iso_utc
@@ -27,6 +28,8 @@ from vitrine.session import ensure_session_settings, scratch_path
 from vitrine.sinks.warehouse import Warehouse, read_partitioned_path, write_partitioned_path
 from vitrine.sources import json_lines as J
 from vitrine.sources.driver_events import noisy_event_log, read_driver_events
+from vitrine.streaming import landing as L
+from vitrine.streaming.event_time import EventTimeJob
 
 # Run parameters of the registered queries (FIXTURES.md): a fixed run date
 # for the literal ``dt``, and event-time parameters scaled to the driver
@@ -333,3 +336,72 @@ def q_dw_read_funnel_dt(spark, sf_dir):
     wh = warehouse(spark)
     wh.write("dw_sales_funnel_daily", funnel(events(spark, sf_dir), daily=True))
     return wh.read("dw_sales_funnel_daily", dt=PRUNED_DT)
+
+
+# ---------------------------------------------------------------- streaming
+STREAM_SLICES = 4
+
+
+def arrival_slices(ev: DataFrame, n: int) -> list[DataFrame]:
+    """The events cut into ``n`` consecutive ranges of arrival time, so that
+    writing them one after the other replays the log in arrival order."""
+    qs = ev.approxQuantile("ingestion_time", [i / n for i in range(1, n)], 0.001)
+    bounds = sorted(set(int(q) for q in qs))
+    out, lo = [], None
+    for b in bounds + [None]:
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col("ingestion_time") >= lo)
+        if b is not None:
+            cond = cond & (F.col("ingestion_time") < b)
+        out.append(ev.where(cond))
+        lo = b
+    return out
+
+
+def _await(*queries) -> None:
+    for q in queries:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+
+
+@register("land_raw_stream")
+def q_land_raw_stream(spark, sf_dir):
+    root = scratch_path(spark, "landing")
+    _write_text(noisy_event_log(events(spark, sf_dir)), f"{root}/source")
+    lines = L.line_stream(spark, f"{root}/source")
+    _await(L.start_landing(lines, f"{root}/landing", f"{root}/_chk/landing", once=True))
+    return J.read_tolerant(spark, f"{root}/landing")
+
+
+@register("fanout_counts")
+def q_fanout_counts(spark, sf_dir):
+    root = scratch_path(spark, "fanout")
+    _write_text(noisy_event_log(events(spark, sf_dir)), f"{root}/source")
+    lines = L.line_stream(spark, f"{root}/source")
+    _await(L.start_landing(lines, f"{root}/landing", f"{root}/_chk/landing", once=True),
+           L.start_type_counter(lines, f"{root}/counts", f"{root}/_chk/counts", once=True))
+    landed = (J.read_tolerant(spark, f"{root}/landing").groupBy("event_type")
+              .agg(F.count(F.lit(1)).alias("events")).withColumn("consumer", F.lit("landing")))
+    streamed = (L.read_type_counts(spark, f"{root}/counts").drop("source_stream")
+                .withColumn("consumer", F.lit("stream")))
+    return landed.unionByName(streamed).select("consumer", "event_type", "events")
+
+
+def stream_job(spark, sf_dir, slices: int = STREAM_SLICES) -> EventTimeJob:
+    """Runs the two-stage event-time stream over the log, fed in arrival
+    slices; every slice restarts both queries from their checkpoints."""
+    root = scratch_path(spark, "stream")
+    job = EventTimeJob(spark, root, TOLERANCE_MS, WINDOW_MS, SLIDE_MS, HOT_THRESHOLD)
+    for i, part in enumerate(arrival_slices(events(spark, sf_dir), slices)):
+        _write_text(noisy_event_log(part), f"{root}/source/slice={i}")
+        _await(job.start_accept(L.line_stream(spark, f"{root}/source/*/*.txt"), once=True))
+        _await(job.start_windows(once=True))
+    job.flush()
+    return job
+
+
+@register("stream_once")
+def q_stream_once(spark, sf_dir):
+    return stream_job(spark, sf_dir).windows().select(*WINDOW_OUT, "row_key")
