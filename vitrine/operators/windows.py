@@ -31,17 +31,22 @@ def sliding_click_counts(accepted: DataFrame, size_ms: int = C.WINDOW_SIZE_MS,
                          slide_ms: int = C.WINDOW_SLIDE_MS) -> DataFrame:
     """(window_start, window_end, product_id, clicks, category, product_name).
 
-    ``category``/``product_name`` are the product's own (latest click's), not
-    those of whichever click happened to close the window.
+    ``category``/``product_name`` are the product's own latest in the window,
+    not those of whichever click happened to close the window.  Two steps keep
+    the heavy aggregate a hash aggregate with fixed-width buffers: expanded
+    clicks are first counted per (window, product, category, name) with their
+    latest time; only those few rows reach the ``max_by`` step.
     """
     check_window(size_ms, slide_ms)
     clicks = accepted.where(F.col("event_type") == C.CLICK)
     win = F.window(epoch_ms_to_ts("event_time"), f"{size_ms} milliseconds", f"{slide_ms} milliseconds")
-    return (clicks.select("event_time", "product_id", "category", "product_name")
-            .groupBy(win.alias("w"), "product_id")
-            .agg(F.count(F.lit(1)).alias("clicks"),
-                 F.max_by("category", "event_time").alias("category"),
-                 F.max_by("product_name", "event_time").alias("product_name"))
+    per_attr = (clicks.select("event_time", "product_id", "category", "product_name")
+                .groupBy(win.alias("w"), "product_id", "category", "product_name")
+                .agg(F.count(F.lit(1)).alias("n"), F.max("event_time").alias("last_time")))
+    return (per_attr.groupBy("w", "product_id")
+            .agg(F.sum("n").alias("clicks"),
+                 F.max_by("category", "last_time").alias("category"),
+                 F.max_by("product_name", "last_time").alias("product_name"))
             .select(F.unix_millis(F.col("w.start")).alias("window_start"),
                     F.unix_millis(F.col("w.end")).alias("window_end"),
                     "product_id", "clicks", "category", "product_name"))
@@ -54,20 +59,18 @@ def last_click_watermark(watermarked: DataFrame) -> DataFrame:
             .agg(F.max_by("watermark", F.struct(t, e)).alias("close_wm")))
 
 
-def split_windows(counts: DataFrame, watermarked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(closed, final) windows; each with its metric row key."""
+def emitted_windows(counts: DataFrame, watermarked: DataFrame) -> DataFrame:
+    """Every (window, product) labelled in one pass: ``is_final`` and its
+    metric row key (``category#product`` when closed, ``FINAL#product``)."""
     close_wm = last_click_watermark(watermarked).scalar()
-    closed_flag = F.coalesce(F.col("window_end") <= close_wm, F.lit(False))
+    final = ~F.coalesce(F.col("window_end") <= close_wm, F.lit(False))
     cat = F.coalesce(F.col("category"), F.lit(C.DEFAULT_STREAM_CATEGORY))
-    closed = (counts.where(closed_flag)
-              .withColumn("row_key", row_key(cat, F.col("product_id")))
-              .withColumn("is_final", F.lit(False)))
-    final = (counts.where(~closed_flag)
-             .withColumn("row_key", row_key(F.lit(C.FINAL_METRIC_PREFIX), F.col("product_id")))
-             .withColumn("is_final", F.lit(True)))
-    return closed, final
+    return (counts.withColumn("is_final", final)
+            .withColumn("row_key", F.when(F.col("is_final"), row_key(F.lit(C.FINAL_METRIC_PREFIX), F.col("product_id")))
+                        .otherwise(row_key(cat, F.col("product_id")))))
 
 
-def emitted_windows(counts: DataFrame, watermarked: DataFrame) -> DataFrame:
-    closed, final = split_windows(counts, watermarked)
-    return closed.unionByName(final)
+def split_windows(counts: DataFrame, watermarked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(closed, final) windows."""
+    labelled = emitted_windows(counts, watermarked)
+    return labelled.where(~F.col("is_final")), labelled.where(F.col("is_final"))

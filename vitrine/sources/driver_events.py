@@ -41,9 +41,10 @@ def adapt_events(raw: DataFrame) -> DataFrame:
     is_delivery = etype == "DELIVERY_UPDATE"
     value = F.col("value")
 
-    type_expr = F.lit(None).cast("string")
+    type_expr = None  # one flat CASE, so filters on the mapped type reach the scan
     for src, dst in TYPE_MAP.items():
-        type_expr = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(type_expr)
+        cond = F.col("event_type") == src
+        type_expr = F.when(cond, F.lit(dst)) if type_expr is None else type_expr.when(cond, F.lit(dst))
 
     staged = raw.select(
         F.col("event_id").alias("_eid"),
