@@ -68,3 +68,24 @@ def test_many_blocks_equal_one_block(spark):
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
     plan = many._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(_blk" in plan
+
+
+def test_hot_millisecond_is_split_and_exact(spark):
+    """A third of all arrivals in one millisecond: the bounds split it by
+    event id (vectorised lookup path, > 63 bounds) and results stay exact."""
+    from pyspark.sql import functions as F
+
+    from vitrine.plans.queries import events
+    ev = events(spark, "/root/testdata/sf0.01")
+    hot = ev.withColumn("ingestion_time", F.when(F.col("event_id") < "000000003400", F.lit(1704500000000))
+                        .otherwise(F.col("ingestion_time")))
+    bounds = arrival_block_bounds(hot, rows_per_block=100, max_blocks=100)
+    at_hot = [b for b in bounds if b[0] == 1704500000000]
+    assert len(bounds) > 63 and len(at_hot) >= 20
+    one = with_arrival_watermark(hot, 3_600_000, bounds=[]).select("event_id", "watermark", "is_late")
+    many = with_arrival_watermark(hot, 3_600_000, bounds=bounds).select("event_id", "watermark", "is_late")
+    assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
+    from vitrine.operators.lateness import _searchsorted_block, arrival_key_cols
+    t, e = arrival_key_cols()
+    sizes = [r["count"] for r in hot.groupBy(_searchsorted_block(spark, bounds)(t, e)).count().collect()]
+    assert len(sizes) == len(bounds) + 1 and max(sizes) < 0.05 * hot.count()

@@ -12,8 +12,10 @@ distributed form is a blocked scan:
    Block bounds are quantiles of a bounded sample of (ingestion_time,
    event_id), so a burst of arrivals in one millisecond is still split by
    event id; no block is a hot key.  The block of a row is a pure function
-   of its key (a binary search compiled to a CASE tree), so recomputation
-   after an executor loss gives the same block.
+   of its key, so recomputation after an executor loss gives the same block:
+   a binary search compiled to a CASE tree for few blocks (stays inside
+   whole-stage codegen), an Arrow-batched vectorised ``searchsorted`` over the
+   broadcast bounds for many (two narrow columns in, one int out).
 2. Within a block: running max over a window partitioned by block.
 3. Across blocks: ``max(event_time - tol)`` per block (partial aggregate,
    one row per block), an exclusive prefix max over that small table, and a
@@ -25,6 +27,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +37,10 @@ from vitrine import constants as C
 LONG_MIN = -(2 ** 63)
 ROWS_PER_BLOCK = 1_000_000
 MIN_ROWS_PER_BLOCK = 10_000
-MAX_BLOCKS = 2048
+MAX_BLOCKS = 200_000
 SAMPLE_PER_BLOCK = 40
+MAX_SAMPLE = 2_000_000      # keys collected to the driver, whatever the data size
+TREE_MAX_BOUNDS = 63        # beyond this the CASE tree would leave codegen
 
 
 def arrival_key_cols() -> tuple[Column, Column]:
@@ -57,6 +63,31 @@ def _search_tree(t: Column, e: Column, bounds: list[tuple[int, str]], lo: int, h
             .otherwise(_search_tree(t, e, bounds, mid + 1, hi))
 
 
+def _searchsorted_block(spark, bounds: list[tuple[int, str]]):
+    """Vectorised block lookup for many bounds: number of bounds <= key."""
+    bt = np.array([b[0] for b in bounds], dtype=np.int64)
+    be = np.array([b[1] for b in bounds], dtype=object)
+    shared = spark.sparkContext.broadcast((bt, be))
+
+    @F.pandas_udf("int")
+    def block_of(t: pd.Series, e: pd.Series) -> pd.Series:
+        bt, be = shared.value
+        tv = t.to_numpy(dtype=np.int64)
+        lo = np.searchsorted(bt, tv, side="left")     # bounds with time < t
+        hi = np.searchsorted(bt, tv, side="right")    # bounds with time <= t
+        out = lo.copy()
+        tied = np.nonzero(hi > lo)[0]                 # rows whose time equals a bound's time
+        if tied.size:
+            ev = e.to_numpy(dtype=object)
+            for tval in np.unique(tv[tied]):
+                rows = tied[tv[tied] == tval]
+                a, b = lo[rows[0]], hi[rows[0]]
+                out[rows] = a + np.searchsorted(be[a:b], ev[rows], side="right")
+        return pd.Series(out.astype(np.int32))
+
+    return block_of
+
+
 def arrival_block_bounds(df: DataFrame, rows_per_block: int = ROWS_PER_BLOCK,
                          max_blocks: int = MAX_BLOCKS, seed: int = 17) -> list[tuple[int, str]]:
     """Quantile bounds of the arrival key from a bounded sample.
@@ -70,7 +101,7 @@ def arrival_block_bounds(df: DataFrame, rows_per_block: int = ROWS_PER_BLOCK,
     blocks = max(1, min(max_blocks, wanted))
     if blocks == 1 or n == 0:
         return []
-    frac = min(1.0, blocks * SAMPLE_PER_BLOCK / n)
+    frac = min(1.0, min(blocks * SAMPLE_PER_BLOCK, MAX_SAMPLE) / n)
     t, e = arrival_key_cols()
     sample = sorted(tuple(r) for r in df.select(t.alias("t"), e.alias("e")).sample(False, frac, seed).collect())
     if not sample:
@@ -98,7 +129,12 @@ def with_arrival_watermark(df: DataFrame, tolerance_ms: int = C.MAX_ALLOWED_DELA
         bounds = arrival_block_bounds(df, rows_per_block, max_blocks)
     t, e = arrival_key_cols()
     et = F.coalesce(F.col("event_time"), F.col("ingestion_time"))
-    block = _search_tree(t, e, bounds, 0, len(bounds)) if bounds else F.lit(0)
+    if not bounds:
+        block = F.lit(0)
+    elif len(bounds) <= TREE_MAX_BOUNDS:
+        block = _search_tree(t, e, bounds, 0, len(bounds))
+    else:
+        block = _searchsorted_block(df.sparkSession, bounds)(t, e)
     staged = df.withColumn("_blk", block).withColumn("_cand", et - F.lit(tolerance_ms))
 
     per_block = staged.groupBy("_blk").agg(F.max("_cand").alias("_bmax"))
