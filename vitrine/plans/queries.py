@@ -24,6 +24,7 @@ from vitrine.operators import serving as S
 from vitrine.operators.windows import emitted_windows, sliding_click_counts, split_windows
 from vitrine.schemas import EVENT_COLUMNS
 from vitrine.operators.pairs import click_checkout_pair_count, click_checkout_pairs
+from vitrine.plans.batch_etl import run_daily_etl
 from vitrine.session import ensure_session_settings, scratch_path
 from vitrine.sinks.warehouse import Warehouse, read_partitioned_path, write_partitioned_path
 from vitrine.sources import json_lines as J
@@ -405,3 +406,31 @@ def stream_job(spark, sf_dir, slices: int = STREAM_SLICES) -> EventTimeJob:
 @register("stream_once")
 def q_stream_once(spark, sf_dir):
     return stream_job(spark, sf_dir).windows().select(*WINDOW_OUT, "row_key")
+
+
+# ---------------------------------------------------------------- daily mode, ETL job, stream serving
+@register("funnel_daily")
+def q_funnel_daily(spark, sf_dir):
+    return funnel(events(spark, sf_dir), daily=True)
+
+
+@register("logistics_sla_daily")
+def q_logistics_daily(spark, sf_dir):
+    return logistics_sla(events(spark, sf_dir), daily=True)
+
+
+@register("batch_etl")
+def q_batch_etl(spark, sf_dir):
+    raw = noisy_log(spark, sf_dir)
+    wh = warehouse(spark)
+    return run_daily_etl(spark, raw, scratch_path(spark, "silver"), wh, dt=RUN_DT)
+
+
+@register("stream_alerts_latest")
+def q_stream_alerts_latest(spark, sf_dir):
+    return S.alerts_latest(stream_job(spark, sf_dir).alert_puts())
+
+
+@register("stream_metrics_latest")
+def q_stream_metrics_latest(spark, sf_dir):
+    return S.metrics_latest(stream_job(spark, sf_dir).metric_puts())
