@@ -23,6 +23,27 @@ SESSION_CONF = {
 }
 
 
+def cluster_conf(total_cores: int) -> dict:
+    """Settings for a large cluster (e.g. 1000 executors, 100 TB input).
+
+    Shuffle partitions start high (about 3 per core) and AQE coalesces them to
+    ~256 MB each at run time, so one value fits every stage; scan splits of
+    512 MB keep the task count of a 100 TB scan near 200 000; skewed join
+    partitions are split at run time; window state lives in RocksDB.
+    """
+    return {
+        **SESSION_CONF,
+        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "vitrine", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)

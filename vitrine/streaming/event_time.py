@@ -36,10 +36,11 @@ from vitrine.operators.lateness import arrival_key_cols, with_arrival_watermark
 from vitrine.operators.windows import check_window, sliding_click_counts
 from vitrine.schemas import EVENT_SCHEMA
 from vitrine.sources.json_lines import good_events, parse_json_lines, rejected_lines
-from vitrine.streaming.files import is_complete
+from vitrine.streaming.files import exists, publish
 from vitrine.streaming.landing import trigger_kwargs
 
 ACCEPTED_SCHEMA = T.StructType(EVENT_SCHEMA.fields + [T.StructField("watermark", T.LongType())])
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 WM_STATE_SCHEMA = "wm_end long, click_wm long, batch_id long"
 WINDOW_SCHEMA = ("window_start long, window_end long, product_id string, clicks long, "
                  "category string, product_name string")
@@ -48,11 +49,14 @@ WINDOW_SCHEMA = ("window_start long, window_end long, product_id string, clicks
 class EventTimeJob:
     def __init__(self, spark: SparkSession, root: str, tolerance_ms: int = C.MAX_ALLOWED_DELAY_MS,
                  size_ms: int = C.WINDOW_SIZE_MS, slide_ms: int = C.WINDOW_SLIDE_MS,
-                 threshold: int = C.HOT_PRODUCT_THRESHOLD, rows_per_block: int = 1_000_000):
+                 threshold: int = C.HOT_PRODUCT_THRESHOLD, rows_per_block: int = 1_000_000,
+                 state_store: str | None = ROCKSDB_PROVIDER, fail_after: str | None = None):
         check_window(size_ms, slide_ms)
         self.spark, self.root = spark, root.rstrip("/")
         self.tol, self.size, self.slide, self.threshold = tolerance_ms, size_ms, slide_ms, threshold
         self.rows_per_block = rows_per_block
+        self.state_store = state_store
+        self.fail_after = fail_after          # fault injection for tests
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -62,7 +66,6 @@ class EventTimeJob:
         return self.spark.read.schema(WM_STATE_SCHEMA).parquet(self.path("wm_state"))
 
     def _has_state(self) -> bool:
-        from vitrine.streaming.files import exists
         return exists(self.spark, self.path("wm_state"))
 
     def carried_watermark(self, batch_id: int) -> int:
@@ -82,27 +85,32 @@ class EventTimeJob:
     def accept_batch(self, lines: DataFrame, batch_id: int) -> None:
         out = {name: self.path(name, f"batch_id={batch_id}")
                for name in ("accepted", "late", "rejects", "alert_puts", "wm_state")}
-        if is_complete(self.spark, out["wm_state"]):
+        if exists(self.spark, out["wm_state"]):
             return                                  # replay of a committed batch
+        staging = self.path("_staging")
         parsed = parse_json_lines(lines.select("value")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             carried = self.carried_watermark(batch_id)
             wm = with_arrival_watermark(good_events(parsed), self.tol, carried_watermark=carried,
                                         rows_per_block=self.rows_per_block)
             wm = wm.persist(StorageLevel.MEMORY_AND_DISK)
-            if not is_complete(self.spark, out["accepted"]):
-                wm.where(~F.col("is_late")).drop("is_late").write.mode("overwrite").parquet(out["accepted"])
-                wm.where(F.col("is_late")).drop("is_late").write.mode("overwrite").parquet(out["late"])
-                rejected_lines(parsed).write.mode("overwrite").parquet(out["rejects"])
-                (A.logistics_alerts(wm.where(~F.col("is_late")))
-                 .withColumn("batch_id", F.lit(batch_id).cast("long"))
-                 .write.mode("overwrite").parquet(out["alert_puts"]))
+            # Each output appears atomically and only once; a replay after a
+            # crash between these steps recomputes identical data and skips
+            # what is already published.
+            publish(self.spark, wm.where(~F.col("is_late")).drop("is_late"), out["accepted"], staging)
+            publish(self.spark, wm.where(F.col("is_late")).drop("is_late"), out["late"], staging)
+            publish(self.spark, rejected_lines(parsed), out["rejects"], staging)
+            publish(self.spark, A.logistics_alerts(wm.where(~F.col("is_late")))
+                    .withColumn("batch_id", F.lit(batch_id).cast("long")), out["alert_puts"], staging)
+            if self.fail_after == "publish":
+                raise RuntimeError("injected failure after publishing the batch")
             t, e = arrival_key_cols()
             click = (F.col("event_type") == C.CLICK) & ~F.col("is_late")
-            (wm.agg(F.greatest(F.lit(carried).cast("long"), F.max("watermark")).alias("wm_end"),
-                    F.max_by(F.when(click, F.col("watermark")), F.when(click, F.struct(t, e))).alias("click_wm"))
-             .withColumn("batch_id", F.lit(batch_id).cast("long"))
-             .coalesce(1).write.mode("overwrite").parquet(out["wm_state"]))
+            state = (wm.agg(F.greatest(F.lit(carried).cast("long"), F.max("watermark")).alias("wm_end"),
+                            F.max_by(F.when(click, F.col("watermark")), F.when(click, F.struct(t, e)))
+                            .alias("click_wm"))
+                     .withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(1))
+            publish(self.spark, state, out["wm_state"], staging)   # the batch's commit record
             wm.unpersist()
         finally:
             parsed.unpersist()
@@ -138,6 +146,9 @@ class EventTimeJob:
         labelled.write.mode("overwrite").parquet(target)
 
     def start_windows(self, once: bool = True):
+        if self.state_store:
+            # window state off-heap in RocksDB: state grows with windows x products
+            self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", self.state_store)
         return (self.window_stream().writeStream.outputMode("append").foreachBatch(self.emit_batch)
                 .option("checkpointLocation", self.path("_chk", "windows"))
                 .trigger(**trigger_kwargs(once)).start())
@@ -160,7 +171,6 @@ class EventTimeJob:
     def flush(self) -> None:
         """End of input (T7): windows never emitted natively, plus the held
         ones, labelled closed / FINAL by the final close watermark."""
-        from vitrine.streaming.files import exists
         native = self.native() if exists(self.spark, self.path("native")) else None
         last_end = None
         if native is not None:

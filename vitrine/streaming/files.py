@@ -19,6 +19,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """A Spark file write finished (its ``_SUCCESS`` marker exists)."""
-    return exists(spark, path.rstrip("/") + "/_SUCCESS")
+def publish(spark: SparkSession, df, final_path: str, staging_root: str, fmt: str = "parquet") -> bool:
+    """Write ``df`` aside, then rename it to ``final_path`` in one metadata
+    step, so readers (a downstream file stream) see a batch entirely or not at
+    all.  A path that exists is complete and is never rewritten: returns False.
+    """
+    import uuid
+
+    if exists(spark, final_path):
+        return False
+    staging = f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").format(fmt).save(staging)
+    fs, dst = _fs_path(spark, final_path)
+    fs.mkdirs(dst.getParent())
+    _, src = _fs_path(spark, staging)
+    if not fs.rename(src, dst):
+        if exists(spark, final_path):       # a concurrent attempt published first
+            return False
+        raise IOError(f"could not publish {staging} as {final_path}")
+    return True
