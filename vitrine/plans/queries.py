@@ -25,7 +25,7 @@ from vitrine.operators.windows import emitted_windows, sliding_click_counts, spl
 from vitrine.schemas import EVENT_COLUMNS
 from vitrine.operators.pairs import click_checkout_pair_count, click_checkout_pairs
 from vitrine.plans.batch_etl import run_daily_etl
-from vitrine.session import ensure_session_settings, scratch_path
+from vitrine.session import ensure_session_settings, materialize, scratch_path
 from vitrine.sinks.warehouse import Warehouse, read_partitioned_path, write_partitioned_path
 from vitrine.sources import json_lines as J
 from vitrine.sources.driver_events import noisy_event_log, read_driver_events
@@ -144,10 +144,10 @@ def q_late_rate(spark, sf_dir):
 
 # ---------------------------------------------------------------- windows, alerts, serving
 def accepted_snapshot(spark, sf_dir) -> DataFrame:
-    """Watermarked events, materialised once below spark.checkpoint.dir: the
-    window, close-watermark and alert branches all read it, so the arrival
-    scan (one shuffle) runs once instead of once per branch."""
-    return watermarked(spark, sf_dir).checkpoint(eager=True)
+    """Watermarked events, written once as Parquet below spark.checkpoint.dir:
+    the window, close-watermark and alert branches all read it (each only its
+    columns), so the arrival scan (one shuffle) runs once, not once per branch."""
+    return materialize(watermarked(spark, sf_dir), "watermarked")
 
 
 def window_counts(wm: DataFrame) -> DataFrame:
