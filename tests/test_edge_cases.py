@@ -151,3 +151,38 @@ def test_dw_rerun_is_idempotent_and_pruned(spark, events_of):
     write_partitioned_path(funnel(ev, dt="2024-01-01"), "dw_sales_funnel_daily", path)
     back = read_partitioned_path(spark, "dw_sales_funnel_daily", path)
     assert back.count() == 1 and dict(back.dtypes)["dt"] == "string"
+
+
+def test_dt_defaults_to_today_utc(events_of):
+    from datetime import datetime, timezone
+    ev = events_of([{"event_type": "CLICK", "category": "Casa"}])
+    today = datetime.now(timezone.utc).strftime("%Y-%m-%d")
+    assert funnel(ev).first().dt == today
+    assert logistics_sla(events_of([{"event_type": "DELIVERY_UPDATE", "carrier": "X"}])).first().dt == today
+
+
+def test_running_max_has_no_single_partition_exchange_on_rows(spark):
+    """Only the block table (one row per block) goes through a single
+    partition; the event rows are exchanged by block."""
+    from vitrine.operators.lateness import arrival_block_bounds
+    from vitrine.plans.queries import events
+    ev = events(spark, "/root/testdata/sf0.01")
+    df = with_arrival_watermark(ev, 3_600_000, bounds=arrival_block_bounds(ev, rows_per_block=1000))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert "HashAggregate(keys=[_blk" in lines[i + 1], lines[i + 1]
+    assert "Exchange hashpartitioning(_blk" in plan
+
+
+def test_source_waits_for_path(spark):
+    import threading
+    import time
+
+    from vitrine.streaming.landing import wait_for_path
+    path = scratch_path(spark, "late-source")
+    threading.Timer(1.5, lambda: spark.createDataFrame([("x",)], "value string").write.text(path)).start()
+    t0 = time.monotonic()
+    wait_for_path(spark, path, timeout_s=60, poll_s=0.2)
+    assert time.monotonic() - t0 >= 1.0

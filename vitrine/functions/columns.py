@@ -62,5 +62,14 @@ def non_blank(line: Column | str) -> Column:
     return F.length(F.trim(_col(line))) > 0
 
 
+def run_date(dt: str | None = None) -> str:
+    """The run's ``dt``: the given value, else today's UTC date.
+    Fixed once on the driver so every table of a run carries the same value."""
+    if dt:
+        return dt
+    from datetime import datetime, timezone
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d")
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine import constants as C
-from vitrine.functions.columns import pct, utc_date
+from vitrine.functions.columns import pct, run_date, utc_date
 
 
 def _funnel_aggs() -> list[Column]:
@@ -45,7 +45,7 @@ def funnel(events: DataFrame, dt: str | None = None, daily: bool = False,
            .withColumn("conversion_rate_cart", pct("total_cart_adds", "total_clicks", 0.0))
            .withColumn("conversion_rate_checkout", pct("total_checkouts", "total_clicks", 0.0)))
     if not daily:
-        out = out.withColumn("dt", F.lit(dt))
+        out = out.withColumn("dt", F.lit(run_date(dt)))
     return out.select("category", "total_clicks", "total_cart_adds", "total_checkouts",
                       "conversion_rate_cart", "conversion_rate_checkout", "total_revenue", "dt")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine import constants as C
-from vitrine.functions.columns import pct, utc_date
+from vitrine.functions.columns import pct, run_date, utc_date
 
 
 def logistics_sla(events: DataFrame, dt: str | None = None, daily: bool = False) -> DataFrame:
@@ -30,7 +30,7 @@ def logistics_sla(events: DataFrame, dt: str | None = None, daily: bool = False)
                 F.round(F.avg("delay_minutes"), 1).alias("avg_delay_minutes"))
            .withColumn("sla_percentage", pct("on_time_deliveries", "total_orders", 100.0)))
     if not daily:
-        out = out.withColumn("dt", F.lit(dt))
+        out = out.withColumn("dt", F.lit(run_date(dt)))
     return out.select("carrier", "region", "total_orders", "on_time_deliveries",
                       "delayed_deliveries", "failed_attempts", "sla_percentage",
                       "avg_delay_minutes", "dt")

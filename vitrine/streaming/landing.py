@@ -25,9 +25,25 @@ def trigger_kwargs(once: bool, interval_seconds: int = C.LANDING_ROLL_SECONDS) -
     return {"availableNow": True} if once else {"processingTime": f"{interval_seconds} seconds"}
 
 
-def line_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def wait_for_path(spark: SparkSession, path: str, timeout_s: float, poll_s: float = 1.0) -> None:
+    """Block until ``path`` exists (the source waits for its input, S4)."""
+    import time
+
+    from vitrine.streaming.files import exists
+    deadline = time.monotonic() + timeout_s
+    while not exists(spark, path):
+        if time.monotonic() > deadline:
+            raise TimeoutError(f"{path} did not appear within {timeout_s} s")
+        time.sleep(poll_s)
+
+
+def line_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None,
+                wait_seconds: float | None = None) -> DataFrame:
     """Continuous line source over immutable files; the checkpoint keeps the
-    read position (S4, S5).  Tagged with the source header (S6)."""
+    read position (S4, S5).  Tagged with the source header (S6).
+    ``wait_seconds``: wait that long for a plain (non-glob) source folder."""
+    if wait_seconds and not any(ch in source for ch in "*?["):
+        wait_for_path(spark, source, wait_seconds)
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
