@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine import constants as C
-from vitrine.functions.columns import epoch_ms_to_ts, row_key
+from vitrine.functions.columns import row_key
 from vitrine.operators.lateness import arrival_key_cols
 
 
@@ -31,24 +31,33 @@ def sliding_click_counts(accepted: DataFrame, size_ms: int = C.WINDOW_SIZE_MS,
                          slide_ms: int = C.WINDOW_SLIDE_MS) -> DataFrame:
     """(window_start, window_end, product_id, clicks, category, product_name).
 
-    ``category``/``product_name`` are the product's own latest in the window,
-    not those of whichever click happened to close the window.  Two steps keep
-    the heavy aggregate a hash aggregate with fixed-width buffers: expanded
-    clicks are first counted per (window, product, category, name) with their
-    latest time; only those few rows reach the ``max_by`` step.
+    Epoch-aligned sliding windows ``[start, start + size)``, starts at
+    multiples of the slide — the same windows as ``F.window(ts, size, slide)``.
+    Because the slide divides the size, a window is a union of ``size/slide``
+    slide buckets, so clicks are first counted per (bucket, product) — a hash
+    aggregate with map-side combine over the raw clicks, no expansion — and
+    only those bucket counts are fanned out to the windows that cover them.
+    The expansion grows with buckets x products, not with clicks.
+
+    ``category``/``product_name`` are the product's own latest in the window
+    (not those of whichever click happened to close it).
     """
     check_window(size_ms, slide_ms)
     clicks = accepted.where(F.col("event_type") == C.CLICK)
-    win = F.window(epoch_ms_to_ts("event_time"), f"{size_ms} milliseconds", f"{slide_ms} milliseconds")
-    per_attr = (clicks.select("event_time", "product_id", "category", "product_name")
-                .groupBy(win.alias("w"), "product_id", "category", "product_name")
-                .agg(F.count(F.lit(1)).alias("n"), F.max("event_time").alias("last_time")))
-    return (per_attr.groupBy("w", "product_id")
+    t = F.col("event_time")
+    per_bucket = (clicks.select(t, "product_id", "category", "product_name")
+                  .groupBy((t - F.pmod(t, F.lit(slide_ms))).alias("bucket"),
+                           "product_id", "category", "product_name")
+                  .agg(F.count(F.lit(1)).alias("n"), F.max(t).alias("last_time")))
+    bucket = F.col("bucket")
+    starts = F.sequence(bucket - F.lit(size_ms - slide_ms), bucket, F.lit(slide_ms).cast("long"))
+    fanned = per_bucket.select(F.explode(starts).alias("window_start"),
+                               "product_id", "category", "product_name", "n", "last_time")
+    return (fanned.groupBy("window_start", "product_id")
             .agg(F.sum("n").alias("clicks"),
                  F.max_by("category", "last_time").alias("category"),
                  F.max_by("product_name", "last_time").alias("product_name"))
-            .select(F.unix_millis(F.col("w.start")).alias("window_start"),
-                    F.unix_millis(F.col("w.end")).alias("window_end"),
+            .select("window_start", (F.col("window_start") + F.lit(size_ms)).alias("window_end"),
                     "product_id", "clicks", "category", "product_name"))
 
 
