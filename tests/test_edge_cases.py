@@ -186,3 +186,13 @@ def test_source_waits_for_path(spark):
     t0 = time.monotonic()
     wait_for_path(spark, path, timeout_s=60, poll_s=0.2)
     assert time.monotonic() - t0 >= 1.0
+
+
+def test_changelog_compaction_keeps_n_versions(spark):
+    path, out = scratch_path(spark, "log"), scratch_path(spark, "compacted")
+    spark.createDataFrame([("m", i, i) for i in range(8)] + [("k", 1, 1)],
+                          "row_key string, clicks_window long, put_seq long").write.parquet(path)
+    S.compact(spark, path, out, 5)
+    back = spark.read.parquet(out)
+    assert back.where("row_key = 'm'").count() == 5 and back.where("row_key = 'k'").count() == 1
+    assert sorted(r.put_seq for r in back.where("row_key = 'm'").collect()) == [3, 4, 5, 6, 7]

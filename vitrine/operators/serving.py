@@ -55,3 +55,11 @@ def alerts_versions(alert_puts: DataFrame, n: int = C.ALERT_VERSIONS) -> DataFra
 def lookup(latest: DataFrame, key_value: str, key: str = "row_key") -> DataFrame:
     """Point read by row key on a latest view."""
     return latest.where(F.col(key) == key_value)
+
+
+def compact(spark, changelog_path: str, out_path: str, n: int, key: str = "row_key",
+            seq: str = "put_seq") -> None:
+    """Rewrite a changelog keeping the last ``n`` versions per key (the
+    ordinary batch job that bounds the append-only table)."""
+    log = spark.read.parquet(changelog_path)
+    versions_by_key(log, n, key, seq).drop("version").write.mode("overwrite").parquet(out_path)
