@@ -39,7 +39,7 @@ ROWS_PER_BLOCK = 1_000_000
 MIN_ROWS_PER_BLOCK = 10_000
 MAX_BLOCKS = 200_000
 SAMPLE_PER_BLOCK = 40
-MAX_SAMPLE = 2_000_000      # keys collected to the driver, whatever the data size
+MAX_SAMPLE = 2_000_000      # sampled keys, whatever the data size (stay in Spark)
 TREE_MAX_BOUNDS = 63        # beyond this the CASE tree would leave codegen
 
 
@@ -90,10 +90,11 @@ def _searchsorted_block(spark, bounds: list[tuple[int, str]]):
 
 def arrival_block_bounds(df: DataFrame, rows_per_block: int = ROWS_PER_BLOCK,
                          max_blocks: int = MAX_BLOCKS, seed: int = 17) -> list[tuple[int, str]]:
-    """Quantile bounds of the arrival key from a bounded sample.
+    """Quantile bounds of the arrival key, computed in Spark from a sample.
 
-    Collects at most ``max_blocks * SAMPLE_PER_BLOCK`` keys (two small
-    columns) to the driver, never the data.
+    The sample (at most ``MAX_SAMPLE`` keys, a parameter) is cut into equal
+    tiles by ``ntile`` over its sort order; only the first key of each tile
+    (at most ``max_blocks`` pairs) reaches the driver.
     """
     n = df.count()
     parallelism = df.sparkSession.sparkContext.defaultParallelism
@@ -103,15 +104,11 @@ def arrival_block_bounds(df: DataFrame, rows_per_block: int = ROWS_PER_BLOCK,
         return []
     frac = min(1.0, min(blocks * SAMPLE_PER_BLOCK, MAX_SAMPLE) / n)
     t, e = arrival_key_cols()
-    sample = sorted(tuple(r) for r in df.select(t.alias("t"), e.alias("e")).sample(False, frac, seed).collect())
-    if not sample:
-        return []
-    bounds = []
-    for i in range(1, blocks):
-        b = sample[min(len(sample) - 1, (i * len(sample)) // blocks)]
-        if not bounds or b > bounds[-1]:
-            bounds.append(b)
-    return bounds
+    sample = df.select(t.alias("t"), e.alias("e")).sample(False, frac, seed)
+    tiles = (sample.withColumn("tile", F.ntile(blocks).over(Window.orderBy("t", "e")))
+             .where(F.col("tile") > 1)
+             .groupBy("tile").agg(F.min(F.struct("t", "e")).alias("b")))
+    return sorted({(r.b.t, r.b.e) for r in tiles.collect()})
 
 
 def with_arrival_watermark(df: DataFrame, tolerance_ms: int = C.MAX_ALLOWED_DELAY_MS,
