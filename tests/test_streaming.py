@@ -94,3 +94,24 @@ def test_native_only_mode_keeps_more_late_clicks(spark):
     joined = exact.join(native, ["window_start", "product_id"], "inner")
     assert joined.count() > 0
     assert joined.where(F.col("n") < F.col("e")).count() == 0
+
+
+def test_follow_mode_landing_picks_up_new_files(spark):
+    """Follow-forever mode (processing-time trigger): files that appear later
+    are landed by the running query; the checkpoint keeps the position."""
+    from vitrine.sources import json_lines as J
+    from vitrine.streaming import landing as L
+    root = scratch_path(spark, "follow")
+    spark.createDataFrame([('{"event_id":"1","event_type":"CLICK"}',)], "value string").write.text(f"{root}/src/a")
+    q = L.start_landing(L.line_stream(spark, f"{root}/src/*"), f"{root}/landing", f"{root}/_chk",
+                        once=False, max_records_per_file=1000, interval_seconds=1)
+    try:
+        q.processAllAvailable()
+        spark.createDataFrame([('{"event_id":"2","event_type":"CART_ADD"}',)], "value string").write.text(f"{root}/src/b")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    landed = J.read_tolerant(spark, f"{root}/landing")
+    assert sorted(r.event_id for r in landed.collect()) == ["1", "2"]
+    parts = spark.read.text(f"{root}/landing").columns
+    assert {"year", "month", "day"} <= set(parts)

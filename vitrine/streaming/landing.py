@@ -51,7 +51,8 @@ def line_stream(spark: SparkSession, source: str, max_files_per_trigger: int | N
 
 
 def start_landing(lines: DataFrame, landing_dir: str, checkpoint: str, once: bool = False,
-                  max_records_per_file: int = 0) -> StreamingQuery:
+                  max_records_per_file: int = 0,
+                  interval_seconds: int = C.LANDING_ROLL_SECONDS) -> StreamingQuery:
     """Raw line text to ``landing_dir/year=YYYY/month=MM/day=DD`` (K1, K2)."""
     layout = lines.select("value", *date_parts(F.current_timestamp()))
     writer = (layout.writeStream.format("text").outputMode("append")
@@ -59,7 +60,7 @@ def start_landing(lines: DataFrame, landing_dir: str, checkpoint: str, once: boo
               .partitionBy("year", "month", "day"))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-    return writer.trigger(**trigger_kwargs(once)).start()
+    return writer.trigger(**trigger_kwargs(once, interval_seconds)).start()
 
 
 def start_type_counter(lines: DataFrame, out_dir: str, checkpoint: str, once: bool = False) -> StreamingQuery:
