@@ -39,8 +39,13 @@ class Warehouse:
         ordered = df.select(*DW_COLUMNS[table], "dt")  # insertInto is positional
         writer = ordered.write
         if mode == "overwrite":
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            writer.insertInto(self.name(table), overwrite=True)
+            key = "spark.sql.sources.partitionOverwriteMode"
+            before = self.spark.conf.get(key)
+            self.spark.conf.set(key, "dynamic")      # insertInto reads the session setting
+            try:
+                writer.insertInto(self.name(table), overwrite=True)
+            finally:
+                self.spark.conf.set(key, before)
         elif mode == "append":
             writer.insertInto(self.name(table), overwrite=False)
         else:
