@@ -146,12 +146,20 @@ class EventTimeJob:
         labelled.write.mode("overwrite").parquet(target)
 
     def start_windows(self, once: bool = True):
-        if self.state_store:
-            # window state off-heap in RocksDB: state grows with windows x products
-            self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", self.state_store)
-        return (self.window_stream().writeStream.outputMode("append").foreachBatch(self.emit_batch)
-                .option("checkpointLocation", self.path("_chk", "windows"))
-                .trigger(**trigger_kwargs(once)).start())
+        writer = (self.window_stream().writeStream.outputMode("append").foreachBatch(self.emit_batch)
+                  .option("checkpointLocation", self.path("_chk", "windows"))
+                  .trigger(**trigger_kwargs(once)))
+        if not self.state_store:
+            return writer.start()
+        # window state off-heap in RocksDB (state grows with windows x products);
+        # the provider is fixed in the checkpoint when the query first starts
+        key = "spark.sql.streaming.stateStore.providerClass"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, self.state_store)
+        try:
+            return writer.start()
+        finally:
+            self.spark.conf.set(key, before)
 
     def _label(self, windows: DataFrame, closed) -> DataFrame:
         cat = F.coalesce(F.col("category"), F.lit(C.DEFAULT_STREAM_CATEGORY))
