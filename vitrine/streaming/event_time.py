@@ -115,10 +115,10 @@ class EventTimeJob:
         finally:
             parsed.unpersist()
 
-    def start_accept(self, lines: DataFrame, once: bool = True):
+    def start_accept(self, lines: DataFrame, once: bool = True, interval_seconds: int = 10):
         return (lines.writeStream.foreachBatch(self.accept_batch)
                 .option("checkpointLocation", self.path("_chk", "accept"))
-                .trigger(**trigger_kwargs(once)).start())
+                .trigger(**trigger_kwargs(once, interval_seconds)).start())
 
     # ------------------------------------------------------------ stage B
     def window_stream(self) -> DataFrame:
@@ -145,10 +145,10 @@ class EventTimeJob:
         labelled = self._label(windows, closed).withColumn("batch_id", F.lit(batch_id).cast("long"))
         labelled.write.mode("overwrite").parquet(target)
 
-    def start_windows(self, once: bool = True):
+    def start_windows(self, once: bool = True, interval_seconds: int = 10):
         writer = (self.window_stream().writeStream.outputMode("append").foreachBatch(self.emit_batch)
                   .option("checkpointLocation", self.path("_chk", "windows"))
-                  .trigger(**trigger_kwargs(once)))
+                  .trigger(**trigger_kwargs(once, interval_seconds)))
         if not self.state_store:
             return writer.start()
         # window state off-heap in RocksDB (state grows with windows x products);
