@@ -37,7 +37,7 @@ from vitrine import constants as C
 LONG_MIN = -(2 ** 63)
 ROWS_PER_BLOCK = 1_000_000
 MIN_ROWS_PER_BLOCK = 10_000
-MAX_BLOCKS = 200_000
+MAX_BLOCKS = 500_000
 SAMPLE_PER_BLOCK = 40
 MAX_SAMPLE = 2_000_000      # sampled keys, whatever the data size (stay in Spark)
 TREE_MAX_BOUNDS = 63        # beyond this the CASE tree would leave codegen
@@ -142,7 +142,17 @@ def with_arrival_watermark(df: DataFrame, tolerance_ms: int = C.MAX_ALLOWED_DELA
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     start = F.lit(0) if carried_watermark is None else (
         F.lit(carried_watermark) if isinstance(carried_watermark, int) else carried_watermark)
-    scanned = staged.withColumn("_local", F.max("_cand").over(in_block))
+    # One exchange of the rows on the block id, with an explicit partition
+    # count so AQE does not pack blocks into one task.  Few blocks: range
+    # partitioning, one block per task (its sampling pass is cheap at that
+    # size).  Many blocks: hashed into as many partitions as blocks; blocks
+    # are equal-sized, so a task holds a handful at worst.
+    n_blocks = len(bounds) + 1
+    if n_blocks <= TREE_MAX_BOUNDS + 1:
+        clustered = staged.repartitionByRange(n_blocks, "_blk")
+    else:
+        clustered = staged.repartition(n_blocks, "_blk")
+    scanned = clustered.withColumn("_local", F.max("_cand").over(in_block))
     out = (scanned.join(F.broadcast(prefix), "_blk", "left")
            .withColumn("watermark", F.greatest(start.cast("long"),
                                                F.coalesce(F.col("_prefix"), F.lit(LONG_MIN)),
