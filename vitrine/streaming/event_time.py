@@ -50,12 +50,14 @@ class EventTimeJob:
     def __init__(self, spark: SparkSession, root: str, tolerance_ms: int = C.MAX_ALLOWED_DELAY_MS,
                  size_ms: int = C.WINDOW_SIZE_MS, slide_ms: int = C.WINDOW_SLIDE_MS,
                  threshold: int = C.HOT_PRODUCT_THRESHOLD, rows_per_block: int = 1_000_000,
-                 state_store: str | None = ROCKSDB_PROVIDER, fail_after: str | None = None):
+                 state_store: str | None = ROCKSDB_PROVIDER, state_partitions: int | None = None,
+                 fail_after: str | None = None):
         check_window(size_ms, slide_ms)
         self.spark, self.root = spark, root.rstrip("/")
         self.tol, self.size, self.slide, self.threshold = tolerance_ms, size_ms, slide_ms, threshold
         self.rows_per_block = rows_per_block
         self.state_store = state_store
+        self.state_partitions = state_partitions
         self.fail_after = fail_after          # fault injection for tests
 
     def path(self, *parts: str) -> str:
@@ -146,20 +148,26 @@ class EventTimeJob:
         labelled.write.mode("overwrite").parquet(target)
 
     def start_windows(self, once: bool = True, interval_seconds: int = 10):
+        """Starts the stateful window query.  Its state-store settings are
+        fixed in the checkpoint at the first start: window state in RocksDB
+        (it grows with windows x products) split into ``state_partitions``
+        (default: the cluster's cores), independent of the session's
+        ``spark.sql.shuffle.partitions``."""
         writer = (self.window_stream().writeStream.outputMode("append").foreachBatch(self.emit_batch)
                   .option("checkpointLocation", self.path("_chk", "windows"))
                   .trigger(**trigger_kwargs(once, interval_seconds)))
-        if not self.state_store:
-            return writer.start()
-        # window state off-heap in RocksDB (state grows with windows x products);
-        # the provider is fixed in the checkpoint when the query first starts
-        key = "spark.sql.streaming.stateStore.providerClass"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, self.state_store)
+        scoped = {"spark.sql.shuffle.partitions":
+                  str(self.state_partitions or self.spark.sparkContext.defaultParallelism)}
+        if self.state_store:
+            scoped["spark.sql.streaming.stateStore.providerClass"] = self.state_store
+        before = {k: self.spark.conf.get(k) for k in scoped}
+        for k, v in scoped.items():
+            self.spark.conf.set(k, v)
         try:
             return writer.start()
         finally:
-            self.spark.conf.set(key, before)
+            for k, v in before.items():
+                self.spark.conf.set(k, v)
 
     def _label(self, windows: DataFrame, closed) -> DataFrame:
         cat = F.coalesce(F.col("category"), F.lit(C.DEFAULT_STREAM_CATEGORY))
