@@ -36,7 +36,7 @@ from vitrine.operators.lateness import arrival_key_cols, with_arrival_watermark
 from vitrine.operators.windows import check_window, sliding_click_counts
 from vitrine.schemas import EVENT_SCHEMA
 from vitrine.sources.json_lines import good_events, parse_json_lines, rejected_lines
-from vitrine.streaming.files import exists, publish
+from vitrine.streaming.files import child_names, exists, publish
 from vitrine.streaming.landing import trigger_kwargs
 
 ACCEPTED_SCHEMA = T.StructType(EVENT_SCHEMA.fields + [T.StructField("watermark", T.LongType())])
@@ -70,18 +70,30 @@ class EventTimeJob:
     def _has_state(self) -> bool:
         return exists(self.spark, self.path("wm_state"))
 
+    def _committed_ids(self) -> list[int]:
+        names = child_names(self.spark, self.path("wm_state"))
+        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id="))
+
+    def _last_state(self, before: int | None = None):
+        """The commit row of the latest committed batch (with id < ``before``).
+
+        Rows are cumulative (running max of the watermark, last click
+        watermark so far), so one small file is read per batch, never the
+        whole history: a long-running stream costs a directory listing."""
+        ids = [i for i in self._committed_ids() if before is None or i < before]
+        if not ids:
+            return None
+        return (self.spark.read.schema(WM_STATE_SCHEMA)
+                .parquet(self.path("wm_state", f"batch_id={ids[-1]}")).first())
+
     def carried_watermark(self, batch_id: int) -> int:
-        if not self._has_state():
-            return 0
-        row = self._wm_state().where(F.col("batch_id") < batch_id).agg(F.max("wm_end")).first()
-        return int(row[0]) if row and row[0] is not None else 0
+        row = self._last_state(before=batch_id)
+        return int(row.wm_end) if row is not None and row.wm_end is not None else 0
 
     def close_watermark(self) -> int | None:
         """Watermark right after the last accepted CLICK so far."""
-        if not self._has_state():
-            return None
-        row = self._wm_state().agg(F.max("click_wm")).first()
-        return None if row is None or row[0] is None else int(row[0])
+        row = self._last_state()
+        return None if row is None or row.click_wm is None else int(row.click_wm)
 
     # ------------------------------------------------------------ stage A
     def accept_batch(self, lines: DataFrame, batch_id: int) -> None:
@@ -92,7 +104,9 @@ class EventTimeJob:
         staging = self.path("_staging")
         parsed = parse_json_lines(lines.select("value")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            carried = self.carried_watermark(batch_id)
+            previous = self._last_state(before=batch_id)
+            carried = int(previous.wm_end) if previous is not None and previous.wm_end is not None else 0
+            prev_click = None if previous is None else previous.click_wm
             wm = with_arrival_watermark(good_events(parsed), self.tol, carried_watermark=carried,
                                         rows_per_block=self.rows_per_block)
             wm = wm.persist(StorageLevel.MEMORY_AND_DISK)
@@ -109,8 +123,8 @@ class EventTimeJob:
             t, e = arrival_key_cols()
             click = (F.col("event_type") == C.CLICK) & ~F.col("is_late")
             state = (wm.agg(F.greatest(F.lit(carried).cast("long"), F.max("watermark")).alias("wm_end"),
-                            F.max_by(F.when(click, F.col("watermark")), F.when(click, F.struct(t, e)))
-                            .alias("click_wm"))
+                            F.coalesce(F.max_by(F.when(click, F.col("watermark")), F.when(click, F.struct(t, e))),
+                                       F.lit(prev_click).cast("long")).alias("click_wm"))
                      .withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(1))
             publish(self.spark, state, out["wm_state"], staging)   # the batch's commit record
             wm.unpersist()

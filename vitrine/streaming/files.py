@@ -38,3 +38,11 @@ def publish(spark: SparkSession, df, final_path: str, staging_root: str, fmt: st
             return False
         raise IOError(f"could not publish {staging} as {final_path}")
     return True
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path`` (metadata listing)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]
