@@ -1,8 +1,5 @@
 """Hand-made goldens for the edge cases of FIXTURES.md §3."""
 
-from pyspark.sql import functions as F
-
-from vitrine import constants as C
 from vitrine.operators import alerts as A
 from vitrine.operators import serving as S
 from vitrine.operators.carts import abandoned_carts
