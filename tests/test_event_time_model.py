@@ -89,3 +89,27 @@ def test_hot_millisecond_is_split_and_exact(spark):
     t, e = arrival_key_cols()
     sizes = [r["count"] for r in hot.groupBy(_searchsorted_block(spark, bounds)(t, e)).count().collect()]
     assert len(sizes) == len(bounds) + 1 and max(sizes) < 0.05 * hot.count()
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(event, min_size=3, max_size=40), st.integers(1, 3))
+def test_accept_stage_over_micro_batches_equals_model(spark, raw, cuts):
+    """The streaming accept stage, fed the same arrivals cut into micro-batches
+    (carried watermark between them), accepts exactly what the model accepts."""
+    import json
+
+    from vitrine.session import scratch_path
+    from vitrine.streaming.event_time import EventTimeJob
+    evs = []
+    for i, (t, delay, typ, pid) in enumerate(sorted(raw, key=lambda r: r[0])):
+        evs.append({"event_id": f"{i:06d}", "ingestion_time": 1_000_000 + t, "event_time": 1_000_000 + t - delay,
+                    "event_type": typ, "product_id": pid, "category": "Casa"})
+    exp_acc, _ = model(evs)
+    job = EventTimeJob(spark, scratch_path(spark, "model-stream"), tolerance_ms=TOL, size_ms=SIZE, slide_ms=SLIDE)
+    step = max(1, len(evs) // (cuts + 1))
+    chunks = [evs[i:i + step] for i in range(0, len(evs), step)]
+    for bid, chunk in enumerate(chunks):
+        lines = spark.createDataFrame([(json.dumps(e),) for e in chunk], "value string")
+        job.accept_batch(lines, bid)
+    got = sorted(r.event_id for r in job.accepted().select("event_id").collect())
+    assert got == exp_acc
