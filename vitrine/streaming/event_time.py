@@ -152,14 +152,40 @@ class EventTimeJob:
                         F.unix_millis(F.col("w.end")).alias("window_end"),
                         "product_id", "clicks", "category", "product_name"))
 
+    def _latest_batch_dir(self, name: str, before: int | None = None) -> str | None:
+        ids = sorted(int(n.split("=", 1)[1]) for n in child_names(self.spark, self.path(name))
+                     if n.startswith("batch_id="))
+        ids = [i for i in ids if before is None or i < before]
+        return None if not ids else self.path(name, f"batch_id={ids[-1]}")
+
+    def _pending(self, before: int | None = None) -> DataFrame | None:
+        latest = self._latest_batch_dir("pending", before)
+        return None if latest is None else self.spark.read.schema(WINDOW_SCHEMA).parquet(latest)
+
     def emit_batch(self, windows: DataFrame, batch_id: int) -> None:
-        """Natively closed windows; those already past the last accepted
-        click's watermark become puts now, the rest wait for the flush."""
-        target = self.path("native", f"batch_id={batch_id}")
-        close_wm = self.close_watermark()
-        closed = F.lit(False) if close_wm is None else F.col("window_end") <= F.lit(close_wm)
-        labelled = self._label(windows, closed).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        labelled.write.mode("overwrite").parquet(target)
+        """Windows Spark closed in this micro-batch, plus those still pending
+        from earlier ones.  A window whose end the watermark at the last
+        accepted click has reached is published now (``native/``); the rest
+        stay in the (small) pending set, rewritten per batch, until a later
+        click's watermark passes them or the end-of-input flush."""
+        cols = [f.strip().split(" ")[0] for f in WINDOW_SCHEMA.split(",")]
+        candidates = windows.select(*cols)
+        previous = self._pending(before=batch_id)
+        if previous is not None:
+            candidates = candidates.unionByName(previous)
+        candidates = candidates.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            close_wm = self.close_watermark()
+            closed = F.lit(False) if close_wm is None else F.col("window_end") <= F.lit(close_wm)
+            cat = F.coalesce(F.col("category"), F.lit(C.DEFAULT_STREAM_CATEGORY))
+            (candidates.where(closed)
+             .withColumn("row_key", row_key(cat, F.col("product_id")))
+             .withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").parquet(self.path("native", f"batch_id={batch_id}")))
+            (candidates.where(~closed).coalesce(1)
+             .write.mode("overwrite").parquet(self.path("pending", f"batch_id={batch_id}")))
+        finally:
+            candidates.unpersist()
 
     def start_windows(self, once: bool = True, interval_seconds: int = 10):
         """Starts the stateful window query.  Its state-store settings are
@@ -183,53 +209,48 @@ class EventTimeJob:
             for k, v in before.items():
                 self.spark.conf.set(k, v)
 
-    def _label(self, windows: DataFrame, closed) -> DataFrame:
-        cat = F.coalesce(F.col("category"), F.lit(C.DEFAULT_STREAM_CATEGORY))
-        return windows.select(
-            "window_start", "window_end", "product_id", "clicks", "category", "product_name",
-            F.when(closed, row_key(cat, F.col("product_id"))).alias("row_key"),
-            (~closed).alias("held"))
-
     # ------------------------------------------------------------ flush
     def accepted(self) -> DataFrame:
         return self.spark.read.schema(ACCEPTED_SCHEMA).parquet(self.path("accepted", "*", "*.parquet"))
 
     def native(self) -> DataFrame:
+        """Windows published by the window stage (all closed)."""
         return self.spark.read.schema(
-            WINDOW_SCHEMA + ", row_key string, held boolean, batch_id long").parquet(self.path("native"))
+            WINDOW_SCHEMA + ", row_key string, batch_id long").parquet(self.path("native"))
 
     def flush(self) -> None:
-        """End of input (T7): windows never emitted natively, plus the held
-        ones, labelled closed / FINAL by the final close watermark."""
+        """End of input (T7): the still-pending windows and those Spark never
+        emitted, labelled closed / FINAL by the final close watermark."""
         native = self.native() if exists(self.spark, self.path("native")) else None
+        pending = self._pending()
+        emitted = [d for d in (native, pending) if d is not None]
         last_end = None
-        if native is not None:
-            row = native.agg(F.max("window_end")).first()
-            last_end = None if row[0] is None else int(row[0])
+        if emitted:
+            ends = [d.agg(F.max("window_end")).first()[0] for d in emitted]
+            ends = [int(x) for x in ends if x is not None]
+            last_end = max(ends) if ends else None
         clicks = self.accepted()
         if last_end is not None:
             clicks = clicks.where(F.col("event_time") > F.lit(last_end - self.size))
-        fresh = sliding_click_counts(clicks, self.size, self.slide)
+        rest = sliding_click_counts(clicks, self.size, self.slide)
         if last_end is not None:
-            fresh = fresh.where(F.col("window_end") > F.lit(last_end))
-        pending = fresh
-        if native is not None:
-            pending = pending.unionByName(native.where(F.col("held")).select(*fresh.columns))
+            rest = rest.where(F.col("window_end") > F.lit(last_end))
+        if pending is not None:
+            rest = rest.unionByName(pending.select(*rest.columns))
         close_wm = self.close_watermark()
         closed = F.lit(False) if close_wm is None else F.col("window_end") <= F.lit(close_wm)
         cat = F.coalesce(F.col("category"), F.lit(C.DEFAULT_STREAM_CATEGORY))
-        (pending.select("window_start", "window_end", "product_id", "clicks", "category", "product_name",
-                        F.when(closed, row_key(cat, F.col("product_id")))
-                        .otherwise(row_key(F.lit(C.FINAL_METRIC_PREFIX), F.col("product_id"))).alias("row_key"),
-                        (~closed).alias("is_final"))
+        (rest.select("window_start", "window_end", "product_id", "clicks", "category", "product_name",
+                     F.when(closed, row_key(cat, F.col("product_id")))
+                     .otherwise(row_key(F.lit(C.FINAL_METRIC_PREFIX), F.col("product_id"))).alias("row_key"),
+                     (~closed).alias("is_final"))
          .write.mode("overwrite").parquet(self.path("flushed")))
 
     # ------------------------------------------------------------ results
     def windows(self) -> DataFrame:
         """Every emitted (window, product): natively closed ∪ flushed."""
-        native = (self.native().where(~F.col("held"))
-                  .select("window_start", "window_end", "product_id", "clicks", "category",
-                          "product_name", "row_key", F.lit(False).alias("is_final")))
+        native = self.native().select("window_start", "window_end", "product_id", "clicks", "category",
+                                      "product_name", "row_key", F.lit(False).alias("is_final"))
         flushed = self.spark.read.parquet(self.path("flushed"))
         return native.unionByName(flushed)
 
