@@ -115,12 +115,18 @@ def with_arrival_watermark(df: DataFrame, tolerance_ms: int = C.MAX_ALLOWED_DELA
                            bounds: list[tuple[int, str]] | None = None,
                            rows_per_block: int = ROWS_PER_BLOCK,
                            max_blocks: int = MAX_BLOCKS,
-                           carried_watermark: Column | int | None = None) -> DataFrame:
+                           carried_watermark: Column | int | None = None,
+                           materialize_as: str | None = None) -> DataFrame:
     """Adds ``watermark`` (after this record's update) and ``is_late``.
 
     ``event_time`` NULL falls back to ``ingestion_time`` (deterministic
     replays).  ``carried_watermark`` is the watermark reached by earlier input
     (streaming micro-batches); default 0.
+
+    ``materialize_as``: write the block-scanned rows once as Parquet below
+    ``spark.checkpoint.dir`` and derive the per-block maxima from that table
+    (two columns), instead of a second pass over the input — for callers that
+    read the result several times.
     """
     if bounds is None:
         bounds = arrival_block_bounds(df, rows_per_block, max_blocks)
@@ -134,14 +140,8 @@ def with_arrival_watermark(df: DataFrame, tolerance_ms: int = C.MAX_ALLOWED_DELA
         block = _searchsorted_block(df.sparkSession, bounds)(t, e)
     staged = df.withColumn("_blk", block).withColumn("_cand", et - F.lit(tolerance_ms))
 
-    per_block = staged.groupBy("_blk").agg(F.max("_cand").alias("_bmax"))
-    order_blocks = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_block.select("_blk", F.max("_bmax").over(order_blocks).alias("_prefix"))
-
     in_block = (Window.partitionBy("_blk").orderBy(t, e)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    start = F.lit(0) if carried_watermark is None else (
-        F.lit(carried_watermark) if isinstance(carried_watermark, int) else carried_watermark)
     # One exchange of the rows on the block id, with an explicit partition
     # count so AQE does not pack blocks into one task.  Few blocks: range
     # partitioning, one block per task (its sampling pass is cheap at that
@@ -153,6 +153,18 @@ def with_arrival_watermark(df: DataFrame, tolerance_ms: int = C.MAX_ALLOWED_DELA
     else:
         clustered = staged.repartition(n_blocks, "_blk")
     scanned = clustered.withColumn("_local", F.max("_cand").over(in_block))
+
+    if materialize_as is not None:
+        from vitrine.session import materialize
+        scanned = materialize(scanned, materialize_as)
+        per_block = scanned.groupBy("_blk").agg(F.max("_local").alias("_bmax"))
+    else:
+        per_block = staged.groupBy("_blk").agg(F.max("_cand").alias("_bmax"))
+    order_blocks = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = per_block.select("_blk", F.max("_bmax").over(order_blocks).alias("_prefix"))
+
+    start = F.lit(0) if carried_watermark is None else (
+        F.lit(carried_watermark) if isinstance(carried_watermark, int) else carried_watermark)
     out = (scanned.join(F.broadcast(prefix), "_blk", "left")
            .withColumn("watermark", F.greatest(start.cast("long"),
                                                F.coalesce(F.col("_prefix"), F.lit(LONG_MIN)),

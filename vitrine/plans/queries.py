@@ -25,7 +25,7 @@ from vitrine.operators.pairs import click_checkout_pair_count, click_checkout_pa
 from vitrine.operators.windows import emitted_windows, sliding_click_counts, split_windows
 from vitrine.plans.batch_etl import run_daily_etl
 from vitrine.schemas import EVENT_COLUMNS
-from vitrine.session import ensure_session_settings, materialize, scratch_path
+from vitrine.session import ensure_session_settings, scratch_path
 from vitrine.sinks.warehouse import Warehouse, read_partitioned_path, write_partitioned_path
 from vitrine.sources import json_lines as J
 from vitrine.sources.driver_events import noisy_event_log, read_driver_events
@@ -144,10 +144,11 @@ def q_late_rate(spark, sf_dir):
 
 # ---------------------------------------------------------------- windows, alerts, serving
 def accepted_snapshot(spark, sf_dir) -> DataFrame:
-    """Watermarked events, written once as Parquet below spark.checkpoint.dir:
-    the window, close-watermark and alert branches all read it (each only its
-    columns), so the arrival scan (one shuffle) runs once, not once per branch."""
-    return materialize(watermarked(spark, sf_dir), "watermarked")
+    """Watermarked events for queries with several branches (windows, close
+    watermark, alerts): the block-scanned rows are written once as Parquet
+    below spark.checkpoint.dir, so the input is scanned and shuffled once and
+    every branch reads back only its columns."""
+    return with_arrival_watermark(events(spark, sf_dir), TOLERANCE_MS, materialize_as="watermarked")
 
 
 def window_counts(wm: DataFrame) -> DataFrame:
