@@ -26,19 +26,26 @@ from vitrine.sinks.warehouse import Warehouse
 from vitrine.sources.json_lines import parse_json_lines, read_lines
 
 
-def write_silver(spark: SparkSession, raw_path: str, silver_path: str) -> None:
+def write_silver(spark: SparkSession, raw_path: str, silver_path: str) -> dict:
     """Parse once, write once: ``silver_path/quality=good/event_date=…`` holds
     the events, ``quality=rejected`` the malformed lines (``_line`` is kept only
-    for those, so it costs nothing on good rows)."""
+    for those, so it costs nothing on good rows).  Returns the loaded-record
+    counters (Q1), observed during that same write — no extra pass."""
+    from pyspark.sql import Observation
+
     parsed = parse_json_lines(read_lines(spark, raw_path))
     bad = F.col(CORRUPT_COLUMN).isNotNull()
+    counters = Observation("silver")
     (parsed.select(*EVENT_COLUMNS,
                    F.when(bad, F.col("_line")).alias("line"),
                    F.when(bad, "rejected").otherwise("good").alias("quality"),
                    F.when(bad, "unknown").otherwise(
                        F.coalesce(utc_date("event_time"), F.lit("unknown"))).alias("event_date"))
+     .observe(counters, F.count(F.when(F.col("quality") == "good", 1)).alias("silver_events"),
+              F.count(F.when(F.col("quality") == "rejected", 1)).alias("rejects"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("quality", "event_date").parquet(silver_path))
+    return counters.get
 
 
 def _silver(spark: SparkSession, silver_path: str) -> DataFrame:
@@ -65,16 +72,16 @@ def run_daily_etl(spark: SparkSession, raw_path: str, silver_path: str, wh: Ware
     ``dt``.  ``daily``: funnel and SLA grouped by UTC event date.
     Abandoned carts are always per event date (their definition).
     """
-    write_silver(spark, raw_path, silver_path)
+    loaded = write_silver(spark, raw_path, silver_path)
     silver = read_silver(spark, silver_path)
     wh.write("dw_sales_funnel_daily", funnel(silver, dt=dt, daily=daily))
     wh.write("dw_logistics_sla_daily", logistics_sla(silver, dt=dt, daily=daily))
     wh.write("dw_abandoned_carts_daily", abandoned_carts(silver))
-    counts = [wh.read(t).select(F.lit(t).alias("table")) for t in
+    tables = [wh.read(t).select(F.lit(t).alias("table")) for t in
               ("dw_sales_funnel_daily", "dw_logistics_sla_daily", "dw_abandoned_carts_daily")]
-    counts.append(silver.select(F.lit("silver_events").alias("table")))
-    counts.append(read_rejects(spark, silver_path).select(F.lit("rejects").alias("table")))
-    out = counts[0]
-    for c in counts[1:]:
+    out = tables[0]
+    for c in tables[1:]:
         out = out.unionByName(c)
-    return out.groupBy("table").agg(F.count(F.lit(1)).alias("rows"))
+    written = out.groupBy("table").agg(F.count(F.lit(1)).alias("rows"))
+    observed = spark.createDataFrame([(k, int(v)) for k, v in loaded.items()], "table string, rows long")
+    return written.unionByName(observed)
