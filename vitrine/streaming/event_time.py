@@ -290,3 +290,14 @@ def start_native_only(spark: SparkSession, lines: DataFrame, out_dir: str, check
 
     return (counts.writeStream.outputMode("append").foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint).trigger(**trigger_kwargs(once)).start())
+
+
+def rows_dropped_by_watermark(query) -> int:
+    """Late-row counter of a native-watermark query (T9): rows its stateful
+    operators dropped as too late, summed over the retained progress reports."""
+    total = 0
+    for progress in query.recentProgress:
+        for op in progress.get("stateOperators", []) if isinstance(progress, dict) else progress.stateOperators:
+            value = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
+            total += int(value or 0)
+    return total
