@@ -31,6 +31,7 @@ from vitrine.sources import json_lines as J
 from vitrine.sources.driver_events import noisy_event_log, read_driver_events
 from vitrine.streaming import landing as L
 from vitrine.streaming.event_time import EventTimeJob
+from vitrine.streaming.files import publish
 
 # Run parameters of the registered queries (FIXTURES.md): a fixed run date
 # for the literal ``dt``, and event-time parameters scaled to the driver
@@ -392,14 +393,32 @@ def q_fanout_counts(spark, sf_dir):
 
 
 def stream_job(spark, sf_dir, slices: int = STREAM_SLICES) -> EventTimeJob:
-    """Runs the two-stage event-time stream over the log, fed in arrival
-    slices; every slice restarts both queries from their checkpoints."""
+    """Runs the two-stage event-time stream over the log while it arrives:
+    both stages run continuously; the log is published in arrival slices
+    (each written aside and renamed into the source folder, so a slice is one
+    micro-batch); then end of input and the flush."""
     root = scratch_path(spark, "stream")
     job = EventTimeJob(spark, root, TOLERANCE_MS, WINDOW_MS, SLIDE_MS, HOT_THRESHOLD)
-    for i, part in enumerate(arrival_slices(events(spark, sf_dir), slices)):
-        _write_text(noisy_event_log(part), f"{root}/source/slice={i}")
-        _await(job.start_accept(L.line_stream(spark, f"{root}/source/*/*.txt"), once=True))
-        _await(job.start_windows(once=True))
+    parts = arrival_slices(events(spark, sf_dir), slices)
+
+    def arrive(i: int) -> None:
+        publish(spark, noisy_event_log(parts[i]), f"{root}/source/slice={i}", f"{root}/_staging", fmt="text")
+
+    arrive(0)
+    accept = job.start_accept(L.line_stream(spark, f"{root}/source/*/*.txt"), once=False, interval_seconds=0)
+    windows = job.start_windows(once=False, interval_seconds=0)
+    try:
+        accept.processAllAvailable()
+        for i in range(1, len(parts)):
+            arrive(i)
+            accept.processAllAvailable()
+        windows.processAllAvailable()
+    finally:
+        accept.stop()
+        windows.stop()
+    for q in (accept, windows):
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
     job.flush()
     return job
 
