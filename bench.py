@@ -38,9 +38,12 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="vitrine-bench",
                           extra={"spark.driver.memory": "8g"})
     run(spark, "funnel", sf_dir)  # warm-up: JVM, codegen caches
-    times = {}
+    times, errors = {}, {}
     for name in names:
-        times[name] = round(min(run(spark, name, sf_dir) for _ in range(repeats)), 3)
+        try:
+            times[name] = round(min(run(spark, name, sf_dir) for _ in range(repeats)), 3)
+        except Exception as exc:  # noqa: BLE001 - report and keep measuring the others
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total_wall",
@@ -50,6 +53,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "repeats": repeats,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
