@@ -49,7 +49,7 @@ def test_carried_watermark_is_per_batch(spark):
     job.accept_batch(a, 0)
     job.accept_batch(b, 1)
     assert job.carried_watermark(1) == 90
-    late = spark.read.parquet(job.path("late")).select("event_id").collect()
+    late = job.late().select("event_id").collect()
     assert [r.event_id for r in late] == ["b"]
 
 
@@ -92,7 +92,7 @@ def test_native_only_mode_keeps_more_late_clicks(spark):
         q = start_native_only(spark, lines, out, chk, Q.TOLERANCE_MS, Q.WINDOW_MS, Q.SLIDE_MS)
         Q._await(q)
         dropped += rows_dropped_by_watermark(q)
-    late_exact = spark.read.parquet(job.path("late")).where("event_type = 'CLICK'").count()
+    late_exact = job.late().where("event_type = 'CLICK'").count()
     assert 0 <= dropped <= late_exact                      # native drops fewer late clicks
     native = spark.read.parquet(out).groupBy("window_start", "product_id").agg(F.sum("clicks").alias("n"))
     exact = job.windows().select("window_start", "product_id", F.col("clicks").alias("e"))

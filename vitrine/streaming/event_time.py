@@ -98,7 +98,7 @@ class EventTimeJob:
     # ------------------------------------------------------------ stage A
     def accept_batch(self, lines: DataFrame, batch_id: int) -> None:
         out = {name: self.path(name, f"batch_id={batch_id}")
-               for name in ("accepted", "late", "rejects", "alert_puts", "wm_state")}
+               for name in ("checked", "rejects", "alert_puts", "wm_state")}
         if exists(self.spark, out["wm_state"]):
             return                                  # replay of a committed batch
         staging = self.path("_staging")
@@ -112,9 +112,9 @@ class EventTimeJob:
             wm = wm.persist(StorageLevel.MEMORY_AND_DISK)
             # Each output appears atomically and only once; a replay after a
             # crash between these steps recomputes identical data and skips
-            # what is already published.
-            publish(self.spark, wm.where(~F.col("is_late")).drop("is_late"), out["accepted"], staging)
-            publish(self.spark, wm.where(F.col("is_late")).drop("is_late"), out["late"], staging)
+            # what is already published.  Accepted and late rows go out in one
+            # write: checked/batch_id=N/is_late=false|true.
+            publish(self.spark, wm, out["checked"], staging, partition_by=("is_late",))
             publish(self.spark, rejected_lines(parsed), out["rejects"], staging)
             publish(self.spark, A.logistics_alerts(wm.where(~F.col("is_late")))
                     .withColumn("batch_id", F.lit(batch_id).cast("long")), out["alert_puts"], staging)
@@ -139,7 +139,7 @@ class EventTimeJob:
     # ------------------------------------------------------------ stage B
     def window_stream(self) -> DataFrame:
         acc = (self.spark.readStream.schema(ACCEPTED_SCHEMA)
-               .parquet(self.path("accepted", "*", "*.parquet"))
+               .parquet(self.path("checked", "*", "is_late=false", "*.parquet"))
                .withColumn("ts", epoch_ms_to_ts("event_time"))
                .withWatermark("ts", f"{self.tol} milliseconds"))
         win = F.window("ts", f"{self.size} milliseconds", f"{self.slide} milliseconds")
@@ -211,7 +211,11 @@ class EventTimeJob:
 
     # ------------------------------------------------------------ flush
     def accepted(self) -> DataFrame:
-        return self.spark.read.schema(ACCEPTED_SCHEMA).parquet(self.path("accepted", "*", "*.parquet"))
+        return self.spark.read.schema(ACCEPTED_SCHEMA).parquet(self.path("checked", "*", "is_late=false", "*.parquet"))
+
+    def late(self) -> DataFrame:
+        """Late events of every batch (the side output of the late filter)."""
+        return self.spark.read.schema(ACCEPTED_SCHEMA).parquet(self.path("checked", "*", "is_late=true", "*.parquet"))
 
     def native(self) -> DataFrame:
         """Windows published by the window stage (all closed)."""

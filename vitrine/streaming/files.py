@@ -19,7 +19,8 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def publish(spark: SparkSession, df, final_path: str, staging_root: str, fmt: str = "parquet") -> bool:
+def publish(spark: SparkSession, df, final_path: str, staging_root: str, fmt: str = "parquet",
+            partition_by: tuple[str, ...] = ()) -> bool:
     """Write ``df`` aside, then rename it to ``final_path`` in one metadata
     step, so readers (a downstream file stream) see a batch entirely or not at
     all.  A path that exists is complete and is never rewritten: returns False.
@@ -29,7 +30,10 @@ def publish(spark: SparkSession, df, final_path: str, staging_root: str, fmt: st
     if exists(spark, final_path):
         return False
     staging = f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").format(fmt).save(staging)
+    writer = df.write.mode("overwrite").format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(staging)
     fs, dst = _fs_path(spark, final_path)
     fs.mkdirs(dst.getParent())
     _, src = _fs_path(spark, staging)
