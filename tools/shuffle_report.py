@@ -63,8 +63,8 @@ def main() -> None:
     print(f"# Read vs shuffled per query at `{sf_dir}` (from the event log; `tools/shuffle_report.py`)\n")
     print("Includes every job a query runs (sampling, writes of sinks and snapshots).  At this size AQE")
     print("coalesces ordinary shuffles toward 64 MB partitions, so one task may read a whole small shuffle;")
-    print("that is packing, not skew.  The watermark's row exchange is the one with an explicit partition count.
-Streaming micro-batches run on the streams' own threads and are not attributed to the `stream_*` rows.\n")
+    print("that is packing, not skew.  The watermark's row exchange is the one with an explicit partition count.")
+    print("Streaming micro-batches run on the streams' own threads and are not attributed to the `stream_*` rows.\n")
     print("| query | input rows | input MB | shuffled rows | shuffled MB | max rows read by one task |")
     print("|---|---|---|---|---|---|")
     for name in names:
