@@ -162,6 +162,12 @@ def with_arrival_watermark(df: DataFrame, tolerance_ms: int = C.MAX_ALLOWED_DELA
         per_block = staged.groupBy("_blk").agg(F.max("_cand").alias("_bmax"))
     order_blocks = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     prefix = per_block.select("_blk", F.max("_bmax").over(order_blocks).alias("_prefix"))
+    if materialize_as is not None:
+        # Several branches will read the result: compute the block prefixes
+        # once (at most MAX_BLOCKS rows, a bound fixed by parameter) instead
+        # of once per branch.
+        prefix = df.sparkSession.createDataFrame(
+            [tuple(r) for r in prefix.collect()], "_blk int, _prefix long")
 
     start = F.lit(0) if carried_watermark is None else (
         F.lit(carried_watermark) if isinstance(carried_watermark, int) else carried_watermark)
