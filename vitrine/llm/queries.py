@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vitrine.llm import exact, packing, sharding
+from vitrine.llm import exact, packing, secrets, sharding, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +16,23 @@ def op1_vector_shards(spark, sf_dir):
     return sharding.vector_shards(_table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark, sf_dir):
+    return secrets.scan_secrets(_table(spark, sf_dir, "documents")).drop("found")
+
+
+def op3_url_rules(spark, sf_dir):
+    return urls.filter_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+
+
+def op5_toxicity_crf(spark, sf_dir):
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")) \
+        .withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
+def op7_warc(spark, sf_dir):
+    return warc.archive_pages(_table(spark, sf_dir, "pages"))
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -23,12 +41,20 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.best_fit_packing(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_vector_shards, op9_exact_dedup, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_vector_shards, op2_secret_scan, op3_url_rules, op5_toxicity_crf, op7_warc, op9_exact_dedup, op10_best_fit_packing)}
 
 #: translate() in the SQL below: exactly A-Z become a-z.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
+    "op7_warc": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                          sha256(coalesce(html, '')) AS payload_digest FROM pages),
+             g AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest)
+                             ELSE page_id END AS first FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to FROM g""",
     "op9_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({_LOWER}) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
