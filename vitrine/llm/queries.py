@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import exact, packing, secrets, sharding, toxicity, urls, warc
+from vitrine.llm import decontam, exact, packing, secrets, sharding, substrings, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +29,19 @@ def op5_toxicity_crf(spark, sf_dir):
         .withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
 
 
+def op6_bm25_decontamination(spark, sf_dir):
+    return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_warc(spark, sf_dir):
     return warc.archive_pages(_table(spark, sf_dir, "pages"))
 
 
+def op8_substring_dedup(spark, sf_dir):
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -41,7 +50,7 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.best_fit_packing(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_vector_shards, op2_secret_scan, op3_url_rules, op5_toxicity_crf, op7_warc, op9_exact_dedup, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_vector_shards, op2_secret_scan, op3_url_rules, op5_toxicity_crf, op6_bm25_decontamination, op7_warc, op8_substring_dedup, op9_exact_dedup, op10_best_fit_packing)}
 
 #: translate() in the SQL below: exactly A-Z become a-z.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

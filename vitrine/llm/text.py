@@ -125,7 +125,7 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     m = len(hashes) - n + 1
     if m <= 0:
         return np.zeros(0, np.uint64)
-    out, power = np.zeros(m, np.uint64), np.uint64(1)
+    out, power = np.zeros(m, np.uint64), np.ones(1, np.uint64)
     for i in range(n):
         power = power * _BASE
         out += hashes[i:i + m] * power
