@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontam, exact, packing, secrets, sharding, substrings, toxicity, urls, warc
+from vitrine.llm import decontam, exact, jaccard, packing, secrets, sharding, substrings, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_url_rules(spark, sf_dir):
     return urls.filter_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
+def op4_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.ngram_groups(_table(spark, sf_dir, "documents")).drop("set_id")
+
+
 def op5_toxicity_crf(spark, sf_dir):
     return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")) \
         .withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
@@ -50,7 +54,7 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.best_fit_packing(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_vector_shards, op2_secret_scan, op3_url_rules, op5_toxicity_crf, op6_bm25_decontamination, op7_warc, op8_substring_dedup, op9_exact_dedup, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_vector_shards, op2_secret_scan, op3_url_rules, op4_ngram_jaccard_join, op5_toxicity_crf, op6_bm25_decontamination, op7_warc, op8_substring_dedup, op9_exact_dedup, op10_best_fit_packing)}
 
 #: translate() in the SQL below: exactly A-Z become a-z.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
