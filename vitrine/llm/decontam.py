@@ -229,11 +229,11 @@ def find_leaks(index: Index, texts: list[str], threshold: float, question: float
 
 def leak_finder(spark: SparkSession, index: Index, threshold: float, question: float, answer: float):
     """A column function: text -> array of verified hits."""
-    shared = spark.sparkContext.broadcast(index)
+    shared = spark.sparkContext.broadcast(tuple(index))
 
     @F.arrow_udf(_HIT)
     def leaks(text: pa.Array) -> pa.Array:
-        return pa.array(find_leaks(shared.value, [t or "" for t in text.to_pylist()], threshold, question, answer), _ARROW)
+        return pa.array(find_leaks(Index(*shared.value), [t or "" for t in text.to_pylist()], threshold, question, answer), _ARROW)
 
     return leaks
 

@@ -373,11 +373,11 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64())], ["x", "y"])
 
 
-def set_links(docs: DataFrame, described: DataFrame, classes: DataFrame, run_limit: int = RUN, shard_bytes: int = SHARD_BYTES,
+def set_links(docs: DataFrame, classes: DataFrame, run_limit: int = RUN, shard_bytes: int = SHARD_BYTES,
               broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Links (x, y) between classes of equal sets.  Between classes of one component some links may be left out."""
-    total, longest = docs.agg(F.sum(F.octet_length("text")), F.lit(1)).first()[0] or 0, \
-        classes.agg(F.max("n_shingles")).first()[0] or 1
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    longest = classes.agg(F.max("n_shingles")).first()[0] or 1
     shards, upper = max(MIN_SHARDS, -(-total // shard_bytes)), bands(longest)
     runs = docs.select("text").mapInArrow(_emit_signatures(upper, shards), _PACKED) \
         .repartition(shards, "shard").mapInArrow(_find_runs(upper, run_limit), _RUNS)
@@ -422,6 +422,21 @@ def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return described.drop("sketch"), materialize(classes, "jaccard-classes")
 
 
+def _grouped(docs: DataFrame, **limits: int) -> DataFrame:
+    """(doc_id, n_shingles, set_id, component_id, component) of every row; NULL ids are NO_ID, empty sets have no component."""
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    described, classes = describe(docs)
+    links = materialize(set_links(docs, classes, **limits), "jaccard-links")
+    label = connected_components(links, "x", "y", "jaccard-components").withColumnRenamed("node", "set_id")
+    tied = label.join(classes.select("set_id", "rep"), "set_id")
+    least = tied.groupBy("component").agg(F.min("rep").alias("component_id"))
+    tied = tied.join(least, "component").select("set_id", "component", "component_id")
+    of_class = classes.select("set_id", "rep").join(tied, "set_id", "left").select(
+        "set_id", F.coalesce("component", "set_id").alias("component"), F.coalesce("component_id", "rep").alias("component_id"))
+    alone = described.where("n_shingles = 0").withColumns({"component": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
+    return described.where("n_shingles > 0").join(of_class, "set_id").unionByName(alone)
+
+
 def ngram_groups(docs: DataFrame, **limits: int) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest doc_id that links reach), set_id.
 
@@ -430,15 +445,38 @@ def ngram_groups(docs: DataFrame, **limits: int) -> DataFrame:
     id is NULL only if the component has no other.  Repeated rows are linked with
     each other.  An empty table gives an empty result.
     """
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    described, classes = describe(docs)
-    links = materialize(set_links(docs, described, classes, **limits), "jaccard-links")
-    label = connected_components(links, "x", "y", "jaccard-components").select(F.col("node").alias("set_id"), "component")
-    tied = label.join(classes.select("set_id", "rep"), "set_id")
-    least = tied.groupBy("component").agg(F.min("rep").alias("component_id"))
-    tied = tied.join(least, "component").select("set_id", "component_id")
-    of_class = classes.select("set_id", "rep").join(tied, "set_id", "left").select("set_id", F.coalesce("component_id", "rep").alias("component_id"))
-    alone = described.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    out = described.where("n_shingles > 0").join(of_class, "set_id").select(*alone.columns).unionByName(alone)
     real = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
-    return out.select(real("doc_id"), "n_shingles", real("component_id"), "set_id")
+    return _grouped(docs, **limits).select(real("doc_id"), "n_shingles", real("component_id"), "set_id")
+
+
+@F.arrow_udf(T.LongType())
+def _set_id(text: pa.Array) -> pa.Array:
+    out = []
+    for lo in range(0, len(text), ROWS_AT_ONCE):
+        piece = text[lo:lo + ROWS_AT_ONCE]
+        row, value = shingle_sets(piece)
+        out.append(_set_ids(row, value, np.bincount(row, minlength=len(piece))))
+    return pa.array(np.concatenate(out) if out else np.zeros(0, np.int64))
+
+
+def keep_one(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS, **limits: int) -> DataFrame:
+    """One document of each component, that of the smallest doc_id, with all its columns; documents without words stay.
+
+    Decisions are (doc_id, set) keys.  Those that go are broadcast when counted to be
+    few, else joined by a shuffle; where a key that stays has several rows, one stays.
+    """
+    columns = docs.columns
+    keys = _grouped(docs, **limits).where("n_shingles > 0").groupBy("doc_id", "set_id") \
+        .agg(F.first("component").alias("component"), F.first("component_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    stays = keys.where("doc_id = component_id").groupBy("component").agg(F.min("set_id").alias("best"))
+    keys = keys.join(stays, "component").select(
+        F.col("doc_id").alias("_id"), F.col("set_id").alias("_set"), "n",
+        ((F.col("doc_id") == F.col("component_id")) & (F.col("set_id") == F.col("best"))).alias("stays"))
+    keys = materialize(keys.where("NOT stays OR n > 1"), "jaccard-losers")
+    small = keys.count() <= broadcast_rows
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
+                         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), _set_id("text").alias("set_id"))
+    joined = marked.join(F.broadcast(keys) if small else keys, (F.col("doc_id") == F.col("_id")) & (F.col("set_id") == F.col("_set")), "left")
+    single = joined.where("stays IS NULL").select("doc")
+    repeated = joined.where("stays AND n > 1").groupBy("doc_id", "set_id").agg(F.first("doc").alias("doc")).select("doc")
+    return single.unionAll(repeated).select("doc.*")

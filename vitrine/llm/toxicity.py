@@ -305,11 +305,11 @@ def _spans(text: str, p: np.ndarray) -> list[dict]:
 
 def tagger(spark: SparkSession, model: Model):
     """A column function: text -> struct(score, spans)."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(tuple(model))
 
     @F.arrow_udf(RESULT)
     def tag(text: pa.Array) -> pa.Array:
-        model = shared.value
+        model = Model(*shared.value)
         emissions = _Emissions(model)
         out: list[dict] = []
         waiting: list[tuple[str, np.ndarray]] = []
