@@ -1,7 +1,7 @@
 """URL filter: given host rules first, then association rules.  DataFrame functions and Spark's FP-growth only.
 
-A URL becomes a set of tokens (labels of the host and their parts, top-level
-domain, words of the path, names of query parameters; numbers are one token).
+A URL becomes a set of tokens (registered domain, words of the host and of the
+path, names of query parameters).
 FP-growth mines the token sets of the labelled URLs together with the label
 ``=block``; every frequent set that holds the label is a rule (tokens -> block)
 with its support and confidence.  Rules under either threshold are pruned, and so
@@ -25,6 +25,8 @@ from vitrine.session import materialize
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.5
+#: A rule also needs this many labelled URLs, so that few labels do not make every URL a rule.
+MIN_COUNT = 5
 BROADCAST_ROWS = 100_000
 LABEL = "=block"
 
@@ -49,13 +51,15 @@ def given_rule(host_: Column, path_: Column) -> Column:
 
 
 def tokens(url: Column) -> Column:
-    """The distinct tokens of a URL, each marked with the part that it is from."""
-    labels = F.split(host(url), r"\.")
-    words = F.split(F.lower(path(url)), "[^a-z0-9]+")
+    """The distinct tokens of a URL, each marked with the part that it is from; numbers are left out.
+
+    d: the last two labels of the host, w: its words, p: words of the path, q: names of query parameters.
+    """
+    name = host(url)
     query = F.regexp_extract_all(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\?([^#]*)", 1), F.lit(r"(?:^|&)([^=&]*)"), F.lit(1))
-    mark = lambda kind, parts: F.transform(parts, lambda x: F.concat(F.lit(kind), F.regexp_replace(x, "[0-9]+", "0")))
-    every = F.concat(mark("h:", labels), mark("w:", F.flatten(F.transform(labels, lambda x: F.split(x, "-")))), mark("p:", words),
-                     mark("q:", query))
+    mark = lambda kind, parts: F.transform(parts, lambda x: F.concat(F.lit(kind), F.regexp_replace(x, "[^a-z_-]", "")))
+    every = F.concat(F.array(F.concat(F.lit("d:"), F.substring_index(name, ".", -2))), mark("w:", F.split(name, "[.-]")),
+                     mark("p:", F.split(F.lower(path(url)), "[^a-z0-9]+")), mark("q:", F.transform(query, F.lower)))
     return F.filter(F.array_distinct(every), lambda x: F.length(x) > 2)
 
 
@@ -65,7 +69,7 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
         F.concat(tokens(F.col("url")), F.when(F.col("block"), F.array(F.lit(LABEL))).otherwise(F.array().cast("array<string>"))).alias("items"))
         .where(F.size("items") > 0), "url-baskets")
     n = baskets.count()
-    sets = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets).freqItemsets
+    sets = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, MIN_COUNT / max(n, 1)))).fit(baskets).freqItemsets
     sets = materialize(sets.select(F.array_sort("items").alias("items"), "freq"), "url-itemsets")
     blocked = sets.where(F.array_contains("items", LABEL) & (F.size("items") > 1)) \
         .select(F.array_remove("items", LABEL).alias("items"), F.col("freq").alias("both"))
