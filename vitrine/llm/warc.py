@@ -195,7 +195,9 @@ class WarcReader(DataSourceReader):
             files = [(x.base_name, [0, x.size]) for x in store.get_file_info(fs.FileSelector(root)) if x.base_name.endswith(".warc.gz")]
         return [WarcSplit(f"{self.path}/{name}", a, b) for name, cuts in files for a, b in zip(cuts[:-1], cuts[1:])]
 
-    def read(self, partition: WarcSplit) -> Iterator[tuple]:
+    def read(self, partition: WarcSplit | None) -> Iterator[tuple]:
+        if partition is None:                 # Spark's way to read a source without partitions
+            return
         store, path = _open(partition.path)
 
         def wanted(row: dict) -> bool:
@@ -261,7 +263,6 @@ def register(spark: SparkSession) -> None:
 # ---- pages -> archives -> pages ------------------------------------------------------------------------------------
 
 REVISIT_BYTES = 100
-MAX_ID = 2 ** 63 - 1
 
 
 def page_records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
@@ -269,25 +270,22 @@ def page_records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFr
 
     Digests are grouped with partial sums, and only (digest, smallest id) of payloads
     that occur twice come back to the pages: the pages' side of that join may be split
-    where one payload is hot.  A NULL page_id counts as the largest; of repeated rows
-    with the smallest id one is the response.
+    where one payload is hot.  A NULL page_id counts as the largest and is never
+    referred to; rows that repeat the smallest page_id are responses, all of them.
     """
     payload = F.coalesce("html", F.lit("")).cast("binary")
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.monotonically_increasing_id().alias("row"),
-                        F.col("url").alias("target_uri"), payload.alias("payload")) \
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("target_uri"), payload.alias("payload")) \
         .withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "digest": F.sha2("payload", 256)})
-    order = F.struct(F.coalesce("page_id", F.lit(MAX_ID)).alias("id"), F.col("row"))
     first = rows.where(F.col("payload_bytes") >= revisit_bytes).groupBy("digest") \
-        .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 AND first IS NOT NULL").drop("n")
     joined = rows.join(first, "digest", "left")
-    revisit = F.coalesce((F.col("payload_bytes") >= revisit_bytes) & (F.col("first.row") != F.col("row")), F.lit(False))
-    name = lambda i, r: F.concat(F.lit("<urn:page:"), F.coalesce(i.cast("string"), F.lit("")), F.lit(":"), r.cast("string"), F.lit(">"))
-    first_id = F.when(F.col("first.id") != MAX_ID, F.col("first.id"))
+    revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
+    name = lambda i: F.concat(F.lit("<urn:page:"), F.coalesce(i.cast("string"), F.lit("")), F.lit(":"), F.substring("digest", 1, 16), F.lit(">"))
     return joined.select(
-        name(F.col("page_id"), F.col("row")).alias("record_id"),
+        name(F.col("page_id")).alias("record_id"),
         F.when(revisit, "revisit").otherwise("response").alias("record_type"), "target_uri",
         F.concat(F.lit("sha256:"), "digest").alias("payload_digest"),
-        F.when(revisit, name(first_id, F.col("first.row"))).alias("refers_to"), "payload_bytes",
+        F.when(revisit, name(F.col("first"))).alias("refers_to"), "payload_bytes",
         F.when(~revisit, F.col("payload")).alias("payload"))
 
 
