@@ -45,7 +45,8 @@ SEED = 5
 #: Text that one shard of minimizers is made for.
 SHARD_BYTES = 64 << 20
 MIN_SHARDS = 16
-ROWS_AT_ONCE = 2000
+ROWS_AT_ONCE = 1000
+SPANS_AT_ONCE = 50_000
 NO_ID = 2 ** 63 - 1          # NULL doc_ids count as the largest
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -55,7 +56,10 @@ def _row_of(w: Words) -> np.ndarray:
 
 
 def window_minimizers(w: Words, length: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, minimizer, place of the minimizer) of every window within one row, in order."""
+    """(first word, minimizer, place of the minimizer) of every window within one row, in order.
+
+    Minimizers are even: the lowest bit is free for a mark.
+    """
     n = len(w.hash) - length + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -68,7 +72,7 @@ def window_minimizers(w: Words, length: int, seed: int) -> tuple[np.ndarray, np.
         less = x < best
         best[less] = x[less]
         place[less] = j
-    return start, best[start], start + place[start]
+    return start, best[start] & ~np.uint64(1), start + place[start]
 
 
 def _spans(start: np.ndarray, key: np.ndarray, place: np.ndarray, row: np.ndarray, length: int):
@@ -89,12 +93,15 @@ def _expand(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _content(codes: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Hash of each run of codes."""
-    if not len(size):
-        return np.zeros(0, np.uint64)
-    at = np.cumsum(size) - size
-    place = np.arange(len(codes)) - np.repeat(at, size)
-    power = np.cumprod(np.full(int(size.max()), _STEP, np.uint64))
-    return mix64(np.add.reduceat(mix64(codes.astype(np.uint64) + np.uint64(1)) * power[place], at) + size.astype(np.uint64))
+    out, at = np.zeros(len(size), np.uint64), np.concatenate([[0], np.cumsum(size)])
+    for lo in range(0, len(size), SPANS_AT_ONCE):
+        n = size[lo:lo + SPANS_AT_ONCE]
+        begin = at[lo:lo + len(n)] - at[lo]
+        power = np.cumprod(np.full(int(n.max()), _STEP, np.uint64))
+        value = mix64(codes[at[lo]:at[lo + len(n)]].astype(np.uint64) + np.uint64(1))
+        value *= power[np.arange(len(value)) - np.repeat(begin, n)]
+        out[lo:lo + len(n)] = mix64(np.add.reduceat(value, begin) + n.astype(np.uint64))
+    return out
 
 
 def _pack(kind: np.dtype | type, values: np.ndarray) -> bytes:
@@ -108,7 +115,7 @@ def _unpack(kind: type, column: pa.Array) -> np.ndarray:
 
 # ---- 1. repeated minimizers ----------------------------------------------------------------------------------------
 
-_SEEN = "shard int, row_key binary, minimizer binary, many binary, found_key binary, found binary"
+_SEEN = "shard int, row_key binary, n binary, minimizer binary, found_key binary, found binary"
 _FOUND = "row_key long, found binary"
 
 
@@ -133,19 +140,33 @@ def _seen_minimizers(length: int, seed: int, shards: int):
             size = np.diff(np.append(head, len(key)))
             many = size > 1
             here = np.repeat(many, size)
-            shard = (key[head] % np.uint64(shards)).astype(np.int64)
-            back = (row[here].astype(np.uint64) % np.uint64(shards)).astype(np.int64)
+            back = _shard_of_row(row[here], shards)
+            found_row, found = row[here], key[here]
+            row, key = row[head], key[head] | many.astype(np.uint64)
+            shard = _shard_of_key(key, shards)
+            order = np.lexsort((row, shard))                      # a row's minimizers stand together: its key is sent once
+            row, key, shard = row[order], key[order], shard[order]
+            cut = np.searchsorted(shard, np.arange(shards + 1))
             out = []
             for s in range(shards):
-                a, b = shard == s, back == s
-                if a.any() or b.any():
-                    out.append((s, _pack(np.int64, row[head][a]), _pack(np.uint64, key[head][a]), _pack(np.bool_, many[a]),
-                                _pack(np.int64, row[here][b]), _pack(np.uint64, key[here][b])))
+                a, b = slice(cut[s], cut[s + 1]), back == s
+                if cut[s] < cut[s + 1] or b.any():
+                    rows, n = np.unique(row[a], return_counts=True)
+                    out.append((s, _pack(np.int64, rows), _pack(np.uint32, n), _pack(np.uint64, key[a]),
+                                _pack(np.int64, found_row[b]), _pack(np.uint64, found[b])))
             yield _batch(out, _SEEN)
 
     return run
 
 
+def _shard_of_key(key: np.ndarray, shards: int) -> np.ndarray:
+    return (key >> np.uint64(1)).astype(np.int64) % shards
+
+
+def _shard_of_row(row: np.ndarray, shards: int) -> np.ndarray:
+    return (row.astype(np.int64) >> 1) % shards
+
+
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
     fields = [f.split() for f in schema.split(", ")]
@@ -173,8 +194,9 @@ def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def _repeated_minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packed records of shards -> for each row its minimizers that another row has too."""
     for table in _by_shard(batches):
-        row, key, many = (_unpack(k, table.column(c)) for c, k in
-                          (("row_key", np.int64), ("minimizer", np.uint64), ("many", np.bool_)))
+        row = np.repeat(_unpack(np.int64, table.column("row_key")), _unpack(np.uint32, table.column("n")))
+        key = _unpack(np.uint64, table.column("minimizer"))
+        many, key = (key & np.uint64(1)).astype(bool), key & ~np.uint64(1)
         order = np.lexsort((row, key))
         row, key, many = row[order], key[order], many[order]
         if len(key):
@@ -241,15 +263,14 @@ def _candidate_spans(length: int, seed: int, shards: int):
             done = _expand(relative[known], count)
             go = np.flatnonzero(~known)
             go = go[np.argsort(row_[go], kind="stable")]
-            shard = (key[go] % np.uint64(shards)).astype(np.int64)
-            back = (done_row.astype(np.uint64) % np.uint64(shards)).astype(np.int64)
+            shard, back = _shard_of_key(key[go], shards), _shard_of_row(done_row, shards)
             out = []
             for s in range(shards):
                 a, b = go[shard == s], back == s
                 if not len(a) and not b.any():
                     continue
                 rows, n = np.unique(row_[a], return_counts=True)
-                out.append((s, _pack(np.int64, ids[rows]), _pack(np.int64, keys[rows]), _pack(np.uint32, n), _pack(np.uint64, key[a]),
+                out.append((s, _pack(np.int64, ids[rows]), _pack(np.int64, keys[rows]), _pack(np.uint32, n), _pack(np.uint32, key[a] >> np.uint64(32)),
                             _pack(np.uint32, relative[a]), _pack(np.uint8, size[a]), _pack(np.uint32, code[_expand(start[a], size[a])]),
                             _pack(np.int64, done_row[b]), _pack(np.uint32, done[b])))
             yield _batch(out, _ROUTED)
@@ -345,14 +366,17 @@ def _shared_windows(codes: np.ndarray, size: np.ndarray, group: np.ndarray, leng
 
 
 def _match_spans(length: int):
-    """Packed spans of shards -> for each row the first words of its covered windows."""
+    """Packed spans of shards -> for each row the first words of its covered windows.
+
+    Half a minimizer is enough here: where two agree in it, their spans share an automaton.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by_shard(batches):
             get = lambda c, kind: _unpack(kind, table.column(c))
             n = get("n", np.uint32)
             ids, rows = np.repeat(get("doc_id", np.int64), n), np.repeat(get("row_key", np.int64), n)
-            key, start, size = get("minimizer", np.uint64), get("start", np.uint32).astype(np.int64), get("size", np.uint8).astype(np.int64)
+            key, start, size = get("minimizer", np.uint32), get("start", np.uint32).astype(np.int64), get("size", np.uint8).astype(np.int64)
             codes = get("codes", np.uint32)
             at = np.cumsum(size) - size
             content = _content(codes, size)
