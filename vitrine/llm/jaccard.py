@@ -45,9 +45,11 @@ RATIO = 1.75
 SHARE = 0.36
 RUN = 16
 #: Text that one shard of signatures is made for.
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 16 << 20
 MIN_SHARDS = 16
-ROWS_AT_ONCE = 1000
+ROWS_AT_ONCE = 500
+#: A shard is sorted in so many pieces (as a power of two), by other bits of the signatures.
+PIECE_BITS = 3
 #: Ids of sets to look up are broadcast up to this many; beyond it the look-up is a shuffled join.
 BROADCAST_ROWS = 2_000_000
 NO_ID = 2 ** 63 - 1
@@ -245,6 +247,35 @@ def _emit_signatures(upper: np.ndarray, shards: int):
 _RUNS = "kind int, x long, y long, band int, slack int"
 
 
+def _runs_of(sig: np.ndarray, owner: np.ndarray, ids: np.ndarray, size: np.ndarray, band: np.ndarray, upper: np.ndarray, run_limit: int):
+    """Distinct pairs of the short runs (2, n); signature and owner of each member of the long runs."""
+    order = np.argsort(sig)
+    sig, owner = sig[order], owner[order]
+    alone = np.ones(len(sig), bool)                # signatures that occur once are done with
+    twin = sig[1:] == sig[:-1]
+    alone[1:] &= ~twin
+    alone[:-1] &= ~twin
+    sig, owner = sig[~alone], owner[~alone]
+    order = np.lexsort((ids[owner], sig))
+    sig, owner = sig[order], owner[order]
+    new = np.ones(len(sig), bool)
+    new[1:] = (sig[1:] != sig[:-1]) | (ids[owner][1:] != ids[owner][:-1])
+    sig, owner = sig[new], owner[new]              # a set once a run
+    head = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
+    length = np.diff(np.append(head, len(sig)))
+    pairs = [np.zeros((2, 0), np.int64)]
+    for m in range(2, run_limit + 1):
+        at = head[length == m]
+        for i in range(m):
+            for j in range(i + 1, m):
+                a, b = owner[at + i], owner[at + j]
+                big = np.maximum(size[a], size[b]).astype(np.int64)
+                fit = (4 * np.minimum(size[a], size[b]).astype(np.int64) >= 3 * big) & (np.searchsorted(upper, big) == band[a])
+                pairs.append(np.stack([ids[a[fit]], ids[b[fit]]]))
+    long = np.repeat(length > run_limit, length)
+    return np.unique(np.concatenate(pairs, axis=1), axis=1), sig[long], owner[long]
+
+
 def _find_runs(upper: np.ndarray, run_limit: int):
     """Packed signatures of shards -> pairs of short runs, members of long runs, weak sets."""
 
@@ -259,41 +290,18 @@ def _find_runs(upper: np.ndarray, run_limit: int):
             get = lambda c, kind: _unpack(kind, mine.column(c))
             count, sig = get("n", np.uint32), get("signature", np.uint64)
             ids, size, band, slack = (get(c, k) for c, k in (("set_id", np.int64), ("size", np.uint32), ("band", np.uint8), ("slack", np.int32)))
-            owner = np.repeat(np.arange(len(ids)), count)
-            order = np.argsort(sig, kind="stable")
-            sig, owner = sig[order], owner[order]
-            alone = np.ones(len(sig), bool)                # signatures that occur once are done with
-            twin = sig[1:] == sig[:-1]
-            alone[1:] &= ~twin
-            alone[:-1] &= ~twin
-            sig, owner = sig[~alone], owner[~alone]
-            order = np.lexsort((ids[owner], sig))
-            sig, owner = sig[order], owner[order]
-            new = np.ones(len(sig), bool)
-            new[1:] = (sig[1:] != sig[:-1]) | (ids[owner][1:] != ids[owner][:-1])
-            sig, owner = sig[new], owner[new]              # a set once a run
-            head = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
-            length = np.diff(np.append(head, len(sig)))
-            xs, ys = [], []
-            for m in range(2, run_limit + 1):
-                at = head[length == m]
-                for i in range(m):
-                    for j in range(i + 1, m):
-                        a, b = owner[at + i], owner[at + j]
-                        big = np.maximum(size[a], size[b]).astype(np.int64)
-                        fit = (4 * np.minimum(size[a], size[b]).astype(np.int64) >= 3 * big) & (np.searchsorted(upper, big) == band[a])
-                        xs.append(ids[a[fit]])
-                        ys.append(ids[b[fit]])
-            pairs = np.unique(np.stack([np.concatenate(xs), np.concatenate(ys)]), axis=1) if xs and sum(map(len, xs)) else np.zeros((2, 0), np.int64)
-            long = np.repeat(length > run_limit, length)
-            o = owner[long]
+            owner = np.repeat(np.arange(len(ids), dtype=np.int32), count)
+            found = [_runs_of(sig[pick], owner[pick], ids, size, band, upper, run_limit)
+                     for pick in (sig >> np.uint64(64 - PIECE_BITS) == p for p in range(1 << PIECE_BITS))]
+            pairs = np.unique(np.concatenate([f[0] for f in found], axis=1), axis=1)
+            long_sig, o = (np.concatenate([f[k] for f in found]) for k in (1, 2))
             weak = get("weak", np.int64)
             kinds = np.repeat(np.arange(3), [pairs.shape[1], len(o), len(weak)])
             zero = np.zeros(pairs.shape[1], np.int64)
             zeros = np.zeros(len(weak), np.int64)
             yield pa.RecordBatch.from_arrays([
                 pa.array(kinds.astype(np.int32)), pa.array(np.concatenate([pairs[0], ids[o], weak])),
-                pa.array(np.concatenate([pairs[1], sig[long].view(np.int64), zeros])),
+                pa.array(np.concatenate([pairs[1], long_sig.view(np.int64), zeros])),
                 pa.array(np.concatenate([zero, band[o], zeros]).astype(np.int32)),
                 pa.array(np.concatenate([zero, slack[o], zeros]).astype(np.int32))], ["kind", "x", "y", "band", "slack"])
 

@@ -43,7 +43,7 @@ from vitrine.llm.text import Words, grams, mix64, words
 LENGTH = 13
 SEED = 5
 #: Text that one shard of minimizers is made for.
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 48 << 20
 MIN_SHARDS = 16
 ROWS_AT_ONCE = 1000
 SPANS_AT_ONCE = 50_000
