@@ -1,5 +1,9 @@
 """Hand-made goldens for the edge cases of FIXTURES.md §3."""
 
+import json
+
+from pyspark.sql import functions as F
+
 from vitrine.operators import alerts as A
 from vitrine.operators import serving as S
 from vitrine.operators.carts import abandoned_carts
@@ -158,21 +162,6 @@ def test_dt_defaults_to_today_utc(events_of):
     assert logistics_sla(events_of([{"event_type": "DELIVERY_UPDATE", "carrier": "X"}])).first().dt == today
 
 
-def test_running_max_has_no_single_partition_exchange_on_rows(spark):
-    """Only the block table (one row per block) goes through a single
-    partition; the event rows are exchanged by block."""
-    from vitrine.operators.lateness import arrival_block_bounds
-    from vitrine.plans.queries import events
-    ev = events(spark, "/root/testdata/sf0.01")
-    df = with_arrival_watermark(ev, 3_600_000, bounds=arrival_block_bounds(ev, rows_per_block=1000))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    lines = plan.splitlines()
-    for i, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
-            assert "HashAggregate(keys=[_blk" in lines[i + 1], lines[i + 1]
-    assert "Exchange hashpartitioning(_blk" in plan
-
-
 def test_source_waits_for_path(spark):
     import threading
     import time
@@ -193,3 +182,63 @@ def test_changelog_compaction_keeps_n_versions(spark):
     back = spark.read.parquet(out)
     assert back.where("row_key = 'm'").count() == 5 and back.where("row_key = 'k'").count() == 1
     assert sorted(r.put_seq for r in back.where("row_key = 'm'").collect()) == [3, 4, 5, 6, 7]
+
+
+def test_missing_event_time_and_name_use_the_defaults(events_of):
+    """A click without event time counts at its arrival; alerts of one order keep different keys; names default to the id."""
+    rows = [{"event_type": "CLICK", "event_id": f"c{i}", "ingestion_time": 1_000_000 + i, "product_id": "P1",
+             "event_time": 1_000_000 if i % 2 else None} for i in range(6)]
+    rows += [{"event_type": "DELIVERY_UPDATE", "event_id": f"d{i}", "ingestion_time": 1_000_500 + 90_000 * i, "order_id": "o1",
+              "delivery_status": "DELAYED"} for i in range(2)]
+    rows.append({"event_type": "CLICK", "event_id": "z", "ingestion_time": 5_000_000, "product_id": "P2"})
+    wm = with_arrival_watermark(events_of(rows), 10_000_000)
+    windows = emitted_windows(sliding_click_counts(wm.where("NOT is_late")), wm)
+    assert {r.clicks for r in windows.where("product_id = 'P1' AND window_start = 990000").collect()} == {6}
+    closed = windows.withColumn("is_final", F.lit(False))
+    alert = A.trending_alerts(closed, 5).first()
+    assert (alert.product_name, alert.category) == ("P1", "Geral")
+    keys = [r.row_key for r in A.logistics_alerts(wm.where("NOT is_late")).collect()]
+    assert len(set(keys)) == 2 and all(k.count("#") == 2 for k in keys)
+
+
+def test_equal_put_seq_gives_one_answer_under_any_order(spark):
+    rows = [("k", 1, "x", 5), ("k", 2, "y", 5), ("k", None, "z", 5), ("k", 9, "a", 4), ("m", 1, "q", None), ("m", 1, "r", None)]
+    answers = set()
+    for x in (rows, rows[::-1], rows[2:] + rows[:2]):
+        log = spark.createDataFrame(x, "row_key string, n long, name string, put_seq long").coalesce(1)
+        answers.add((tuple(sorted(map(tuple, S.latest_by_key(log).collect()), key=str)),
+                     tuple(sorted(map(tuple, S.versions_by_key(log, 2).collect()), key=str))))
+    assert len(answers) == 1
+
+
+def test_etl_keeps_every_load(spark, tmp_path):
+    """A second load with late events of the first day loses nothing, and repeating either load changes nothing."""
+    from vitrine.plans.batch_etl import read_rejects, read_silver, run_daily_etl
+    day = 86_400_000
+    line = lambda i, t: json.dumps({"event_id": f"e{i}", "event_type": "CLICK", "event_time": t, "ingestion_time": t, "category": "Casa"})
+    loads = {"one": [line(i, day + i) for i in range(10)] + ["not json"],
+             "two": [line(20 + i, 2 * day + i) for i in range(5)] + [line(30, day + 99), "[1]"]}
+    for name, lines in loads.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.json").write_text("\n".join(lines))
+    wh = Warehouse(spark, "etl_loads", str(tmp_path / "wh")).create()
+    silver = str(tmp_path / "silver")
+    for name in ("one", "two", "two", "one"):
+        out = run_daily_etl(spark, str(tmp_path / name), silver, wh, daily=True)
+        if name == "two":
+            assert read_silver(spark, silver).count() == 16
+            assert sorted(r.line for r in read_rejects(spark, silver).collect()) == ["[1]", "not json"]
+            clicks = {r.dt: r.total_clicks for r in out.where("table = 'dw_sales_funnel_daily'").collect()}
+            assert clicks == {"1970-01-02": 11, "1970-01-03": 5}
+    assert read_silver(spark, silver).select("event_id").distinct().count() == 16 == read_silver(spark, silver).count()
+
+
+def test_one_run_has_one_date(spark, tmp_path, monkeypatch):
+    from vitrine.plans import batch_etl
+    dates = iter(["2024-01-01", "2024-01-02", "2024-01-03"])
+    monkeypatch.setattr(batch_etl, "run_date", lambda dt=None: dt or next(dates))
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "x.json").write_text('{"event_type": "CLICK"}\n{"event_type": "DELIVERY_UPDATE", "carrier": "c"}')
+    wh = Warehouse(spark, "etl_dates", str(tmp_path / "wh")).create()
+    out = batch_etl.run_daily_etl(spark, str(tmp_path / "raw"), str(tmp_path / "silver"), wh)
+    assert {r.dt for r in out.where("dt IS NOT NULL").collect()} == {"2024-01-01"}

@@ -1,115 +1,122 @@
-"""Property test: a per-record model of the streaming rules (watermark, late
-drop, sliding windows, close on click, flush) against the Spark operators,
-on random out-of-order sequences; plus the blocked scan with many blocks."""
+"""Property tests: the streaming rules written down as definitions over whole
+sequences, against the Spark operators on random out-of-order arrivals.
+
+late       below the running maximum of (event time - tolerance), from 0
+window     an aligned half-open interval that contains a click's event time
+closed     ends not after the watermark of the last accepted click
+"""
+
+import json
+from collections import Counter
+from itertools import accumulate
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from vitrine.operators.lateness import arrival_block_bounds, with_arrival_watermark
+from tests.conftest import make_events
+from vitrine.operators.lateness import with_arrival_watermark
 from vitrine.operators.windows import emitted_windows, sliding_click_counts
 
 TOL, SIZE, SLIDE = 15_000, 60_000, 15_000
 
 
-def model(events):
-    """Sequential reference model in arrival order (list order)."""
-    wm, windows, closed, accepted = 0, {}, [], []
-    for e in events:
-        et = e["event_time"]
-        wm = max(wm, et - TOL)
-        if et < wm:
-            continue
-        accepted.append(e["event_id"])
-        if e["event_type"] != "CLICK":
-            continue
-        first = (et // SLIDE) * SLIDE - SIZE + SLIDE
-        for ws in range(first, et + 1, SLIDE):
-            if ws <= et < ws + SIZE:
-                counts = windows.setdefault((ws, ws + SIZE), {})
-                counts[e["product_id"]] = counts.get(e["product_id"], 0) + 1
-        for wk in [k for k in windows if k[1] <= wm]:
-            for pid, n in windows.pop(wk).items():
-                closed.append((wk[0], wk[1], pid, n, False))
-    final = [(k[0], k[1], pid, n, True) for k, c in windows.items() for pid, n in c.items()]
-    return sorted(accepted), sorted(closed + final)
+def definitions(events):
+    """(accepted ids, emitted windows) of events given in arrival order."""
+    watermark = list(accumulate((e["event_time"] - TOL for e in events), max, initial=0))[1:]
+    accepted = [(e, w) for e, w in zip(events, watermark) if e["event_time"] >= w]
+    clicks = [(e, w) for e, w in accepted if e["event_type"] == "CLICK"]
+    count = Counter((start, e["product_id"]) for e, _ in clicks
+                    for start in range(-SIZE, 2_000_000, SLIDE) if 0 <= e["event_time"] - start < SIZE)
+    last = clicks[-1][1] if clicks else None
+    return (sorted(e["event_id"] for e, _ in accepted),
+            sorted((s, s + SIZE, p, n, s + SIZE > last) for (s, p), n in count.items()))
 
 
 event = st.tuples(st.integers(0, 400_000), st.integers(0, 25_000),
                   st.sampled_from(["CLICK", "CLICK", "CART_ADD"]), st.sampled_from(["P1", "P2"]))
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(event, min_size=1, max_size=60))
-def test_spark_equals_per_record_model(spark, raw):
-    evs = []
-    for i, (t, delay, typ, pid) in enumerate(sorted(raw, key=lambda r: r[0])):
-        evs.append({"event_id": f"{i:06d}", "ingestion_time": 1_000_000 + t, "event_time": 1_000_000 + t - delay,
-                    "event_type": typ, "product_id": pid, "category": "Casa"})
-    from tests.conftest import make_events
-    df = make_events(spark, evs)
-    exp_acc, exp_win = model(evs)
-    bounds = arrival_block_bounds(df, rows_per_block=7, max_blocks=8) if len(evs) > 10 else None
-    wm = with_arrival_watermark(df, TOL, bounds=bounds)
-    acc = sorted(r.event_id for r in wm.where("NOT is_late").collect())
-    assert acc == exp_acc
+def arrivals(raw, coarse=1):
+    """Events in arrival order; ``coarse`` puts neighbours into one arrival time."""
+    return [{"event_id": f"{i:06d}", "ingestion_time": 1_000_000 + t // coarse * coarse, "event_time": 1_000_000 + t - delay,
+             "event_type": typ, "product_id": pid, "category": "Casa"}
+            for i, (t, delay, typ, pid) in enumerate(sorted(raw, key=lambda r: r[0]))]
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(event, min_size=1, max_size=60), st.sampled_from([1, 50_000, 10_000_000]))
+def test_spark_equals_the_definitions(spark, raw, coarse):
+    evs = arrivals(raw, coarse)
+    accepted, windows = definitions(evs)
+    wm = with_arrival_watermark(make_events(spark, evs), TOL)
+    assert sorted(r.event_id for r in wm.where("NOT is_late").collect()) == accepted
     counts = sliding_click_counts(wm.where("NOT is_late"), SIZE, SLIDE)
     got = sorted((r.window_start, r.window_end, r.product_id, r.clicks, r.is_final)
                  for r in emitted_windows(counts, wm).collect())
-    assert got == exp_win
-
-
-def test_many_blocks_equal_one_block(spark):
-    from vitrine.plans.queries import events
-    ev = events(spark, "/root/testdata/sf0.01")
-    one = with_arrival_watermark(ev, 3_600_000, bounds=[]).select("event_id", "watermark", "is_late")
-    bounds = arrival_block_bounds(ev, rows_per_block=300, max_blocks=40)
-    assert len(bounds) >= 20
-    many = with_arrival_watermark(ev, 3_600_000, bounds=bounds).select("event_id", "watermark", "is_late")
-    assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
-    plan = many._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(_blk" in plan
-
-
-def test_hot_millisecond_is_split_and_exact(spark):
-    """A third of all arrivals in one millisecond: the bounds split it by
-    event id (vectorised lookup path, > 63 bounds) and results stay exact."""
-    from pyspark.sql import functions as F
-
-    from vitrine.plans.queries import events
-    ev = events(spark, "/root/testdata/sf0.01")
-    hot = ev.withColumn("ingestion_time", F.when(F.col("event_id") < "000000003400", F.lit(1704500000000))
-                        .otherwise(F.col("ingestion_time")))
-    bounds = arrival_block_bounds(hot, rows_per_block=100, max_blocks=100)
-    at_hot = [b for b in bounds if b[0] == 1704500000000]
-    assert len(bounds) > 63 and len(at_hot) >= 20
-    one = with_arrival_watermark(hot, 3_600_000, bounds=[]).select("event_id", "watermark", "is_late")
-    many = with_arrival_watermark(hot, 3_600_000, bounds=bounds).select("event_id", "watermark", "is_late")
-    assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
-    from vitrine.operators.lateness import _searchsorted_block, arrival_key_cols
-    t, e = arrival_key_cols()
-    sizes = [r["count"] for r in hot.groupBy(_searchsorted_block(spark, bounds)(t, e)).count().collect()]
-    assert len(sizes) == len(bounds) + 1 and max(sizes) < 0.05 * hot.count()
+    assert got == windows
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(event, min_size=3, max_size=40), st.integers(1, 3))
-def test_accept_stage_over_micro_batches_equals_model(spark, raw, cuts):
-    """The streaming accept stage, fed the same arrivals cut into micro-batches
-    (carried watermark between them), accepts exactly what the model accepts."""
-    import json
-
+def test_accept_stage_over_micro_batches_equals_the_definitions(spark, raw, cuts):
+    """The accept stage, fed the same arrivals cut into micro-batches (carried
+    watermark between them), accepts exactly the records that are not late."""
     from vitrine.session import scratch_path
     from vitrine.streaming.event_time import EventTimeJob
-    evs = []
-    for i, (t, delay, typ, pid) in enumerate(sorted(raw, key=lambda r: r[0])):
-        evs.append({"event_id": f"{i:06d}", "ingestion_time": 1_000_000 + t, "event_time": 1_000_000 + t - delay,
-                    "event_type": typ, "product_id": pid, "category": "Casa"})
-    exp_acc, _ = model(evs)
+    evs = arrivals(raw)
     job = EventTimeJob(spark, scratch_path(spark, "model-stream"), tolerance_ms=TOL, size_ms=SIZE, slide_ms=SLIDE)
     step = max(1, len(evs) // (cuts + 1))
-    chunks = [evs[i:i + step] for i in range(0, len(evs), step)]
-    for bid, chunk in enumerate(chunks):
-        lines = spark.createDataFrame([(json.dumps(e),) for e in chunk], "value string")
-        job.accept_batch(lines, bid)
-    got = sorted(r.event_id for r in job.accepted().select("event_id").collect())
-    assert got == exp_acc
+    for batch, at in enumerate(range(0, len(evs), step)):
+        lines = spark.createDataFrame([(json.dumps(e),) for e in evs[at:at + step]], "value string")
+        job.accept_batch(lines, batch)
+    assert sorted(r.event_id for r in job.accepted().select("event_id").collect()) == definitions(evs)[0]
+
+
+def _sequential(rows):
+    """Watermarks of (arrival, id, event time) by walking through all rows in order."""
+    known = [(a if a is not None else float("-inf"), i, e if e is not None else a) for a, i, e in rows]
+    top, out = 0, {}
+    for _, i, e in sorted(known):
+        top = top if e is None else max(top, e - TOL)
+        out[i] = (top, e is not None and e < top)
+    return out
+
+
+def test_many_spans_eras_bursts_and_missing_arrivals(spark, events_of):
+    """Arrivals over years (several eras), a third in one millisecond, a third without an arrival time."""
+    import random
+    rng = random.Random(8)
+    rows = []
+    for i in range(1500):
+        at = rng.choice([None, 1_700_000_000_000, rng.randrange(1_500_000_000_000, 1_800_000_000_000)])
+        base = at if at is not None else 1_500_000_000_000
+        rows.append((at, f"{i:06d}", rng.choice([None, base - rng.randrange(0, 60_000), base + rng.randrange(0, 10 ** 9)])))
+    df = events_of([{"ingestion_time": a, "event_id": i, "event_time": e} for a, i, e in rows]).repartition(7)
+    got = {r.event_id: (r.watermark, r.is_late) for r in with_arrival_watermark(df, TOL).collect()}
+    assert got == _sequential(rows)
+
+
+def test_ties_are_ordered_by_the_row(spark, events_of):
+    """Equal arrival and id: the same result under any order of the input."""
+    rows = [{"ingestion_time": 5, "event_id": "x", "event_time": 1_000_000 + 40_000 * (i % 7), "user_id": str(i)} for i in range(40)]
+    results = [sorted((r.user_id, r.watermark) for r in with_arrival_watermark(events_of(x), TOL).collect())
+               for x in (rows, rows[::-1])]
+    assert results[0] == results[1]
+
+
+def test_watermark_plan_is_jvm_only_with_two_scans(spark):
+    """At every size the same plan: two scans of the input, no Python, no
+    unpartitioned window but that over eras, more than one span at sf0.01."""
+    from vitrine.plans.queries import events
+    from vitrine.session import materialize
+    ev = materialize(events(spark, "/root/testdata/sf0.01"), "plan-test")
+    assert ev.select(F.shiftright("ingestion_time", 22).alias("span")).distinct().count() > 10
+    df = with_arrival_watermark(ev, 3_600_000)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Scan parquet") == 2 and "ReusedExchange" in plan
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+    lines = plan.splitlines()
+    single = [i for i, x in enumerate(lines) if "Exchange SinglePartition" in x]
+    assert len(single) == 1 and "HashAggregate(keys=[_t_of_of" in "".join(lines[single[0] + 1:single[0] + 3])

@@ -1,8 +1,6 @@
 """Skew: a third of all events share one user, one product and one arrival
 millisecond.  The queries must stay exact (against DuckDB on the same table)
-and the arrival scan must still split the hot millisecond across blocks."""
-
-import math
+and the hot arrival time must not reach one task record by record."""
 
 import duckdb
 import pytest
@@ -46,13 +44,15 @@ def test_skewed_input_matches_oracle(spark, skewed_dir, name):
     assert _canon([tuple(r) for r in df.collect()], df.columns) == _canon(cur.fetchall(), ocols)
 
 
-def test_hot_millisecond_spreads_over_blocks(spark, skewed_dir):
-    from vitrine.operators.lateness import arrival_block_bounds
+def test_hot_millisecond_shrinks_to_its_event_times(spark, skewed_dir):
+    """The hot arrival time becomes one short row of steps, whatever its number of records."""
+    from vitrine.operators.lateness import arrival_key_cols, arrival_steps
     from vitrine.plans.queries import events
     ev = events(spark, skewed_dir)
-    bounds = arrival_block_bounds(ev, rows_per_block=500, max_blocks=64)
-    hot_ms = ev.groupBy("ingestion_time").count().orderBy(F.desc("count")).first()
-    assert hot_ms["count"] > ev.count() / 4
-    at_hot = [b for b in bounds if b[0] == hot_ms["ingestion_time"]]
-    # the hot millisecond is cut into several blocks by event id
-    assert len(at_hot) >= math.floor(hot_ms["count"] / 500) - 2
+    hot = ev.groupBy("ingestion_time").count().orderBy(F.desc("count")).first()
+    assert hot["count"] > ev.count() / 4
+    t, e = arrival_key_cols()
+    steps = arrival_steps(ev.select(t.alias("_t"), F.struct(e.alias("e"), F.lit(0).alias("h")).alias("_key"),
+                                    F.col("event_time").alias("_cand")))
+    assert steps.groupBy("_t").count().where("count > 1").count() == 0
+    assert steps.where(F.col("_t") == hot["ingestion_time"]).agg(F.max(F.size("_steps"))).first()[0] < 20

@@ -48,3 +48,6 @@ WINDOW_SLIDE_MS = 15_000
 # --- fixed values: landing zone ------------------------------------------
 SOURCE_STREAM_TAG = "ecommerce_stream"
 LANDING_ROLL_SECONDS = 60
+
+# Written in a row key in place of a part that is NULL.
+NULL_KEY_PART = "NULL"

@@ -352,17 +352,12 @@ ORACLE["stream_once"] = with_ev(
 _DAY = "strftime(epoch_ms(event_time), '%Y-%m-%d')"
 ORACLE["funnel_daily"] = with_ev(_FUNNEL.format(cat="category", dt=_DAY, group=f"category, {_DAY}"))
 ORACLE["logistics_sla_daily"] = with_ev(_LOGISTICS.format(dt=_DAY, group=f"carrier, region, {_DAY}"))
-ORACLE["batch_etl"] = with_ev(f"""
-SELECT 'dw_sales_funnel_daily' AS "table", CAST(count(*) AS BIGINT) AS rows FROM ({_FUNNEL.format(cat="category", dt="NULL", group="category")})
-UNION ALL
-SELECT 'dw_logistics_sla_daily', CAST(count(*) AS BIGINT) FROM ({_LOGISTICS.format(dt="NULL", group="carrier, region")})
-UNION ALL
-SELECT 'dw_abandoned_carts_daily', CAST(count(*) AS BIGINT) FROM (
-  SELECT DISTINCT {_DAY} AS dt, category FROM ev
-  WHERE event_type = 'CART_ADD')
-UNION ALL
-SELECT 'silver_events', CAST((SELECT count(*) FROM ev) + count(CASE WHEN d = 77 THEN 1 END) AS BIGINT) FROM noise
-UNION ALL
-SELECT 'rejects', CAST(count(CASE WHEN d IN (11, 22, 33, 44, 66) THEN 1 END) AS BIGINT) FROM noise""", _NOISE)
+ORACLE["batch_etl"] = "\nUNION ALL BY NAME\n".join([
+    *[f"""SELECT '{table}' AS "table", * FROM ({ORACLE[key]})""" for table, key in (
+        ("dw_sales_funnel_daily", "funnel"), ("dw_logistics_sla_daily", "logistics_sla"),
+        ("dw_abandoned_carts_daily", "abandoned_carts"), ("cart_subtotal_by_category", "cart_subtotal_by_category"),
+        ("click_checkout_pair_count", "click_checkout_pair_count"))],
+    f"""SELECT 'silver_events' AS "table", good_events AS "rows" FROM ({ORACLE["total_events"]})""",
+    f"""SELECT 'rejects' AS "table", rejected_events AS "rows" FROM ({ORACLE["total_events"]})"""])
 ORACLE["stream_alerts_latest"] = ORACLE["alerts_latest"]
 ORACLE["stream_metrics_latest"] = ORACLE["metrics_latest"]

@@ -53,8 +53,8 @@ def reverse_ts(ms: Column | str) -> Column:
 
 
 def row_key(*parts: Column | str) -> Column:
-    """``A#B#C`` key composition."""
-    return F.concat_ws("#", *[_col(p) for p in parts])
+    """``A#B#C`` key composition (F4).  A NULL part stays visible, so keys that differ in it never meet."""
+    return F.concat_ws("#", *[F.coalesce(_col(p).cast("string"), F.lit(C.NULL_KEY_PART)) for p in parts])
 
 
 def non_blank(line: Column | str) -> Column:
@@ -64,7 +64,7 @@ def non_blank(line: Column | str) -> Column:
 
 def run_date(dt: str | None = None) -> str:
     """The run's ``dt``: the given value, else today's UTC date.
-    Fixed once on the driver so every table of a run carries the same value."""
+    Call it once a run and hand the value on: every table then carries the same."""
     if dt:
         return dt
     from datetime import datetime, timezone

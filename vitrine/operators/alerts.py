@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from vitrine import constants as C
 from vitrine.functions.columns import reverse_ts, row_key
+from vitrine.functions.defaults import stream_defaults
 
 LOGISTICS_PAYLOAD = ["alert_type", "order_id", "region", "carrier", "delay_minutes",
                      "delivery_status", "timestamp"]
@@ -26,16 +27,15 @@ def logistics_alert_condition(status: str = "delivery_status", delay: str = "del
 
 def logistics_alerts(accepted: DataFrame) -> DataFrame:
     """Stateless alert per accepted DELIVERY_UPDATE matching the rule."""
-    order_id = F.coalesce(F.col("order_id"), F.lit(C.DEFAULT_ORDER_ID))
+    defaults = stream_defaults()
+    order_id, at = defaults["order_id"], defaults["event_time"]
     return (accepted.where((F.col("event_type") == C.DELIVERY) & logistics_alert_condition())
-            .select(row_key(F.lit(C.LOGISTICS_ALERT_PREFIX), reverse_ts("event_time"), order_id).alias("row_key"),
+            .select(row_key(F.lit(C.LOGISTICS_ALERT_PREFIX), reverse_ts(at), order_id).alias("row_key"),
                     F.lit(C.LOGISTICS_ALERT_TYPE).alias("alert_type"),
                     order_id.alias("order_id"),
-                    F.coalesce(F.col("region"), F.lit(C.DEFAULT_REGION)).alias("region"),
-                    F.coalesce(F.col("carrier"), F.lit(C.DEFAULT_CARRIER)).alias("carrier"),
-                    F.coalesce(F.col("delay_minutes"), F.lit(C.DEFAULT_DELAY_MINUTES)).alias("delay_minutes"),
+                    *[defaults[c].alias(c) for c in ("region", "carrier", "delay_minutes")],
                     F.col("delivery_status"),
-                    F.col("event_time").alias("timestamp"),
+                    at.alias("timestamp"),
                     F.col("ingestion_time").alias("put_seq")))
 
 

@@ -3,44 +3,37 @@
 The streaming rule is sequential: for each record in arrival order
 ``wm = max(wm, event_time - tolerance)`` (starting at 0), then the record is
 late when ``event_time < wm``.  That is a prefix maximum over a total order,
-arrival = (ingestion_time, event_id).
-
-An unpartitioned ``Window.orderBy`` would put every event in one task.  The
-distributed form is a blocked scan:
-
-1. Split the arrival order into contiguous *blocks* of roughly equal size.
-   Block bounds are quantiles of a bounded sample of (ingestion_time,
-   event_id), so a burst of arrivals in one millisecond is still split by
-   event id; no block is a hot key.  The block of a row is a pure function
-   of its key, so recomputation after an executor loss gives the same block:
-   a binary search compiled to a CASE tree for few blocks (stays inside
-   whole-stage codegen), an Arrow-batched vectorised ``searchsorted`` over the
-   broadcast bounds for many (two narrow columns in, one int out).
-2. Within a block: running max over a window partitioned by block.
-3. Across blocks: ``max(event_time - tol)`` per block (partial aggregate,
-   one row per block), an exclusive prefix max over that small table, and a
-   broadcast join back.  The block table has at most ``max_blocks`` rows, a
-   bound fixed by parameter, not by the data.
+arrival = (ingestion_time, event_id, hash of the row).
+
+It is computed without putting the rows in order:
+
+1. *Firsts.*  Within one arrival time only the first record of each candidate
+   value matters: ``min(event_id, hash)`` per (ingestion_time, candidate), an
+   aggregate with map-side combine.  A burst, or all records without an arrival
+   time, shrinks to its distinct event times in every task.
+2. *Steps.*  Of the firsts of an arrival time only those that raise the maximum
+   are kept: a short array, in order, beside the maximum.
+3. *Prefix.*  The maxima of earlier arrival times, reduced in levels: a window
+   within each span of 70 minutes, one over spans within each era of 4096 spans, and
+   one over eras.  Only the table of eras (one row per half year) has no partition key.
+4. Every record joins the row of its arrival time; its watermark is the prefix, or
+   the last step that is not after it.  The table has one row per arrival time, so
+   a hot one makes the records' side of the join large, which Spark splits.
+
+The plan is the same at every size, has two scans of the input, and no Python.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine import constants as C
 
 LONG_MIN = -(2 ** 63)
-ROWS_PER_BLOCK = 1_000_000
-MIN_ROWS_PER_BLOCK = 10_000
-MAX_BLOCKS = 500_000
-SAMPLE_PER_BLOCK = 40
-MAX_SAMPLE = 2_000_000      # sampled keys, whatever the data size (stay in Spark)
-TREE_MAX_BOUNDS = 63        # beyond this the CASE tree would leave codegen
+#: Levels of the prefix, in bits: spans of 2^22 ms (70 minutes), then eras of 2^12 spans.  (Shifts, unlike
+#: divisions, are never NULL, so the optimizer adds no filter and the branches keep one common exchange.)
+LEVEL_BITS = [22, 12]
 
 
 def arrival_key_cols() -> tuple[Column, Column]:
@@ -49,134 +42,62 @@ def arrival_key_cols() -> tuple[Column, Column]:
             F.coalesce(F.col("event_id"), F.lit("")))
 
 
-def _less(t: Column, e: Column, bound: tuple[int, str]) -> Column:
-    bt, be = bound
-    return (t < F.lit(bt)) | ((t == F.lit(bt)) & (e < F.lit(be)))
-
-
-def _search_tree(t: Column, e: Column, bounds: list[tuple[int, str]], lo: int, hi: int) -> Column:
-    """Block index in [lo, hi] = number of bounds <= key (binary search)."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2           # bounds[mid] separates block mid and mid+1
-    return F.when(_less(t, e, bounds[mid]), _search_tree(t, e, bounds, lo, mid)) \
-            .otherwise(_search_tree(t, e, bounds, mid + 1, hi))
-
-
-def _searchsorted_block(spark, bounds: list[tuple[int, str]]):
-    """Vectorised block lookup for many bounds: number of bounds <= key."""
-    bt = np.array([b[0] for b in bounds], dtype=np.int64)
-    be = np.array([b[1] for b in bounds], dtype=object)
-    shared = spark.sparkContext.broadcast((bt, be))
-
-    @F.pandas_udf("int")
-    def block_of(t: pd.Series, e: pd.Series) -> pd.Series:
-        bt, be = shared.value
-        tv = t.to_numpy(dtype=np.int64)
-        lo = np.searchsorted(bt, tv, side="left")     # bounds with time < t
-        hi = np.searchsorted(bt, tv, side="right")    # bounds with time <= t
-        out = lo.copy()
-        tied = np.nonzero(hi > lo)[0]                 # rows whose time equals a bound's time
-        if tied.size:
-            ev = e.to_numpy(dtype=object)
-            for tval in np.unique(tv[tied]):
-                rows = tied[tv[tied] == tval]
-                a, b = lo[rows[0]], hi[rows[0]]
-                out[rows] = a + np.searchsorted(be[a:b], ev[rows], side="right")
-        return pd.Series(out.astype(np.int32))
-
-    return block_of
-
-
-def arrival_block_bounds(df: DataFrame, rows_per_block: int = ROWS_PER_BLOCK,
-                         max_blocks: int = MAX_BLOCKS, seed: int = 17) -> list[tuple[int, str]]:
-    """Quantile bounds of the arrival key, computed in Spark from a sample.
-
-    The sample (at most ``MAX_SAMPLE`` keys, a parameter) is cut into equal
-    tiles by ``ntile`` over its sort order; only the first key of each tile
-    (at most ``max_blocks`` pairs) reaches the driver.
+def event_time_or_arrival() -> Column:
+    """``event_time``, else ``ingestion_time`` (deterministic on replays)."""
+    return F.coalesce(F.col("event_time"), F.col("ingestion_time"))
+
+
+def _earlier_max(table: DataFrame, key: str, value: str, bits: list[int]) -> DataFrame:
+    """``table`` (one row per ``key``) with ``_prefix``: the maximum of ``value`` over smaller keys.
+
+    Keys are grouped by all but their last ``bits[0]`` bits; the groups' maxima are
+    prefixed in the same way with the other bits.  The last level is a window over one row per group.
     """
-    n = df.count()
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    wanted = max(math.ceil(n / rows_per_block), min(parallelism, n // MIN_ROWS_PER_BLOCK))
-    blocks = max(1, min(max_blocks, wanted))
-    if blocks == 1 or n == 0:
-        return []
-    frac = min(1.0, min(blocks * SAMPLE_PER_BLOCK, MAX_SAMPLE) / n)
-    t, e = arrival_key_cols()
-    sample = df.select(t.alias("t"), e.alias("e")).sample(False, frac, seed)
-    tiles = (sample.withColumn("tile", F.ntile(blocks).over(Window.orderBy("t", "e")))
-             .where(F.col("tile") > 1)
-             .groupBy("tile").agg(F.min(F.struct("t", "e")).alias("b")))
-    return sorted({(r.b.t, r.b.e) for r in tiles.collect()})
+    def earlier(w: Window) -> Column:
+        return F.max(value).over(w.orderBy(key).rowsBetween(Window.unboundedPreceding, -1))
+
+    if not bits:
+        return table.withColumn("_prefix", earlier(Window.partitionBy()))
+    group = f"{key}_of"
+    table = table.withColumn(group, F.shiftright(key, bits[0]))
+    above = _earlier_max(table.groupBy(group).agg(F.max(value).alias(value)), group, value, bits[1:])
+    above = above.select(group, F.col("_prefix").alias("_above"))
+    return (table.withColumn("_within", earlier(Window.partitionBy(group))).join(above, group)
+            .withColumn("_prefix", F.greatest("_within", "_above")).drop("_within", "_above", group))
+
+
+def arrival_steps(staged: DataFrame) -> DataFrame:
+    """One row per arrival time ``_t``: ``_prefix`` (maximum of all earlier times) and
+    ``_steps`` (key and new maximum, in order, of the records that raise it)."""
+    firsts = (staged.where(F.col("_cand").isNotNull()).groupBy("_t", "_cand").agg(F.min("_key").alias("_key")))
+    so_far = F.max("_cand").over(Window.partitionBy("_t").orderBy("_key", "_cand").rowsBetween(Window.unboundedPreceding, 0))
+    rising = firsts.withColumn("_top", so_far).where(F.col("_top") == F.col("_cand"))
+    per_time = rising.groupBy("_t").agg(F.max("_cand").alias("_max"),
+                                        F.array_sort(F.collect_list(F.struct("_key", "_cand"))).alias("_steps"))
+    return _earlier_max(per_time, "_t", "_max", LEVEL_BITS).drop("_max")
 
 
 def with_arrival_watermark(df: DataFrame, tolerance_ms: int = C.MAX_ALLOWED_DELAY_MS,
-                           bounds: list[tuple[int, str]] | None = None,
-                           rows_per_block: int = ROWS_PER_BLOCK,
-                           max_blocks: int = MAX_BLOCKS,
-                           carried_watermark: Column | int | None = None,
-                           materialize_as: str | None = None) -> DataFrame:
+                           carried_watermark: Column | int | None = None) -> DataFrame:
     """Adds ``watermark`` (after this record's update) and ``is_late``.
 
-    ``event_time`` NULL falls back to ``ingestion_time`` (deterministic
-    replays).  ``carried_watermark`` is the watermark reached by earlier input
-    (streaming micro-batches); default 0.
-
-    ``materialize_as``: write the block-scanned rows once as Parquet below
-    ``spark.checkpoint.dir`` and derive the per-block maxima from that table
-    (two columns), instead of a second pass over the input — for callers that
-    read the result several times.
+    ``event_time`` NULL falls back to ``ingestion_time``; a record with neither is
+    accepted and moves nothing.  ``carried_watermark`` is the watermark reached by
+    earlier input (streaming micro-batches); default 0.
     """
-    if bounds is None:
-        bounds = arrival_block_bounds(df, rows_per_block, max_blocks)
     t, e = arrival_key_cols()
-    et = F.coalesce(F.col("event_time"), F.col("ingestion_time"))
-    if not bounds:
-        block = F.lit(0)
-    elif len(bounds) <= TREE_MAX_BOUNDS:
-        block = _search_tree(t, e, bounds, 0, len(bounds))
-    else:
-        block = _searchsorted_block(df.sparkSession, bounds)(t, e)
-    staged = df.withColumn("_blk", block).withColumn("_cand", et - F.lit(tolerance_ms))
-
-    in_block = (Window.partitionBy("_blk").orderBy(t, e)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # One exchange of the rows on the block id, with an explicit partition
-    # count so AQE does not pack blocks into one task.  Few blocks: range
-    # partitioning, one block per task (its sampling pass is cheap at that
-    # size).  Many blocks: hashed into as many partitions as blocks; blocks
-    # are equal-sized, so a task holds a handful at worst.
-    n_blocks = len(bounds) + 1
-    if n_blocks <= TREE_MAX_BOUNDS + 1:
-        clustered = staged.repartitionByRange(n_blocks, "_blk")
-    else:
-        clustered = staged.repartition(n_blocks, "_blk")
-    scanned = clustered.withColumn("_local", F.max("_cand").over(in_block))
-
-    if materialize_as is not None:
-        from vitrine.session import materialize
-        scanned = materialize(scanned, materialize_as)
-        per_block = scanned.groupBy("_blk").agg(F.max("_local").alias("_bmax"))
-    else:
-        per_block = staged.groupBy("_blk").agg(F.max("_cand").alias("_bmax"))
-    order_blocks = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = per_block.select("_blk", F.max("_bmax").over(order_blocks).alias("_prefix"))
-    if materialize_as is not None:
-        # Several branches will read the result: compute the block prefixes
-        # once (at most MAX_BLOCKS rows, a bound fixed by parameter) instead
-        # of once per branch.
-        prefix = df.sparkSession.createDataFrame(
-            [tuple(r) for r in prefix.collect()], "_blk int, _prefix long")
-
-    start = F.lit(0) if carried_watermark is None else (
-        F.lit(carried_watermark) if isinstance(carried_watermark, int) else carried_watermark)
-    out = (scanned.join(F.broadcast(prefix), "_blk", "left")
-           .withColumn("watermark", F.greatest(start.cast("long"),
-                                               F.coalesce(F.col("_prefix"), F.lit(LONG_MIN)),
-                                               F.col("_local")))
-           .withColumn("is_late", F.coalesce(et < F.col("watermark"), F.lit(False))))
-    return out.drop("_blk", "_cand", "_local", "_prefix")
+    et = event_time_or_arrival()
+    staged = df.withColumns({"_t": t, "_key": F.struct(e.alias("e"), F.xxhash64(*df.columns).alias("h")),
+                             "_cand": et - F.lit(tolerance_ms)})
+    steps = arrival_steps(staged.select("_t", "_key", "_cand"))
+    reached = F.filter("_steps", lambda s: s["_key"] <= F.col("_key"))
+    start = F.lit(carried_watermark if carried_watermark is not None else 0) \
+        if not isinstance(carried_watermark, Column) else carried_watermark
+    joined = staged.join(steps, "_t", "left")
+    return (joined.withColumn("watermark", F.greatest(start.cast("long"), F.col("_prefix"),
+                                                      F.element_at(F.transform(reached, lambda s: s["_cand"]), -1)))
+            .withColumn("is_late", F.coalesce(et < F.col("watermark"), F.lit(False)))
+            .drop("_t", "_key", "_cand", "_prefix", "_steps"))
 
 
 def accepted_events(with_wm: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ A put appends ``(row_key, put_seq, cells...)``.  Views:
   key written a billion times still ships one row per map task;
 * last N versions: ``row_number() <= N`` over ``put_seq desc``; Spark plans
   a WindowGroupLimit under the exchange, i.e. a map-side top-N per key.
+
+Puts of one key with equal ``put_seq`` are ordered by their cells, so both views
+are the same under any order of the input.
 """
 
 from __future__ import annotations
@@ -19,12 +22,13 @@ from vitrine import constants as C
 
 def latest_by_key(changelog: DataFrame, key: str = "row_key", seq: str = "put_seq") -> DataFrame:
     cells = [c for c in changelog.columns if c not in (key,)]
-    latest = F.max_by(F.struct(*[F.col(c) for c in cells]), F.col(seq)).alias("_v")
+    latest = F.max_by(F.struct(*cells), F.struct(seq, *cells)).alias("_v")
     return changelog.groupBy(key).agg(latest).select(key, *[F.col(f"_v.{c}").alias(c) for c in cells])
 
 
 def versions_by_key(changelog: DataFrame, n: int, key: str = "row_key", seq: str = "put_seq") -> DataFrame:
-    w = Window.partitionBy(key).orderBy(F.col(seq).desc())
+    cells = [F.col(c).desc() for c in changelog.columns if c not in (key, seq)]
+    w = Window.partitionBy(key).orderBy(F.col(seq).desc(), *cells)
     return changelog.withColumn("version", F.row_number().over(w)).where(F.col("version") <= n)
 
 

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from vitrine import constants as C
 from vitrine.functions.columns import row_key
-from vitrine.operators.lateness import arrival_key_cols
+from vitrine.functions.defaults import stream_defaults
+from vitrine.operators.lateness import arrival_key_cols, event_time_or_arrival
 
 
 def check_window(size_ms: int, slide_ms: int) -> None:
@@ -40,13 +41,17 @@ def sliding_click_counts(accepted: DataFrame, size_ms: int = C.WINDOW_SIZE_MS,
     The expansion grows with buckets x products, not with clicks.
 
     ``category``/``product_name`` are the product's own latest in the window
-    (not those of whichever click happened to close it).
+    (not those of whichever click happened to close it; of equal times the
+    largest).  The streaming defaults apply: a click without event time counts at its
+    arrival, without category or name under the defaults.
     """
     check_window(size_ms, slide_ms)
-    clicks = accepted.where(F.col("event_type") == C.CLICK)
+    defaults = stream_defaults()
     t = F.col("event_time")
-    per_bucket = (clicks.select(t, "product_id", "category", "product_name")
-                  .groupBy((t - F.pmod(t, F.lit(slide_ms))).alias("bucket"),
+    clicks = accepted.where(F.col("event_type") == C.CLICK).select(
+        event_time_or_arrival().alias("event_time"), "product_id", defaults["category"].alias("category"),
+        defaults["product_name"].alias("product_name"))
+    per_bucket = (clicks.groupBy((t - F.pmod(t, F.lit(slide_ms))).alias("bucket"),
                            "product_id", "category", "product_name")
                   .agg(F.count(F.lit(1)).alias("n"), F.max(t).alias("last_time")))
     bucket = F.col("bucket")
@@ -55,8 +60,8 @@ def sliding_click_counts(accepted: DataFrame, size_ms: int = C.WINDOW_SIZE_MS,
                                "product_id", "category", "product_name", "n", "last_time")
     return (fanned.groupBy("window_start", "product_id")
             .agg(F.sum("n").alias("clicks"),
-                 F.max_by("category", "last_time").alias("category"),
-                 F.max_by("product_name", "last_time").alias("product_name"))
+                 F.max_by("category", F.struct("last_time", "category")).alias("category"),
+                 F.max_by("product_name", F.struct("last_time", "product_name")).alias("product_name"))
             .select("window_start", (F.col("window_start") + F.lit(size_ms)).alias("window_end"),
                     "product_id", "clicks", "category", "product_name"))
 

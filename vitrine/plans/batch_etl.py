@@ -1,36 +1,46 @@
 """The daily batch ETL job: raw JSON lines -> warehouse tables.
 
-    raw lines ──parse once (explicit schema)──> silver Parquet
-                 quality=good/event_date=…  ·  quality=rejected (quarantine)
-                                    one columnar scan per table ▼
+    raw lines ──parse once (explicit schema)──> silver Parquet, one folder per load
+                 load_id=…/quality=good/event_date=…  ·  load_id=…/quality=rejected (quarantine)
+                                    columnar scans of all loads ▼
                  dw_sales_funnel_daily · dw_logistics_sla_daily · dw_abandoned_carts_daily
+                 cart subtotals · click-checkout pair count
 
-Compared with reading the raw JSON once per output (inference, count, each
-aggregate, each write), the raw text is parsed exactly once; the three
-aggregates read only the silver columns they need.  Every write replaces only
-the partitions it produces, so re-running a day is idempotent.
+The raw text of a load is parsed exactly once; the aggregates read only the
+silver columns they need, of all loads.  A load is named after its input (or by
+the caller).  Running it again replaces that load and no other, so late events of
+an earlier day, and earlier quarantined lines, are never lost.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.functions.columns import utc_date
+from vitrine.functions.columns import run_date, utc_date
 from vitrine.operators.carts import abandoned_carts
-from vitrine.operators.funnel import funnel
+from vitrine.operators.funnel import cart_subtotal_by_category, funnel
 from vitrine.operators.logistics import logistics_sla
+from vitrine.operators.pairs import click_checkout_pair_count
 from vitrine.schemas import CORRUPT_COLUMN, EVENT_COLUMNS, EVENT_SCHEMA
 from vitrine.sinks.warehouse import Warehouse
 from vitrine.sources.json_lines import parse_json_lines, read_lines
 
 
-def write_silver(spark: SparkSession, raw_path: str, silver_path: str) -> dict:
-    """Parse once, write once: ``silver_path/quality=good/event_date=…`` holds
+def load_name(raw_path: str) -> str:
+    """Name of a load: fixed by its input path."""
+    return hashlib.sha256(raw_path.rstrip("/").encode()).hexdigest()[:16]
+
+
+def write_silver(spark: SparkSession, raw_path: str, silver_path: str, load_id: str | None = None) -> dict:
+    """Parse once, write once: ``load_id=…/quality=good/event_date=…`` holds
     the events, ``quality=rejected`` the malformed lines (``_line`` is kept only
-    for those, so it costs nothing on good rows).  Returns the loaded-record
-    counters (Q1), observed during that same write — no extra pass."""
+    for those, so it costs nothing on good rows).  The whole load is replaced, no
+    other one is touched.  Returns the loaded-record counters (Q1), observed during
+    that same write — no extra pass."""
     from pyspark.sql import Observation
 
     parsed = parse_json_lines(read_lines(spark, raw_path))
@@ -43,15 +53,16 @@ def write_silver(spark: SparkSession, raw_path: str, silver_path: str) -> dict:
                        F.coalesce(utc_date("event_time"), F.lit("unknown"))).alias("event_date"))
      .observe(counters, F.count(F.when(F.col("quality") == "good", 1)).alias("silver_events"),
               F.count(F.when(F.col("quality") == "rejected", 1)).alias("rejects"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("quality", "event_date").parquet(silver_path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("quality", "event_date").parquet(f"{silver_path.rstrip('/')}/load_id={load_id or load_name(raw_path)}"))
     return counters.get
 
 
 def _silver(spark: SparkSession, silver_path: str) -> DataFrame:
     schema = T.StructType(EVENT_SCHEMA.fields + [T.StructField("line", T.StringType()),
                                                  T.StructField("quality", T.StringType()),
-                                                 T.StructField("event_date", T.StringType())])
+                                                 T.StructField("event_date", T.StringType()),
+                                                 T.StructField("load_id", T.StringType())])
     return spark.read.schema(schema).parquet(silver_path)
 
 
@@ -65,23 +76,28 @@ def read_rejects(spark: SparkSession, silver_path: str) -> DataFrame:
 
 
 def run_daily_etl(spark: SparkSession, raw_path: str, silver_path: str, wh: Warehouse,
-                  dt: str | None = None, daily: bool = False) -> DataFrame:
-    """Runs the job; returns ``(table, rows)`` of what it wrote.
-
-    ``dt`` given and ``daily`` False: parity mode, all input stamped with
-    ``dt``.  ``daily``: funnel and SLA grouped by UTC event date.
-    Abandoned carts are always per event date (their definition).
+                  dt: str | None = None, daily: bool = False, load_id: str | None = None) -> DataFrame:
+    """Runs the job over one load and all earlier ones; returns what the tables hold.
+
+    ``dt`` given and ``daily`` False: parity mode, all input stamped with ``dt``
+    (default: today's UTC date, taken once for the run).  ``daily``: funnel and SLA
+    grouped by UTC event date.  Abandoned carts are always per event date (their
+    definition).  Result: column ``table`` and the columns of that table; besides the
+    three warehouse tables the cart subtotals (G2), the pair count (J2) and this load's
+    record counters (Q1).
     """
-    loaded = write_silver(spark, raw_path, silver_path)
+    dt = run_date(dt)
+    loaded = write_silver(spark, raw_path, silver_path, load_id)
     silver = read_silver(spark, silver_path)
     wh.write("dw_sales_funnel_daily", funnel(silver, dt=dt, daily=daily))
     wh.write("dw_logistics_sla_daily", logistics_sla(silver, dt=dt, daily=daily))
     wh.write("dw_abandoned_carts_daily", abandoned_carts(silver))
-    tables = [wh.read(t).select(F.lit(t).alias("table")) for t in
-              ("dw_sales_funnel_daily", "dw_logistics_sla_daily", "dw_abandoned_carts_daily")]
-    out = tables[0]
-    for c in tables[1:]:
-        out = out.unionByName(c)
-    written = out.groupBy("table").agg(F.count(F.lit(1)).alias("rows"))
-    observed = spark.createDataFrame([(k, int(v)) for k, v in loaded.items()], "table string, rows long")
-    return written.unionByName(observed)
+    parts = {t: wh.read(t) for t in ("dw_sales_funnel_daily", "dw_logistics_sla_daily", "dw_abandoned_carts_daily")}
+    parts["cart_subtotal_by_category"] = cart_subtotal_by_category(silver)
+    parts["click_checkout_pair_count"] = click_checkout_pair_count(silver)
+    parts |= {k: spark.range(1).select(F.lit(int(v)).cast("long").alias("rows")) for k, v in loaded.items()}
+    out = None
+    for name, part in parts.items():
+        part = part.withColumn("table", F.lit(name))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out

@@ -25,7 +25,7 @@ from vitrine.operators.pairs import click_checkout_pair_count, click_checkout_pa
 from vitrine.operators.windows import emitted_windows, sliding_click_counts, split_windows
 from vitrine.plans.batch_etl import run_daily_etl
 from vitrine.schemas import EVENT_COLUMNS
-from vitrine.session import ensure_session_settings, scratch_path
+from vitrine.session import ensure_session_settings, materialize, scratch_path
 from vitrine.sinks.warehouse import Warehouse, read_partitioned_path, write_partitioned_path
 from vitrine.sources import json_lines as J
 from vitrine.sources.driver_events import noisy_event_log, read_driver_events
@@ -144,12 +144,19 @@ def q_late_rate(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- windows, alerts, serving
-def accepted_snapshot(spark, sf_dir) -> DataFrame:
-    """Watermarked events for queries with several branches (windows, close
-    watermark, alerts): the block-scanned rows are written once as Parquet
-    below spark.checkpoint.dir, so the input is scanned and shuffled once and
-    every branch reads back only its columns."""
-    return with_arrival_watermark(events(spark, sf_dir), TOLERANCE_MS, materialize_as="watermarked")
+#: What the snapshot's readers use: keys of the arrival order, clicks, deliveries.
+CLICK_COLUMNS = ["event_id", "ingestion_time", "event_time", "event_type", "product_id", "category", "product_name",
+                 "watermark", "is_late"]
+DELIVERY_COLUMNS = ["order_id", "region", "carrier", "delay_minutes", "delivery_status"]
+
+
+def accepted_snapshot(spark, sf_dir, deliveries: bool = False) -> DataFrame:
+    """Accepted clicks (and deliveries) for queries with several branches, written
+    once as Parquet below spark.checkpoint.dir: all types take part in the
+    watermark, but only the rows and columns that the branches read are written."""
+    types = [C.CLICK, C.DELIVERY] if deliveries else [C.CLICK]
+    wm = accepted_events(watermarked(spark, sf_dir)).where(F.col("event_type").isin(*types))
+    return materialize(wm.select(*CLICK_COLUMNS, *(DELIVERY_COLUMNS if deliveries else [])), "accepted")
 
 
 def window_counts(wm: DataFrame) -> DataFrame:
@@ -200,33 +207,33 @@ def q_logistics_alerts(spark, sf_dir):
 
 @register("alerts_all")
 def q_alerts_all(spark, sf_dir):
-    return alert_changelog(accepted_snapshot(spark, sf_dir)).drop("put_seq")
+    return alert_changelog(accepted_snapshot(spark, sf_dir, deliveries=True)).drop("put_seq")
 
 
 @register("alerts_kv")
 def q_alerts_kv(spark, sf_dir):
-    return A.alerts_kv(alert_changelog(accepted_snapshot(spark, sf_dir)))
+    return A.alerts_kv(alert_changelog(accepted_snapshot(spark, sf_dir, deliveries=True)))
 
 
 @register("alerts_json")
 def q_alerts_json(spark, sf_dir):
-    return A.alerts_json(alert_changelog(accepted_snapshot(spark, sf_dir)))
+    return A.alerts_json(alert_changelog(accepted_snapshot(spark, sf_dir, deliveries=True)))
 
 
 @register("recent_alerts")
 def q_recent_alerts(spark, sf_dir):
-    alerts = alert_changelog(accepted_snapshot(spark, sf_dir)).drop("put_seq")
+    alerts = alert_changelog(accepted_snapshot(spark, sf_dir, deliveries=True)).drop("put_seq")
     return A.recent_alerts(alerts, C.LOGISTICS_ALERT_TYPE, RECENT_ALERTS_N)
 
 
 @register("alerts_latest")
 def q_alerts_latest(spark, sf_dir):
-    return S.alerts_latest(alert_changelog(accepted_snapshot(spark, sf_dir)))
+    return S.alerts_latest(alert_changelog(accepted_snapshot(spark, sf_dir, deliveries=True)))
 
 
 @register("alerts_versions")
 def q_alerts_versions(spark, sf_dir):
-    return S.alerts_versions(alert_changelog(accepted_snapshot(spark, sf_dir)))
+    return S.alerts_versions(alert_changelog(accepted_snapshot(spark, sf_dir, deliveries=True)))
 
 
 def metric_puts(spark, sf_dir) -> DataFrame:

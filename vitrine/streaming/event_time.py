@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from vitrine import constants as C
 from vitrine.functions.columns import epoch_ms_to_ts, row_key
 from vitrine.operators import alerts as A
-from vitrine.operators.lateness import arrival_key_cols, with_arrival_watermark
+from vitrine.operators.lateness import arrival_key_cols, event_time_or_arrival, with_arrival_watermark
 from vitrine.operators.windows import check_window, sliding_click_counts
 from vitrine.schemas import EVENT_SCHEMA
 from vitrine.sources.json_lines import good_events, parse_json_lines, rejected_lines
@@ -49,13 +49,12 @@ WINDOW_SCHEMA = ("window_start long, window_end long, product_id string, clicks
 class EventTimeJob:
     def __init__(self, spark: SparkSession, root: str, tolerance_ms: int = C.MAX_ALLOWED_DELAY_MS,
                  size_ms: int = C.WINDOW_SIZE_MS, slide_ms: int = C.WINDOW_SLIDE_MS,
-                 threshold: int = C.HOT_PRODUCT_THRESHOLD, rows_per_block: int = 1_000_000,
+                 threshold: int = C.HOT_PRODUCT_THRESHOLD,
                  state_store: str | None = ROCKSDB_PROVIDER, state_partitions: int | None = None,
                  fail_after: str | None = None):
         check_window(size_ms, slide_ms)
         self.spark, self.root = spark, root.rstrip("/")
         self.tol, self.size, self.slide, self.threshold = tolerance_ms, size_ms, slide_ms, threshold
-        self.rows_per_block = rows_per_block
         self.state_store = state_store
         self.state_partitions = state_partitions
         self.fail_after = fail_after          # fault injection for tests
@@ -107,8 +106,8 @@ class EventTimeJob:
             previous = self._last_state(before=batch_id)
             carried = int(previous.wm_end) if previous is not None and previous.wm_end is not None else 0
             prev_click = None if previous is None else previous.click_wm
-            wm = with_arrival_watermark(good_events(parsed), self.tol, carried_watermark=carried,
-                                        rows_per_block=self.rows_per_block)
+            events = good_events(parsed).withColumn("event_time", event_time_or_arrival())
+            wm = with_arrival_watermark(events, self.tol, carried_watermark=carried)
             wm = wm.persist(StorageLevel.MEMORY_AND_DISK)
             # Each output appears atomically and only once; a replay after a
             # crash between these steps recomputes identical data and skips
@@ -146,8 +145,8 @@ class EventTimeJob:
         return (acc.where(F.col("event_type") == C.CLICK)
                 .groupBy(win.alias("w"), "product_id")
                 .agg(F.count(F.lit(1)).alias("clicks"),
-                     F.max_by("category", "event_time").alias("category"),
-                     F.max_by("product_name", "event_time").alias("product_name"))
+                     F.max_by("category", F.struct("event_time", "category")).alias("category"),
+                     F.max_by("product_name", F.struct("event_time", "product_name")).alias("product_name"))
                 .select(F.unix_millis(F.col("w.start")).alias("window_start"),
                         F.unix_millis(F.col("w.end")).alias("window_end"),
                         "product_id", "clicks", "category", "product_name"))
