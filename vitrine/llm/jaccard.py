@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrine.llm.components import connected_components
-from vitrine.llm.text import grams, mix64, words
+from vitrine.llm.text import grams, mix64, small_batches, words
 from vitrine.session import materialize
 
 SHINGLE = 5
@@ -47,7 +47,7 @@ RUN = 16
 #: Text that one shard of signatures is made for.
 SHARD_BYTES = 16 << 20
 MIN_SHARDS = 16
-ROWS_AT_ONCE = 500
+ROWS_AT_ONCE = 250
 #: A shard is sorted in so many pieces (as a power of two), by other bits of the signatures.
 PIECE_BITS = 3
 #: Ids of sets to look up are broadcast up to this many; beyond it the look-up is a shuffled join.
@@ -143,18 +143,24 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(sketch, pa.binary())], ["doc_id", "n_shingles", "set_id", "sketch"])
 
 
-@F.arrow_udf(T.ArrayType(T.LongType()))
-def _elements(text: pa.Array) -> pa.Array:
-    """The set of a text as an array."""
-    offsets, values, base = [np.zeros(1, np.int64)], [], 0
+_SET = T.StructType([T.StructField("id", T.LongType()), T.StructField("elements", T.ArrayType(T.LongType()))])
+
+
+@F.arrow_udf(_SET)
+def _read_set(text: pa.Array) -> pa.Array:
+    """The set of a text: its id, and its elements."""
+    ids, offsets, values, base = [], [np.zeros(1, np.int64)], [], 0
     for lo in range(0, len(text), ROWS_AT_ONCE):
         piece = text[lo:lo + ROWS_AT_ONCE]
         row, value = shingle_sets(piece)
-        offsets.append(base + np.cumsum(np.bincount(row, minlength=len(piece))))
+        n = np.bincount(row, minlength=len(piece))
+        ids.append(_set_ids(row, value, n))
+        offsets.append(base + np.cumsum(n))
         values.append(value.astype(np.int64))
         base += len(value)
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(offsets), pa.int32()),
-                                    pa.array(np.concatenate(values) if values else np.zeros(0, np.int64)))
+    cat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(offsets), pa.int32()), pa.array(cat(values)))
+    return pa.StructArray.from_arrays([pa.array(cat(ids), pa.int64()), lists], ["id", "elements"])
 
 
 # ---- signatures ----------------------------------------------------------------------------------------------------
@@ -336,19 +342,10 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, broadcast_rows: int) -> DataFra
     wanted = materialize(wanted, "jaccard-wanted")
     small = wanted.count() <= broadcast_rows
     rows = docs.select("doc_id", "text").join(F.broadcast(wanted) if small else wanted, F.col("doc_id") == F.col("rep"))
-    read = rows.select("set_id", F.col("n_shingles"), _elements("text").alias("elements"))
-    # Rows that repeat a doc_id with another text are told apart by their set's size and hash.
-    same = read.where((F.size("elements") == F.col("n_shingles")) & (_hash_of("elements") == F.col("set_id")))
-    return materialize(same.select("set_id", "elements").dropDuplicates(["set_id"]), "jaccard-sets")
-
-
-@F.arrow_udf(T.LongType())
-def _hash_of(elements: pa.Array) -> pa.Array:
-    out = []
-    for x in elements:
-        value = np.array(x.values.to_numpy(zero_copy_only=False), np.int64).view(np.uint64)
-        out.append(int(_set_ids(np.zeros(len(value), np.int64), value, np.array([len(value)]))[0]))
-    return pa.array(out, pa.int64())
+    read = rows.select("set_id", _read_set("text").alias("s"))
+    # Rows that repeat a doc_id with another text are told apart by their set's id.
+    same = read.where(F.col("s.id") == F.col("set_id")).select("set_id", F.col("s.elements").alias("elements"))
+    return materialize(same.dropDuplicates(["set_id"]), "jaccard-sets")
 
 
 def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -432,6 +429,7 @@ def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _grouped(docs: DataFrame, **limits: int) -> DataFrame:
     """(doc_id, n_shingles, set_id, component_id, component) of every row; NULL ids are NO_ID, empty sets have no component."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     described, classes = describe(docs)
     links = materialize(set_links(docs, classes, **limits), "jaccard-links")

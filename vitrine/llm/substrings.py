@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.text import Words, grams, mix64, words
+from vitrine.llm.text import Words, grams, mix64, small_batches, words
 
 LENGTH = 13
 SEED = 5
@@ -492,6 +492,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, shar
     """
     if not seed <= length <= 200:
         raise ValueError("length must be from seed to 200 words")
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")) \
         .select("id", F.coalesce("id", F.lit(NO_ID)).alias("doc_id"), F.xxhash64("id", "text").alias("row_key"), "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0

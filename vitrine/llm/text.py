@@ -12,7 +12,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
+BATCH_ROWS = 1000         # texts in an Arrow batch
 CHUNK = 1 << 20           # bytes hashed at once: bounds the temporaries of a batch
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -41,6 +43,15 @@ _CODES = {False: _byte_codes(False), True: _byte_codes(True)}
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Lowers the session's number of rows in an Arrow batch: its default of 10,000 is meant for
+    narrow rows, and that many texts are held several times over on the way to Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 class Words(NamedTuple):
     hash: np.ndarray      # uint64 per word
     start: np.ndarray     # first byte of each word in `data`
