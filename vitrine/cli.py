@@ -46,14 +46,14 @@ def _parser() -> argparse.ArgumentParser:
     ld.add_argument("--landing", required=True)
     ld.add_argument("--checkpoint", required=True)
     ld.add_argument("--once", action="store_true")
-    ld.add_argument("--max-records-per-file", type=int, default=0)
+    ld.add_argument("--max-records-per-file", type=int, default=C.LANDING_ROLL_RECORDS)
     return p
 
 
 def main(argv: list[str] | None = None, spark=None):
     args = _parser().parse_args(argv)
     from vitrine.session import build_session, ensure_session_settings
-    spark = spark or build_session(master=os.environ.get("VITRINE_MASTER", "local[*]"))
+    spark = spark or build_session(master=os.environ.get("VITRINE_MASTER"))
     ensure_session_settings(spark)
 
     if args.command == "etl":

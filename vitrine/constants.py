@@ -51,3 +51,6 @@ LANDING_ROLL_SECONDS = 60
 
 # Written in a row key in place of a part that is NULL.
 NULL_KEY_PART = "NULL"
+
+# Records per landed file: the documented 10 MB roll at about 500 bytes a record.
+LANDING_ROLL_RECORDS = 20_000

@@ -341,10 +341,14 @@ WHERE dt = '{PRUNED_DT}'""")
 # ---- streaming: equal to the batch results
 ORACLE["land_raw_stream"] = ORACLE["scan_tolerant"]
 ORACLE["fanout_counts"] = with_ev("""
-SELECT c.consumer, t.event_type, CAST(count(*) AS BIGINT) AS events
+SELECT c.consumer, CASE WHEN c.consumer = 'stream' THEN 'ecommerce_stream' END AS source_stream, t.event_type, CAST(count(*) AS BIGINT) AS events
 FROM (SELECT event_type FROM ev UNION ALL SELECT NULL FROM noise WHERE d = 77) t,
      (VALUES ('landing'), ('stream')) AS c(consumer)
 GROUP BY c.consumer, t.event_type""", _NOISE)
+ORACLE["stream_follow"] = with_ev("""
+SELECT e.window_start, e.window_end, e.product_id, e.clicks, e.row_key, ta.row_key AS alert_key
+FROM emitted e LEFT JOIN ta ON e.window_start = ta.window_start AND e.product_id = ta.product_id
+WHERE e.closed""", _WM, _WIN)
 ORACLE["stream_once"] = with_ev(
     "SELECT window_start, window_end, product_id, clicks, row_key FROM emitted", _WM, _WIN)
 

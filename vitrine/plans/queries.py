@@ -393,17 +393,17 @@ def q_fanout_counts(spark, sf_dir):
     _await(L.start_landing(lines, f"{root}/landing", f"{root}/_chk/landing", once=True),
            L.start_type_counter(lines, f"{root}/counts", f"{root}/_chk/counts", once=True))
     landed = (J.read_tolerant(spark, f"{root}/landing").groupBy("event_type")
-              .agg(F.count(F.lit(1)).alias("events")).withColumn("consumer", F.lit("landing")))
-    streamed = (L.read_type_counts(spark, f"{root}/counts").drop("source_stream")
-                .withColumn("consumer", F.lit("stream")))
-    return landed.unionByName(streamed).select("consumer", "event_type", "events")
+              .agg(F.count(F.lit(1)).alias("events"))
+              .withColumns({"consumer": F.lit("landing"), "source_stream": F.lit(None).cast("string")}))
+    streamed = L.read_type_counts(spark, f"{root}/counts").withColumn("consumer", F.lit("stream"))
+    return landed.unionByName(streamed).select("consumer", "source_stream", "event_type", "events")
 
 
-def stream_job(spark, sf_dir, slices: int = STREAM_SLICES) -> EventTimeJob:
+def stream_job(spark, sf_dir, slices: int = STREAM_SLICES, flush: bool = True) -> EventTimeJob:
     """Runs the two-stage event-time stream over the log while it arrives:
     both stages run continuously; the log is published in arrival slices
     (each written aside and renamed into the source folder, so a slice is one
-    micro-batch); then end of input and the flush."""
+    micro-batch); then end of input and, unless it is to be read live, the flush."""
     root = scratch_path(spark, "stream")
     job = EventTimeJob(spark, root, TOLERANCE_MS, WINDOW_MS, SLIDE_MS, HOT_THRESHOLD)
     parts = arrival_slices(events(spark, sf_dir), slices)
@@ -426,7 +426,8 @@ def stream_job(spark, sf_dir, slices: int = STREAM_SLICES) -> EventTimeJob:
     for q in (accept, windows):
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-    job.flush()
+    if flush:
+        job.flush()
     return job
 
 
@@ -435,6 +436,15 @@ def q_stream_once(spark, sf_dir):
     return stream_job(spark, sf_dir).windows().select(*WINDOW_OUT, "row_key")
 
 
+@register("stream_follow")
+def q_stream_follow(spark, sf_dir):
+    """Live results (K8, K9, T6, T8): what is readable before any flush, the closed windows with their alert keys."""
+    job = stream_job(spark, sf_dir, flush=False)
+    trending = job.alert_puts().where(F.col("alert_type") == C.TRENDING_ALERT_TYPE) \
+        .select("window_start", "product_id", F.col("row_key").alias("alert_key"))
+    return job.windows().join(trending, ["window_start", "product_id"], "left").select(*WINDOW_OUT, "row_key", "alert_key")
+
+
 # ---------------------------------------------------------------- daily mode, ETL job, stream serving
 @register("funnel_daily")
 def q_funnel_daily(spark, sf_dir):

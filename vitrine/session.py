@@ -8,6 +8,7 @@ absent (unit tests, a laptop) do we pick a local folder ourselves.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -44,20 +45,38 @@ def cluster_conf(total_cores: int) -> dict:
     }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "vitrine", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
-    conf = dict(SESSION_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for key, value in conf.items():
+    """A session for tests, the bench (both name a local master) and the command line.
+
+    Without ``master`` the launcher's one counts (``spark-submit --master``), and the
+    settings of ``cluster_conf`` are defaults: whatever was given to spark-submit
+    or in spark-defaults.conf stays.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    given = dict(extra or {})
+    if master:
+        builder = builder.master(master)
+        given = {**SESSION_CONF, **given}
+    if shuffle_partitions:
+        given["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in given.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not master:
+        explicit = dict(spark.sparkContext.getConf().getAll())
+        for key, value in default_settings(spark.sparkContext.defaultParallelism, explicit).items():
+            spark.conf.set(key, value)
     ensure_session_settings(spark)
     return spark
 
 
+def default_settings(total_cores: int, explicit: dict) -> dict:
+    """The SQL settings of ``cluster_conf`` that nobody has given."""
+    return {k: v for k, v in cluster_conf(total_cores).items() if k.startswith("spark.sql.") and k not in explicit}
+
+
 def ensure_session_settings(spark: SparkSession) -> None:
     """UTC is part of the semantics (epoch-ms <-> dates); pin it."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -67,13 +86,15 @@ def ensure_session_settings(spark: SparkSession) -> None:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate data: ``spark.checkpoint.dir``.
 
-    Read from the session; only when unset do we create a local one (tests)
-    and register it, so ``DataFrame.checkpoint()`` writes there too.
+    Read from the session; only when unset, and only under a local master, do we
+    create a local one (tests) and register it, so ``DataFrame.checkpoint()``
+    writes there too.  On a cluster a local folder would be lost data: refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        refuse_local_scratch(spark.sparkContext.master)
         root = tempfile.mkdtemp(prefix="vitrine-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
@@ -81,6 +102,12 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def refuse_local_scratch(master: str) -> None:
+    """Raises where executors do not share the driver's disk."""
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared scratch root."""
     return f"{scratch_root(spark)}/vitrine/{name}-{uuid.uuid4().hex[:12]}"

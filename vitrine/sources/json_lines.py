@@ -25,18 +25,19 @@ def to_json_lines(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return events.select(F.to_json(F.struct(*[F.col(c) for c in EVENT_COLUMNS])).alias("value"), *keep)
 
 
-def parse_json_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
+def parse_json_lines(lines: DataFrame, line_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Non-blank lines parsed against EVENT_SCHEMA; keeps the raw line and a
     ``_corrupt_record`` that is set for malformed, non-object or wrongly typed
-    lines.  Blank lines are dropped (they are not rejects)."""
+    lines.  Blank lines are dropped (they are not rejects).  ``keep`` columns
+    of the lines ride along."""
     parsed = F.from_json(F.col(line_col), EVENT_SCHEMA_WITH_CORRUPT, PARSE_OPTIONS)
     return (lines.where(non_blank(line_col))
-            .select(F.col(line_col).alias("_line"), parsed.alias("_j"))
-            .select("_line", "_j.*"))
+            .select(F.col(line_col).alias("_line"), *keep, parsed.alias("_j"))
+            .select("_line", *keep, "_j.*"))
 
 
-def good_events(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col(CORRUPT_COLUMN).isNull()).select(*EVENT_COLUMNS)
+def good_events(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return parsed.where(F.col(CORRUPT_COLUMN).isNull()).select(*EVENT_COLUMNS, *keep)
 
 
 def rejected_lines(parsed: DataFrame) -> DataFrame:

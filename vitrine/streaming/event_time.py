@@ -181,7 +181,7 @@ class EventTimeJob:
              .withColumn("row_key", row_key(cat, F.col("product_id")))
              .withColumn("batch_id", F.lit(batch_id).cast("long"))
              .write.mode("overwrite").parquet(self.path("native", f"batch_id={batch_id}")))
-            (candidates.where(~closed).coalesce(1)
+            (candidates.where(~closed).repartition("product_id")     # small files are merged by AQE
              .write.mode("overwrite").parquet(self.path("pending", f"batch_id={batch_id}")))
         finally:
             candidates.unpersist()
@@ -251,11 +251,25 @@ class EventTimeJob:
 
     # ------------------------------------------------------------ results
     def windows(self) -> DataFrame:
-        """Every emitted (window, product): natively closed ∪ flushed."""
-        native = self.native().select("window_start", "window_end", "product_id", "clicks", "category",
-                                      "product_name", "row_key", F.lit(False).alias("is_final"))
-        flushed = self.spark.read.parquet(self.path("flushed"))
-        return native.unionByName(flushed)
+        """Every window emitted so far: published ones, and after the end of input
+        the flushed ones.  Readable at any time of a running stream: windows that wait for
+        the next micro-batch but which the last click's watermark has passed are closed too."""
+        columns = ["window_start", "window_end", "product_id", "clicks", "category", "product_name", "row_key", "is_final"]
+        parts = []
+        if exists(self.spark, self.path("native")):
+            parts.append(self.native().withColumn("is_final", F.lit(False)))
+        if exists(self.spark, self.path("flushed")):
+            parts.append(self.spark.read.parquet(self.path("flushed")))
+        else:
+            pending, close_wm = self._pending(), self.close_watermark()
+            if pending is not None and close_wm is not None:
+                cat = F.coalesce(F.col("category"), F.lit(C.DEFAULT_STREAM_CATEGORY))
+                parts.append(pending.where(F.col("window_end") <= F.lit(close_wm)).withColumns(
+                    {"row_key": row_key(cat, F.col("product_id")), "is_final": F.lit(False)}))
+        out = self.spark.createDataFrame([], WINDOW_SCHEMA + ", row_key string, is_final boolean").select(*columns)
+        for part in parts:
+            out = out.unionByName(part.select(*columns))
+        return out
 
     def metric_puts(self) -> DataFrame:
         return self.windows().select("row_key", F.col("clicks").alias("clicks_window"),
@@ -263,9 +277,10 @@ class EventTimeJob:
                                      F.col("window_end").alias("put_seq"))
 
     def alert_puts(self) -> DataFrame:
-        logistics = self.spark.read.parquet(self.path("alert_puts")).drop("batch_id")
         trending = A.trending_alerts(self.windows(), self.threshold)
-        return A.all_alerts(logistics, trending)
+        if not exists(self.spark, self.path("alert_puts")):
+            return A.all_alerts(A.logistics_alerts(self.spark.createDataFrame([], EVENT_SCHEMA)), trending)
+        return A.all_alerts(self.spark.read.parquet(self.path("alert_puts")).drop("batch_id"), trending)
 
 
 def start_native_only(spark: SparkSession, lines: DataFrame, out_dir: str, checkpoint: str,

@@ -51,9 +51,10 @@ def line_stream(spark: SparkSession, source: str, max_files_per_trigger: int | N
 
 
 def start_landing(lines: DataFrame, landing_dir: str, checkpoint: str, once: bool = False,
-                  max_records_per_file: int = 0,
+                  max_records_per_file: int = C.LANDING_ROLL_RECORDS,
                   interval_seconds: int = C.LANDING_ROLL_SECONDS) -> StreamingQuery:
-    """Raw line text to ``landing_dir/year=YYYY/month=MM/day=DD`` (K1, K2)."""
+    """Raw line text to ``landing_dir/year=YYYY/month=MM/day=DD`` (K1, K2).  Files roll with
+    the trigger and at ``max_records_per_file`` (0: by the trigger alone)."""
     layout = lines.select("value", *date_parts(F.current_timestamp()))
     writer = (layout.writeStream.format("text").outputMode("append")
               .option("path", landing_dir).option("checkpointLocation", checkpoint)
@@ -68,9 +69,9 @@ def start_type_counter(lines: DataFrame, out_dir: str, checkpoint: str, once: bo
     per (source_stream, event_type), appended as partial counts.  Readers sum
     them; a replayed batch overwrites its own folder (idempotent)."""
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_json_lines(batch.select("value"))
-        counts = (good_events(parsed).groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
-                  .withColumn("source_stream", F.lit(C.SOURCE_STREAM_TAG)))
+        parsed = parse_json_lines(batch.select("value", "source_stream"), keep=("source_stream",))
+        counts = (good_events(parsed, keep=("source_stream",)).groupBy("source_stream", "event_type")
+                  .agg(F.count(F.lit(1)).alias("events")))
         counts.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     return (lines.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
