@@ -50,6 +50,7 @@ MIN_SHARDS = 16
 ROWS_AT_ONCE = 250
 #: A shard is sorted in so many pieces (as a power of two), by other bits of the signatures.
 PIECE_BITS = 3
+PAIRS_AT_ONCE = 1_000_000
 #: Ids of sets to look up are broadcast up to this many; beyond it the look-up is a shuffled join.
 BROADCAST_ROWS = 2_000_000
 NO_ID = 2 ** 63 - 1
@@ -348,34 +349,65 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, broadcast_rows: int) -> DataFra
     return materialize(same.dropDuplicates(["set_id"]), "jaccard-sets")
 
 
+def _folded(sketches: list[bytes], bins: int) -> np.ndarray:
+    """Counts of each sketch added up to `bins` bins (sketches with fewer are left at zero)."""
+    out = np.zeros((len(sketches), bins), np.int32)
+    for i, sketch in enumerate(sketches):
+        if len(sketch) >= bins:
+            out[i] = np.frombuffer(sketch, np.uint8).reshape(-1, bins).sum(axis=0, dtype=np.int32)
+    return out
+
+
 def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(shingle, set_id, component, n_shingles, sketch), a task holding all of a shingle -> pairs of different components."""
+    """(shingle, set_id, component, n_shingles, sketch), a task holding all of a shingle -> pairs of different components.
+
+    A pair that several shingles give is tested once a block of PAIRS_AT_ONCE.
+    """
     held = list(batches)
     if not held:
         return
     table = pa.Table.from_batches(held)
-    shingle, ids, comp, n = (table.column(c).to_numpy() for c in ("shingle", "set_id", "component", "n_shingles"))
-    sketch = table.column("sketch")
-    order = np.lexsort((ids, comp, shingle))
-    shingle = shingle[order]
-    cut = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1], [True]])) if len(shingle) else [0]
-    seen: set[tuple[int, int]] = set()
-    xs, ys = [], []
-    for a, b in zip(cut[:-1], cut[1:]):
-        members = order[a:b]
-        c = comp[members]
-        end = np.searchsorted(c, c, "right")               # components stand together: partners are behind one's own
-        for i, m in enumerate(members[:-1].tolist() if c[0] != c[-1] else []):
-            others = members[end[i]:]
-            fit = 4 * np.minimum(n[others], n[m]) >= 3 * np.maximum(n[others], n[m])
-            for o in others[fit].tolist():
-                pair = (min(ids[m], ids[o]), max(ids[m], ids[o]))
-                if pair not in seen:
-                    seen.add(pair)
-                    if may_link(sketch[m].as_py(), sketch[o].as_py(), int(n[m]), int(n[o])):
-                        xs.append(pair[0])
-                        ys.append(pair[1])
-    yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64())], ["x", "y"])
+    shingle, ids, comp = (table.column(c).to_numpy() for c in ("shingle", "set_id", "component"))
+    order = np.lexsort((comp, shingle))
+    shingle, comp = shingle[order], comp[order]
+    sets, first, member = np.unique(ids[order], return_index=True, return_inverse=True)
+    n = table.column("n_shingles").to_numpy()[order][first].astype(np.int64)
+    sketches = [x.as_py() for x in table.column("sketch").take(pa.array(order[first]))]
+    bins = np.array([len(x) for x in sketches])
+    full = np.array([255 in x for x in sketches], bool)
+    folded = {16: _folded(sketches, 16), 64: _folded(sketches, 64)}
+
+    def test(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        key = np.unique(np.minimum(x, y) * len(sets) + np.maximum(x, y))
+        x, y = key // len(sets), key % len(sets)
+        fit = 4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y])
+        x, y = x[fit], y[fit]
+        near = np.zeros(len(x), bool)
+        for size, use in ((64, np.minimum(bins[x], bins[y]) >= 64), (16, np.minimum(bins[x], bins[y]) < 64)):
+            at = np.flatnonzero(use)
+            for lo in range(0, len(at), 50_000):
+                i = at[lo:lo + 50_000]
+                far = np.abs(folded[size][x[i]] - folded[size][y[i]]).sum(axis=1) > (n[x[i]] + n[y[i]]) // 7
+                near[i] = ~far | full[x[i]] | full[y[i]]
+        some = [(a, b) for a, b in zip(x[near].tolist(), y[near].tolist()) if may_link(sketches[a], sketches[b], int(n[a]), int(n[b]))]
+        return pa.RecordBatch.from_arrays([pa.array([int(sets[k]) for k in side], pa.int64()) for side in
+                                           (zip(*some) if some else ([], []))], ["x", "y"])
+
+    cut = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1], [True]]))
+    # Components stand together: a member's partners are those behind its own component.
+    end = np.concatenate([a + np.searchsorted(comp[a:b], comp[a:b], "right") for a, b in zip(cut[:-1], cut[1:])]) if len(shingle) else cut[:0]
+    last = np.repeat(cut[1:], np.diff(cut))
+    count = last - end
+    total = np.cumsum(count)
+    lo = 0
+    while lo < len(count):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + PAIRS_AT_ONCE, "right")))
+        c = count[lo:hi]
+        if c.any():
+            left = np.repeat(np.arange(lo, hi), c)
+            right = np.arange(c.sum()) + np.repeat(end[lo:hi] - (np.cumsum(c) - c), c)
+            yield test(member[left], member[right])
+        lo = hi
 
 
 def set_links(docs: DataFrame, classes: DataFrame, run_limit: int = RUN, shard_bytes: int = SHARD_BYTES,
