@@ -48,3 +48,10 @@ def test_pair_count_never_joins_raw_rows(spark):
 def test_snapshot_filters_reach_the_parquet_scan(spark):
     plan = _plan(spark, "closed_windows")
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(event_type,CLICK\)", plan)
+
+
+@pytest.mark.parametrize("name", ["filter_event_type", "logistics_sla", "cart_subtotal_by_category", "abandoned_carts",
+                                  "click_checkout_pair_count"])
+def test_type_filters_reach_the_scan(spark, name):
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", _plan(spark, name))
+    assert pushed and all("event_type" in p for p in pushed), pushed

@@ -60,8 +60,8 @@ def register(name: str):
     return deco
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_driver_events(spark, sf_dir)
+def events(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
+    return read_driver_events(spark, sf_dir, types)
 
 
 # ---------------------------------------------------------------- batch
@@ -77,32 +77,32 @@ def q_funnel_default(spark, sf_dir):
 
 @register("logistics_sla")
 def q_logistics(spark, sf_dir):
-    return logistics_sla(events(spark, sf_dir), dt=RUN_DT)
+    return logistics_sla(events(spark, sf_dir, C.DELIVERY), dt=RUN_DT)
 
 
 @register("cart_subtotal_by_category")
 def q_cart_subtotal(spark, sf_dir):
-    return cart_subtotal_by_category(events(spark, sf_dir))
+    return cart_subtotal_by_category(events(spark, sf_dir, C.CART_ADD))
 
 
 @register("click_checkout_pairs")
 def q_pairs(spark, sf_dir):
-    return click_checkout_pairs(events(spark, sf_dir))
+    return click_checkout_pairs(events(spark, sf_dir, C.CLICK, C.CHECKOUT))
 
 
 @register("click_checkout_pair_count")
 def q_pair_count(spark, sf_dir):
-    return click_checkout_pair_count(events(spark, sf_dir))
+    return click_checkout_pair_count(events(spark, sf_dir, C.CLICK, C.CHECKOUT))
 
 
 @register("abandoned_carts")
 def q_abandoned(spark, sf_dir):
-    return abandoned_carts(events(spark, sf_dir))
+    return abandoned_carts(events(spark, sf_dir, C.CART_ADD, C.CART_REMOVE, C.CHECKOUT))
 
 
 @register("filter_event_type")
 def q_filter(spark, sf_dir):
-    return filter_event_type(events(spark, sf_dir), C.CLICK).select(
+    return filter_event_type(events(spark, sf_dir, C.CLICK), C.CLICK).select(
         "event_id", "event_time", "user_id", "product_id", "category", "price")
 
 

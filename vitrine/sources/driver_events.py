@@ -41,7 +41,7 @@ def adapt_events(raw: DataFrame) -> DataFrame:
     is_delivery = etype == "DELIVERY_UPDATE"
     value = F.col("value")
 
-    type_expr = None  # one flat CASE, so filters on the mapped type reach the scan
+    type_expr = None  # one flat CASE; filters on it do not reach the scan, see read_driver_events
     for src, dst in TYPE_MAP.items():
         cond = F.col("event_type") == src
         type_expr = F.when(cond, F.lit(dst)) if type_expr is None else type_expr.when(cond, F.lit(dst))
@@ -91,8 +91,12 @@ def adapt_events(raw: DataFrame) -> DataFrame:
     return staged.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
 
 
-def read_driver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapt_events(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+def read_driver_events(spark: SparkSession, sf_dir: str, types: tuple[str, ...] = ()) -> DataFrame:
+    """The adapted events.  ``types``: only these, filtered on the source column, so the filter reaches the scan."""
+    raw = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    if types:
+        raw = raw.where(F.col("event_type").isin(*[src for src, dst in TYPE_MAP.items() if dst in types]))
+    return adapt_events(raw)
 
 
 # --- fixed values: noise lines mixed into the event log for the tolerant
