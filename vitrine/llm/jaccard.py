@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrine.llm.components import connected_components
-from vitrine.llm.text import grams, mix64, small_batches, words
+from vitrine.llm.text import grams, mix64, release, small_batches, words
 from vitrine.session import materialize
 
 SHINGLE = 5
@@ -128,6 +128,7 @@ def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
             yield batch.slice(lo, ROWS_AT_ONCE)
+    release()
 
 
 _SETS = "doc_id long, n_shingles long, set_id long, sketch binary"
@@ -292,6 +293,7 @@ def _find_runs(upper: np.ndarray, run_limit: int):
             return
         table = pa.Table.from_batches(held)
         shard = table.column("shard").to_numpy()
+        del held
         for s in np.unique(shard):
             mine = table.filter(pa.array(shard == s))
             get = lambda c, kind: _unpack(kind, mine.column(c))
@@ -311,6 +313,8 @@ def _find_runs(upper: np.ndarray, run_limit: int):
                 pa.array(np.concatenate([pairs[1], long_sig.view(np.int64), zeros])),
                 pa.array(np.concatenate([zero, band[o], zeros]).astype(np.int32)),
                 pa.array(np.concatenate([zero, slack[o], zeros]).astype(np.int32))], ["kind", "x", "y", "band", "slack"])
+            del sig, owner, found, mine
+            release()
 
     return run
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-BATCH_ROWS = 1000         # texts in an Arrow batch
+BATCH_ROWS = 250          # texts in an Arrow batch
 CHUNK = 1 << 20           # bytes hashed at once: bounds the temporaries of a batch
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -52,6 +52,11 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def release() -> None:
+    """Gives freed Arrow memory back to the system: idle Python workers stay alive beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+
+
 class Words(NamedTuple):
     hash: np.ndarray      # uint64 per word
     start: np.ndarray     # first byte of each word in `data`
