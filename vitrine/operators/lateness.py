@@ -5,22 +5,21 @@ The streaming rule is sequential: for each record in arrival order
 late when ``event_time < wm``.  That is a prefix maximum over a total order,
 arrival = (ingestion_time, event_id, hash of the row).
 
-It is computed without putting the rows in order:
-
-1. *Firsts.*  Within one arrival time only the first record of each candidate
-   value matters: ``min(event_id, hash)`` per (ingestion_time, candidate), an
-   aggregate with map-side combine.  A burst, or all records without an arrival
-   time, shrinks to its distinct event times in every task.
-2. *Steps.*  Of the firsts of an arrival time only those that raise the maximum
-   are kept: a short array, in order, beside the maximum.
-3. *Prefix.*  The maxima of earlier arrival times, reduced in levels: a window
-   within each span of 70 minutes, one over spans within each era of 4096 spans, and
-   one over eras.  Only the table of eras (one row per half year) has no partition key.
-4. Every record joins the row of its arrival time; its watermark is the prefix, or
-   the last step that is not after it.  The table has one row per arrival time, so
-   a hot one makes the records' side of the join large, which Spark splits.
-
-The plan is the same at every size, has two scans of the input, and no Python.
+It is computed without putting all rows in one order:
+
+1. *Keys.*  The input shrinks to its distinct arrival keys with their candidate
+   value, an aggregate with map-side combine (repeated rows are one key).
+2. *Buckets.*  Up to 4096 keys, spread evenly by a hash over the distinct keys, cut the
+   arrival order into ranges; each key finds its range by binary search.  Ranges go by the whole
+   key, so one arrival time with many records (a burst, all records without one) is
+   cut like any other, and every range holds about 1/4096 of the keys.
+3. *Prefix.*  A window within each range, and one over the ranges' maxima, the only
+   one without a partition key; it has one row per range, 4096 at most.
+4. Every record joins its key; a hot one (rows that repeat) makes the records' side
+   of the join large, which Spark splits.
+
+The plan is the same at every size, keeps one row per key and no arrays that grow with the
+input, and has no Python.
 """
 
 from __future__ import annotations
@@ -34,6 +33,8 @@ LONG_MIN = -(2 ** 63)
 #: Levels of the prefix, in bits: spans of 2^22 ms (70 minutes), then eras of 2^12 spans.  (Shifts, unlike
 #: divisions, are never NULL, so the optimizer adds no filter and the branches keep one common exchange.)
 LEVEL_BITS = [22, 12]
+#: Halvings of the binary search: at most 2^12 ranges of the arrival order.
+RANGE_BITS = 12
 
 
 def arrival_key_cols() -> tuple[Column, Column]:
@@ -68,7 +69,11 @@ def _earlier_max(table: DataFrame, key: str, value: str, bits: list[int]) -> Dat
 
 def arrival_steps(staged: DataFrame) -> DataFrame:
     """One row per arrival time ``_t``: ``_prefix`` (maximum of all earlier times) and
-    ``_steps`` (key and new maximum, in order, of the records that raise it)."""
+    ``_steps`` (key and new maximum, in order, of the records that raise it).
+
+    A view of short logs: an arrival time's steps are one array, as long as its event times
+    rise.  ``with_arrival_watermark`` does not use it.
+    """
     firsts = (staged.where(F.col("_cand").isNotNull()).groupBy("_t", "_cand").agg(F.min("_key").alias("_key")))
     so_far = F.max("_cand").over(Window.partitionBy("_t").orderBy("_key", "_cand").rowsBetween(Window.unboundedPreceding, 0))
     rising = firsts.withColumn("_top", so_far).where(F.col("_top") == F.col("_cand"))
@@ -77,6 +82,27 @@ def arrival_steps(staged: DataFrame) -> DataFrame:
     return _earlier_max(per_time, "_t", "_max", LEVEL_BITS).drop("_max")
 
 
+def _with_range(keys: DataFrame, staged: DataFrame) -> DataFrame:
+    """``keys`` with ``_range``: its place among ranges of the order of ``_key`` that hold about as many distinct keys each."""
+    slot = F.xxhash64("_key")
+    cuts = (staged.select("_key", slot.alias("_hash")).groupBy(F.col("_hash").bitwiseAND(F.lit(2 ** RANGE_BITS - 1)).alias("_slot"))
+            .agg(F.min_by("_key", "_hash").alias("_cut")).agg(F.array_sort(F.collect_list("_cut")).alias("_cuts")))
+    halves = F.array(*[F.lit(2 ** bit) for bit in reversed(range(RANGE_BITS))])
+    place = F.aggregate(halves, F.lit(0), lambda at, half: at + F.when(F.get("_cuts", at + half - 1) <= F.col("_key"), half).otherwise(0))
+    # (never NULL, so the optimizer adds no filter and the branches keep one common exchange)
+    return keys.withColumn("_cuts", cuts.scalar()).withColumn("_range", F.coalesce(place, F.lit(0))).drop("_cuts")
+
+
+def arrival_prefixes(staged: DataFrame) -> DataFrame:
+    """One row per distinct ``_key``: ``_prefix``, the maximum of ``_cand`` over all keys up to it."""
+    keys = _with_range(staged.groupBy("_key").agg(F.max("_cand").alias("_cand")), staged)
+    so_far = Window.partitionBy("_range").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
+    above = _earlier_max(keys.groupBy("_range").agg(F.max("_cand").alias("_max")), "_range", "_max", [])
+    return (keys.withColumn("_within", F.max("_cand").over(so_far))
+            .join(F.broadcast(above.select("_range", F.col("_prefix").alias("_above"))), "_range")
+            .select("_key", F.greatest("_within", "_above").alias("_prefix")))
+
+
 def with_arrival_watermark(df: DataFrame, tolerance_ms: int = C.MAX_ALLOWED_DELAY_MS,
                            carried_watermark: Column | int | None = None) -> DataFrame:
     """Adds ``watermark`` (after this record's update) and ``is_late``.
@@ -87,17 +113,15 @@ def with_arrival_watermark(df: DataFrame, tolerance_ms: int = C.MAX_ALLOWED_DELA
     """
     t, e = arrival_key_cols()
     et = event_time_or_arrival()
-    staged = df.withColumns({"_t": t, "_key": F.struct(e.alias("e"), F.xxhash64(*df.columns).alias("h")),
+    staged = df.withColumns({"_key": F.struct(t.alias("t"), e.alias("e"), F.xxhash64(*df.columns).alias("h")),
                              "_cand": et - F.lit(tolerance_ms)})
-    steps = arrival_steps(staged.select("_t", "_key", "_cand"))
-    reached = F.filter("_steps", lambda s: s["_key"] <= F.col("_key"))
+    prefixes = arrival_prefixes(staged.select("_key", "_cand"))
     start = F.lit(carried_watermark if carried_watermark is not None else 0) \
         if not isinstance(carried_watermark, Column) else carried_watermark
-    joined = staged.join(steps, "_t", "left")
-    return (joined.withColumn("watermark", F.greatest(start.cast("long"), F.col("_prefix"),
-                                                      F.element_at(F.transform(reached, lambda s: s["_cand"]), -1)))
+    joined = staged.join(prefixes, "_key", "left")
+    return (joined.withColumn("watermark", F.greatest(start.cast("long"), F.col("_prefix")))
             .withColumn("is_late", F.coalesce(et < F.col("watermark"), F.lit(False)))
-            .drop("_t", "_key", "_cand", "_prefix", "_steps"))
+            .drop("_key", "_cand", "_prefix"))
 
 
 def accepted_events(with_wm: DataFrame) -> DataFrame:
