@@ -19,7 +19,7 @@ from vitrine.operators import alerts as A
 from vitrine.operators import serving as S
 from vitrine.operators.carts import abandoned_carts
 from vitrine.operators.funnel import cart_subtotal_by_category, filter_event_type, funnel
-from vitrine.operators.lateness import accepted_events, late_events, late_rate, with_arrival_watermark
+from vitrine.operators.lateness import accepted_events, arrival_key_cols, late_events, late_rate, with_arrival_watermark
 from vitrine.operators.logistics import logistics_sla
 from vitrine.operators.pairs import click_checkout_pair_count, click_checkout_pairs
 from vitrine.operators.windows import emitted_windows, sliding_click_counts, split_windows
@@ -354,16 +354,18 @@ STREAM_SLICES = 4
 
 def arrival_slices(ev: DataFrame, n: int) -> list[DataFrame]:
     """The events cut into ``n`` consecutive ranges of arrival time, so that
-    writing them one after the other replays the log in arrival order."""
+    writing them one after the other replays the log in arrival order.
+    Events without an arrival time come first, as in ``arrival_key_cols``."""
+    arrival, _ = arrival_key_cols()
     qs = ev.approxQuantile("ingestion_time", [i / n for i in range(1, n)], 0.001)
     bounds = sorted(set(int(q) for q in qs))
     out, lo = [], None
     for b in bounds + [None]:
         cond = F.lit(True)
         if lo is not None:
-            cond = cond & (F.col("ingestion_time") >= lo)
+            cond = cond & (arrival >= lo)
         if b is not None:
-            cond = cond & (F.col("ingestion_time") < b)
+            cond = cond & (arrival < b)
         out.append(ev.where(cond))
         lo = b
     return out
