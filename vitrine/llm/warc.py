@@ -3,9 +3,13 @@
 Layout: every record is one gzip member; the writer puts the sizes of the member
 into its header (an extra field ``sl``: compressed and plain length), so a reader
 can step over a record without inflating it.  The writer notes a split point
-about every ``split_bytes``; they travel with its commit message to the folder's
-manifest, which lists exactly the files of committed tasks.  Files of lost or
-repeated task attempts are in no manifest and are never read.
+about every ``split_bytes``; they travel with its commit message to the manifest of
+that commit, which lists exactly the files of its committed tasks and is renamed into
+place.  A folder holds what all its manifests list, so appends add up, and besides
+that the archives others put there (any name but ``part-*``; ``part-*`` ones only if
+they were there before the first commit).  Files of lost or repeated task attempts
+are in no manifest and are never read once there is one.  Overwriting removes all that
+was readable, after the new manifest is in place.
 
 Reading: one partition per split (a file without a manifest is one partition).
 For each record only the first bytes are inflated, which hold the WARC headers.
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -42,6 +47,7 @@ SCHEMA = ("record_id string, record_type string, target_uri string, payload_dige
 SPLIT_BYTES = 64 << 20
 HEAD_BYTES = 4096
 MANIFEST = "_manifest"
+OWN_FILE = re.compile(r"part-[0-9a-f]{32}\.warc\.gz")
 #: Column of the table -> header of the record; fixed names of the WARC format but for the last, an extension.
 HEADERS = {"record_id": "WARC-Record-ID", "record_type": "WARC-Type", "target_uri": "WARC-Target-URI",
            "payload_digest": "WARC-Payload-Digest", "refers_to": "WARC-Refers-To", "payload_bytes": "X-Payload-Bytes"}
@@ -52,6 +58,20 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
+def _listing(store: fs.FileSystem, root: str) -> tuple[list[str], dict[str, list[int]]]:
+    """(names of the manifests, {file: its cuts} of all that a read of the folder sees)."""
+    found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    manifests = sorted(x.base_name for x in found if x.base_name == MANIFEST or x.base_name.startswith(MANIFEST + "-"))
+    files = {}
+    for name in manifests:
+        with store.open_input_stream(f"{root}/{name}") as f:
+            files.update(json.loads(f.read()))
+    for x in found:
+        if x.base_name.endswith(".warc.gz") and not (manifests and x.base_name.startswith("part-")):
+            files.setdefault(x.base_name, [0, x.size])
+    return manifests, files
+
+
 # ---- records -------------------------------------------------------------------------------------------------------
 
 def _clean(value: str) -> str:
@@ -187,13 +207,8 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[WarcSplit]:
         store, root = _open(self.path)
-        found = store.get_file_info(f"{root}/{MANIFEST}")
-        if found.type == fs.FileType.File:
-            with store.open_input_stream(f"{root}/{MANIFEST}") as f:
-                files = json.loads(f.read())
-        else:
-            files = [(x.base_name, [0, x.size]) for x in store.get_file_info(fs.FileSelector(root)) if x.base_name.endswith(".warc.gz")]
-        return [WarcSplit(f"{self.path}/{name}", a, b) for name, cuts in files for a, b in zip(cuts[:-1], cuts[1:])]
+        _, files = _listing(store, root)
+        return [WarcSplit(f"{self.path}/{name}", a, b) for name, cuts in files.items() for a, b in zip(cuts[:-1], cuts[1:])]
 
     def read(self, partition: WarcSplit | None) -> Iterator[tuple]:
         if partition is None:                 # Spark's way to read a source without partitions
@@ -209,8 +224,10 @@ class WarcReader(DataSourceReader):
 
 
 class WarcWriter(DataSourceWriter):
-    def __init__(self, options: dict):
+    def __init__(self, options: dict, overwrite: bool = False):
         self.path, self.split = options["path"].rstrip("/"), int(options.get("split_bytes", SPLIT_BYTES))
+        self.overwrite = overwrite
+        self.manifests, self.before = _listing(*_open(self.path))     # on the driver, before any task writes
 
     def write(self, iterator) -> WarcCommit:
         store, root = _open(self.path)
@@ -228,8 +245,16 @@ class WarcWriter(DataSourceWriter):
     def commit(self, messages: list[WarcCommit | None]) -> None:
         store, root = _open(self.path)
         store.create_dir(root, recursive=True)
-        with store.open_output_stream(f"{root}/{MANIFEST}", compression=None) as out:
-            out.write(json.dumps([(m.file, m.splits) for m in messages if m and m.splits]).encode())
+        files = [(m.file, m.splits) for m in messages if m and m.splits]
+        if not self.manifests and not self.overwrite:      # others' part-* files, which the first manifest would hide
+            files += [(n, cuts) for n, cuts in self.before.items() if n.startswith("part-") and not OWN_FILE.fullmatch(n)]
+        name = uuid.uuid4().hex
+        with store.open_output_stream(f"{root}/_uncommitted-{name}", compression=None) as out:
+            out.write(json.dumps(files).encode())
+        store.move(f"{root}/_uncommitted-{name}", f"{root}/{MANIFEST}-{name}")
+        if self.overwrite:
+            for old in [*self.manifests, *self.before]:
+                store.delete_file(f"{root}/{old}")
 
     def abort(self, messages: list[WarcCommit | None]) -> None:
         store, root = _open(self.path)
@@ -252,7 +277,7 @@ class WarcSource(DataSource):
         return WarcReader(dict(self.options))
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(dict(self.options))
+        return WarcWriter(dict(self.options), overwrite)
 
 
 def register(spark: SparkSession) -> None:
