@@ -15,7 +15,7 @@ needs_tables = pytest.mark.skipif(not os.path.exists(SMALL), reason="needs the t
 
 def test_one_query_for_each_operator_and_the_pipeline():
     numbers = sorted(int(re.fullmatch(r"op(\d+)_\w+", k)[1]) for k in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
@@ -23,7 +23,7 @@ def test_one_query_for_each_operator_and_the_pipeline():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "embeddings", "pages"):
         path = f"{SMALL}/{table}.parquet"
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path + '/*.parquet' if os.path.isdir(path) else path}')")
     df = QUERIES[name](spark, SMALL)

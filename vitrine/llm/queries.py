@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontam, exact, jaccard, packing, secrets, sharding, substrings, toxicity, urls, warc
+from vitrine.llm import (alignment, decontam, exact, jaccard, negatives, packing, secrets, sharding, substrings, tiers, toxicity,
+                         urls, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,12 +55,40 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.best_fit_packing(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_vector_shards, op2_secret_scan, op3_url_rules, op4_ngram_jaccard_join, op5_toxicity_crf, op6_bm25_decontamination, op7_warc, op8_substring_dedup, op9_exact_dedup, op10_best_fit_packing)}
+def op11_hard_negatives(spark, sf_dir):
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_tiered_packing(spark, sf_dir):
+    return tiers.tiered_packing(_table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op13_tokenizer_alignment(spark, sf_dir):
+    return alignment.align(_table(spark, sf_dir, "documents"), keep_groups=False).withColumnRenamed("groups", "groups_sha256")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_vector_shards, op2_secret_scan, op3_url_rules, op4_ngram_jaccard_join, op5_toxicity_crf, op6_bm25_decontamination, op7_warc,
+    op8_substring_dedup, op9_exact_dedup, op10_best_fit_packing, op11_hard_negatives, op12_tiered_packing, op13_tokenizer_alignment)}
 
 #: translate() in the SQL below: exactly A-Z become a-z.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
+    "op11_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+                          CAST(list_sum(list_transform(list_zip(a.q, r.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+                   FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+             p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 10""",
     "op7_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
                           sha256(coalesce(html, '')) AS payload_digest FROM pages),

@@ -8,6 +8,7 @@ Python string per word.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -146,3 +147,15 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
         power = power * _BASE
         out += hashes[i:i + m] * power
     return mix64(out)
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Within it, Arrow batches hold at most `rows` rows; for tables that are written inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
