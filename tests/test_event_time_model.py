@@ -12,7 +12,6 @@ from itertools import accumulate
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tests.conftest import make_events
 from vitrine.operators.lateness import with_arrival_watermark
@@ -105,18 +104,30 @@ def test_ties_are_ordered_by_the_row(spark, events_of):
     assert results[0] == results[1]
 
 
-def test_watermark_plan_is_jvm_only_with_two_scans(spark):
-    """At every size the same plan: two scans of the input, no Python, no
-    unpartitioned window but that over eras, more than one span at sf0.01."""
+def test_watermark_plan_shuffles_the_rows_once(spark):
+    """One exchange holds whole rows, dealt by range; only ranges' maxima are in one task or broadcast; no Python."""
     from vitrine.plans.queries import events
     from vitrine.session import materialize
-    ev = materialize(events(spark, "/root/testdata/sf0.01"), "plan-test")
-    assert ev.select(F.shiftright("ingestion_time", 22).alias("span")).distinct().count() > 10
-    df = with_arrival_watermark(ev, 3_600_000)
+    ev = materialize(events(spark, "/root/testdata/sf0.01").unionAll(events(spark, "/root/testdata/sf0.01")), "plan-test")
+    df = with_arrival_watermark(ev, 3_600_000, rows_per_range=1000)
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("Scan parquet") == 2 and "ReusedExchange" in plan
-    assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
     lines = plan.splitlines()
+    dealt = [x for x in lines if " Exchange " in x]
+    assert len([x for x in dealt if "hashpartitioning(_range" in x and "_salt" in x]) == 1
+    assert len(dealt) == 3 and plan.count("SortMergeJoin") == 0            # the rows; the maxima, twice
     single = [i for i, x in enumerate(lines) if "Exchange SinglePartition" in x]
-    assert len(single) == 1 and "HashAggregate(keys=[_t_of_of" in "".join(lines[single[0] + 1:single[0] + 3])
+    assert len(single) == 1 and "HashAggregate(keys=[_range" in "".join(lines[single[0] + 1:single[0] + 4])
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+
+
+def test_close_watermark_does_not_depend_on_row_order(spark, events_of):
+    """Twelve clicks of one arrival time and id: the largest watermark, under any order and partitioning."""
+    from vitrine.operators.windows import last_click_watermark
+    rows = [{"ingestion_time": 9, "event_id": "x", "event_type": "CLICK", "event_time": 1_000_000 + 60_000 * ((7 * i) % 12), "user_id": str(i)}
+            for i in range(12)]
+    found = set()
+    for order in (rows, rows[::-1], rows[5:] + rows[:5]):
+        for parts in (1, 3, 8):
+            found.add(last_click_watermark(with_arrival_watermark(events_of(order).repartition(parts), TOL)).first()[0])
+    assert found == {1_000_000 + 60_000 * 11 - TOL}

@@ -44,15 +44,34 @@ def test_skewed_input_matches_oracle(spark, skewed_dir, name):
     assert _canon([tuple(r) for r in df.collect()], df.columns) == _canon(cur.fetchall(), ocols)
 
 
-def test_hot_millisecond_shrinks_to_its_event_times(spark, skewed_dir):
-    """The hot arrival time becomes one short row of steps, whatever its number of records."""
-    from vitrine.operators.lateness import arrival_key_cols, arrival_steps
+def _largest_task(spark, rows, rows_per_range):
+    from vitrine.operators.lateness import range_bounds, with_range
+    key = rows.select("*", F.struct(F.col("ingestion_time").alias("t"), F.col("event_id").alias("e"), F.xxhash64(*rows.columns).alias("h")).alias("_key"))
+    return with_range(key, range_bounds(key.select("_key"), rows_per_range)).groupBy("_range").count().agg(F.max("count")).first()[0]
+
+
+def test_hot_millisecond_is_cut_into_ranges(spark, skewed_dir):
+    """A third of the rows have one arrival time; no range holds a large part of them."""
     from vitrine.plans.queries import events
     ev = events(spark, skewed_dir)
     hot = ev.groupBy("ingestion_time").count().orderBy(F.desc("count")).first()
     assert hot["count"] > ev.count() / 4
-    t, e = arrival_key_cols()
-    steps = arrival_steps(ev.select(t.alias("_t"), F.struct(e.alias("e"), F.lit(0).alias("h")).alias("_key"),
-                                    F.col("event_time").alias("_cand")))
-    assert steps.groupBy("_t").count().where("count > 1").count() == 0
-    assert steps.where(F.col("_t") == hot["ingestion_time"]).agg(F.max(F.size("_steps"))).first()[0] < 20
+    ev = ev.unionAll(ev.withColumn("event_id", F.concat(F.lit("b"), "event_id"))).unionAll(ev.withColumn("event_id", F.concat(F.lit("c"), "event_id")))
+    assert _largest_task(spark, ev, 1 << 20) < ev.count() / 10
+
+
+def test_rows_that_repeat_are_a_range_of_their_own_over_many_tasks(spark, skewed_dir):
+    """A third of the rows are one row repeated: a bound of the ranges, salted, and every copy has the same exact watermark."""
+    from vitrine.operators.lateness import with_arrival_watermark
+    from vitrine.plans.queries import events
+    ev = events(spark, skewed_dir)
+    one = ev.orderBy("ingestion_time", "event_id").limit(1)
+    copies = one.crossJoin(spark.range(12_000).select()).unionAll(ev.where("event_id > '000000004000'"))
+    wm = with_arrival_watermark(copies, 3_600_000)
+    plan = wm._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
+    got = wm.join(one.select("event_id"), "event_id").agg(F.countDistinct("watermark"), F.count(F.lit(1)), F.min(F.col("watermark") >= F.col("event_time") - 3_600_000)).first()
+    assert got[0] == 1 and got[1] >= 12_000 and got[2]
+    rest = {r.event_id: r.watermark for r in wm.select("event_id", "watermark").distinct().collect()}
+    once = {r.event_id: r.watermark for r in with_arrival_watermark(copies.distinct(), 3_600_000).select("event_id", "watermark").collect()}
+    assert rest == once

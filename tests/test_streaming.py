@@ -13,7 +13,7 @@ def _rows(df):
 
 
 def test_stream_windows_equal_batch_and_native_emission(spark):
-    job = Q.stream_job(spark, SF_SMALL, slices=3)
+    job = Q.stream_job(spark, SF_SMALL, slices=3, keep_accepted=True)
     native = job.native()
     assert native.select("batch_id").distinct().count() >= 2      # several micro-batches emitted
     assert native.count() > 0                                     # windows closed natively
@@ -31,7 +31,7 @@ def test_stream_windows_equal_batch_and_native_emission(spark):
 
 
 def test_replayed_batch_is_skipped(spark):
-    job = Q.stream_job(spark, SF_SMALL, slices=2)
+    job = Q.stream_job(spark, SF_SMALL, slices=2, keep_accepted=True)
     before = job.accepted().count()
     state_before = _rows(job._wm_state())
     lines = spark.read.text(job.path("source", "slice=0"))
@@ -154,22 +154,84 @@ def test_concurrent_stages_follow_mode_equal_batch(spark):
     assert stream == batch
 
 
-def test_pending_windows_are_released_when_a_later_click_passes_them(spark):
-    """Live stream, no flush: a window Spark closed before the last click's
-    watermark reached its end waits in the pending set and is published by a
-    later micro-batch once a click's watermark passes it."""
-    job = EventTimeJob(spark, scratch_path(spark, "pending"), tolerance_ms=10)
-    schema = "window_start long, window_end long, product_id string, clicks long, category string, product_name string"
-    click = '{{"event_id":"{i}","event_type":"CLICK","event_time":{t},"ingestion_time":{i},"product_id":"P"}}'
-    job.accept_batch(spark.createDataFrame([(click.format(i=1, t=100),)], "value string"), 0)   # click wm 90
-    job.emit_batch(spark.createDataFrame([(0, 80, "P", 1, "Casa", "n"), (20, 120, "P", 2, "Casa", "n")], schema), 0)
-    assert [r.window_end for r in job.native().collect()] == [80]
-    assert [r.window_end for r in job._pending().collect()] == [120]
-    job.accept_batch(spark.createDataFrame([(click.format(i=2, t=200),)], "value string"), 1)   # click wm 190
-    job.emit_batch(spark.createDataFrame([], schema), 1)
-    assert sorted(r.window_end for r in job.native().collect()) == [80, 120]
-    assert job._pending().count() == 0
-    assert {r.row_key for r in job.native().collect()} == {"Casa#P"}
+CLICK = '{{"event_id":"{i}","event_type":"{kind}","event_time":{t},"ingestion_time":{i},"product_id":"P1"}}'
+
+
+def _lines(spark, rows):
+    return spark.createDataFrame([(CLICK.format(i=i, t=t, kind=kind),) for i, t, kind in rows], "value string")
+
+
+def _live(spark, name, batches, **options):
+    """Both stages over batches of (id, event time, type), one micro-batch of stage A each; no flush."""
+    job = EventTimeJob(spark, scratch_path(spark, name), tolerance_ms=10, size_ms=40, slide_ms=20, threshold=1, **options)
+    for k, rows in enumerate(batches):
+        job.accept_batch(_lines(spark, rows), k)
+        Q._await(job.start_windows(once=True))
+    return job
+
+
+def test_other_types_do_not_close_windows_early(spark):
+    """A CART_ADD far ahead of the clicks moves the exact watermark, not that of the window stage: what it emits is closed."""
+    batches = [[(1, 100, "CLICK"), (2, 100_000, "CART_ADD")], [(3, 100_000, "CLICK")], [(4, 100_070, "CLICK")]]
+    job = _live(spark, "ahead", batches)
+    emitted = job.native().select("window_start", "window_end", "row_key").collect()
+    assert {r.window_start for r in emitted} >= {80, 100} and all(r.window_end <= job.close_watermark() for r in emitted)
+    assert all(r.row_key == "Geral#P1" for r in emitted)
+    job.flush()
+    wm = Q.with_arrival_watermark(Q.J.good_events(Q.J.parse_json_lines(_lines(spark, sum(batches, [])))), 10)
+    counts = Q.sliding_click_counts(wm.where("NOT is_late"), 40, 20)
+    columns = ["window_start", "window_end", "product_id", "clicks", "row_key", "is_final", "category", "product_name"]
+    assert _rows(job.windows().select(*columns)) == _rows(Q.emitted_windows(counts, wm).select(*columns))
+
+
+def test_live_alerts_of_products_without_a_name(spark):
+    job = _live(spark, "nameless", [[(1, 100, "CLICK")], [(2, 500, "CLICK")], [(3, 900, "CLICK")]])
+    alerts = [r for r in job.alert_puts().where("alert_type = 'PRODUTO_EM_ALTA' OR product_id IS NOT NULL").collect()]
+    assert alerts and {(r.product_name, r.category) for r in alerts} == {("P1", "Geral")}
+
+
+def test_counters_add_up_across_a_replay(spark):
+    """Observed while a batch is written; a replay whose data are published already counts the same."""
+    batches = [[(1, 100, "CLICK"), (2, 80, "CLICK")], [(3, 300, "CART_ADD"), (4, 95, "CLICK")], [(5, 310, "OTHER")]]
+    job = EventTimeJob(spark, scratch_path(spark, "counted"), tolerance_ms=10)
+    for k, rows in enumerate(batches):
+        if k == 1:
+            job.fail_after = "publish"
+            try:
+                job.accept_batch(_lines(spark, rows), k)
+                raise AssertionError("fault injection did not fire")
+            except RuntimeError:
+                job.fail_after = None
+        job.accept_batch(_lines(spark, rows), k)
+        job.accept_batch(_lines(spark, rows), k)
+    got = {r.event_type: (r.total_events, r.late_events) for r in job.counters().collect()}
+    assert got == {"CLICK": (3, 2), "CART_ADD": (1, 0), None: (1, 0)}
+
+
+def _files(spark, path):
+    import os
+    return sum(len(f) for _, _, f in os.walk(path.removeprefix("file:")))
+
+
+def test_many_batches_leave_few_files(spark):
+    """Commit rows, and accepted files once the window stage has read them, do not pile up."""
+    from vitrine.streaming import event_time as E
+    job = EventTimeJob(spark, scratch_path(spark, "long"), tolerance_ms=10, size_ms=40, slide_ms=20)
+    kept = []
+    for k in range(36):
+        job.accept_batch(_lines(spark, [(k, 1000 + 30 * k, "CLICK")]), k)
+        if k % 3 == 2:
+            Q._await(job.start_windows(once=True))
+        if k % 12 == 11:
+            kept.append((_files(spark, job.path("wm_state")), len(job._batch_ids("accepted"))))
+    assert len(job._committed_ids()) <= E.KEPT_BATCHES + 1
+    assert all(folders <= E.KEPT_BATCHES + 8 for _, folders in kept) and kept[-1][0] <= 4 * (E.KEPT_BATCHES + 1)
+    job.flush()
+    counts = Q.sliding_click_counts(spark.createDataFrame(
+        [(1000 + 30 * k, None, "CLICK", "P1", None, None) for k in range(36)],
+        "event_time long, ingestion_time long, event_type string, product_id string, category string, product_name string"), 40, 20)
+    assert _rows(job.windows().select("window_start", "clicks")) == _rows(counts.select("window_start", "clicks"))
+    assert [r.total_events for r in job.counters().collect()] == [36]
 
 
 def test_restart_from_checkpoint_per_slice_equals_batch(spark):

@@ -365,3 +365,12 @@ ORACLE["batch_etl"] = "\nUNION ALL BY NAME\n".join([
     f"""SELECT 'rejects' AS "table", rejected_events AS "rows" FROM ({ORACLE["total_events"]})"""])
 ORACLE["stream_alerts_latest"] = ORACLE["alerts_latest"]
 ORACLE["stream_metrics_latest"] = ORACLE["metrics_latest"]
+# ---- the stream's own counters: the noisy log's empty objects are events without a type
+ORACLE["stream_late_rate"] = with_ev("""
+SELECT event_type, CAST(count(*) AS BIGINT) AS total_events,
+       CAST(count(CASE WHEN is_late THEN 1 END) AS BIGINT) AS late_events,
+       CAST(count(CASE WHEN is_simulated_late THEN 1 END) AS BIGINT) AS flagged_late,
+       CAST(count(CASE WHEN is_late AND is_simulated_late THEN 1 END) AS BIGINT) AS flagged_and_late,
+       round(count(CASE WHEN is_late THEN 1 END) / count(*) * 100, 2) AS late_pct
+FROM wml GROUP BY event_type
+UNION ALL SELECT NULL, CAST(count(*) AS BIGINT), 0, 0, 0, 0.0 FROM noise WHERE d = 77 HAVING count(*) > 0""", _WM, _NOISE)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from vitrine import constants as C
 from vitrine.functions.columns import row_key
 from vitrine.functions.defaults import stream_defaults
-from vitrine.operators.lateness import arrival_key_cols, event_time_or_arrival
+from vitrine.operators.lateness import event_time_or_arrival
 
 
 def check_window(size_ms: int, slide_ms: int) -> None:
@@ -67,10 +67,13 @@ def sliding_click_counts(accepted: DataFrame, size_ms: int = C.WINDOW_SIZE_MS,
 
 
 def last_click_watermark(watermarked: DataFrame) -> DataFrame:
-    """One row: the watermark right after the last accepted CLICK arrived."""
-    t, e = arrival_key_cols()
+    """One row: the watermark right after the last accepted CLICK arrived.
+
+    The watermark never falls in arrival order, so it is the largest of all accepted
+    clicks, whatever order ties come in.
+    """
     return (watermarked.where((F.col("event_type") == C.CLICK) & ~F.col("is_late"))
-            .agg(F.max_by("watermark", F.struct(t, e)).alias("close_wm")))
+            .agg(F.max("watermark").alias("close_wm")))
 
 
 def emitted_windows(counts: DataFrame, watermarked: DataFrame) -> DataFrame:

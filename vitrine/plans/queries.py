@@ -19,7 +19,8 @@ from vitrine.operators import alerts as A
 from vitrine.operators import serving as S
 from vitrine.operators.carts import abandoned_carts
 from vitrine.operators.funnel import cart_subtotal_by_category, filter_event_type, funnel
-from vitrine.operators.lateness import accepted_events, arrival_key_cols, late_events, late_rate, with_arrival_watermark
+from vitrine.operators.lateness import (accepted_events, arrival_key_cols, late_events, late_rate, with_arrival_watermark,
+                                        with_late_pct)
 from vitrine.operators.logistics import logistics_sla
 from vitrine.operators.pairs import click_checkout_pair_count, click_checkout_pairs
 from vitrine.operators.windows import emitted_windows, sliding_click_counts, split_windows
@@ -401,13 +402,13 @@ def q_fanout_counts(spark, sf_dir):
     return landed.unionByName(streamed).select("consumer", "source_stream", "event_type", "events")
 
 
-def stream_job(spark, sf_dir, slices: int = STREAM_SLICES, flush: bool = True) -> EventTimeJob:
+def stream_job(spark, sf_dir, slices: int = STREAM_SLICES, flush: bool = True, keep_accepted: bool = False) -> EventTimeJob:
     """Runs the two-stage event-time stream over the log while it arrives:
     both stages run continuously; the log is published in arrival slices
     (each written aside and renamed into the source folder, so a slice is one
     micro-batch); then end of input and, unless it is to be read live, the flush."""
     root = scratch_path(spark, "stream")
-    job = EventTimeJob(spark, root, TOLERANCE_MS, WINDOW_MS, SLIDE_MS, HOT_THRESHOLD)
+    job = EventTimeJob(spark, root, TOLERANCE_MS, WINDOW_MS, SLIDE_MS, HOT_THRESHOLD, keep_accepted=keep_accepted)
     parts = arrival_slices(events(spark, sf_dir), slices)
 
     def arrive(i: int) -> None:
@@ -429,7 +430,7 @@ def stream_job(spark, sf_dir, slices: int = STREAM_SLICES, flush: bool = True) -
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
     if flush:
-        job.flush()
+        job.flush(catch_up=False)          # processAllAvailable() has just ended with nothing left
     return job
 
 
@@ -473,3 +474,9 @@ def q_stream_alerts_latest(spark, sf_dir):
 @register("stream_metrics_latest")
 def q_stream_metrics_latest(spark, sf_dir):
     return S.metrics_latest(stream_job(spark, sf_dir).metric_puts())
+
+
+@register("stream_late_rate")
+def q_stream_late_rate(spark, sf_dir):
+    """Counters that the accept stage commits with its batches; nothing is read again."""
+    return with_late_pct(stream_job(spark, sf_dir, flush=False).counters())

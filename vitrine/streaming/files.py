@@ -19,21 +19,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def publish(spark: SparkSession, df, final_path: str, staging_root: str, fmt: str = "parquet",
-            partition_by: tuple[str, ...] = ()) -> bool:
-    """Write ``df`` aside, then rename it to ``final_path`` in one metadata
-    step, so readers (a downstream file stream) see a batch entirely or not at
-    all.  A path that exists is complete and is never rewritten: returns False.
-    """
-    import uuid
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
 
-    if exists(spark, final_path):
-        return False
-    staging = f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}"
-    writer = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(staging)
+
+def _rename(spark: SparkSession, staging: str, final_path: str) -> bool:
     fs, dst = _fs_path(spark, final_path)
     fs.mkdirs(dst.getParent())
     _, src = _fs_path(spark, staging)
@@ -44,6 +35,44 @@ def publish(spark: SparkSession, df, final_path: str, staging_root: str, fmt: st
     return True
 
 
+def _staging(staging_root: str) -> str:
+    import uuid
+    return f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def publish(spark: SparkSession, df, final_path: str, staging_root: str, fmt: str = "parquet") -> bool:
+    """Write ``df`` aside, then rename it to ``final_path`` in one metadata
+    step, so readers (a downstream file stream) see a batch entirely or not at
+    all.  A path that exists is complete and is never rewritten: returns False.
+    """
+    if exists(spark, final_path):
+        return False
+    staging = _staging(staging_root)
+    df.write.mode("overwrite").format(fmt).save(staging)
+    return _rename(spark, staging, final_path)
+
+
+def publish_parts(spark: SparkSession, df, column: str, final_paths: dict[str, str], staging_root: str) -> bool:
+    """As ``publish``, with one write for several paths: rows go by the value of ``column``.
+
+    Values without rows get no folder, but for the first, whose folder tells that the write is complete: it comes last.
+    """
+    first = next(iter(final_paths.values()))
+    if exists(spark, first):
+        return False
+    staging = _staging(staging_root)
+    df.write.mode("overwrite").partitionBy(column).parquet(staging)
+    for value, final_path in reversed(final_paths.items()):
+        part = f"{staging}/{column}={value}"
+        if exists(spark, part):
+            if not exists(spark, final_path):
+                _rename(spark, part, final_path)
+        elif final_path == first:
+            fs, p = _fs_path(spark, final_path)
+            fs.mkdirs(p)
+    return True
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries directly under ``path`` (metadata listing)."""
     fs, p = _fs_path(spark, path)
