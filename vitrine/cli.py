@@ -1,9 +1,9 @@
 """Command line: the batch ETL, the event-time stream and the raw landing.
 
     python -m vitrine etl    --input PATH --silver PATH --warehouse-dir PATH [--database DB] [--dt D | --daily]
-    python -m vitrine stream --source DIR --root DIR [--once] [--tolerance-ms N] [--window-ms N]
+    python -m vitrine stream --source DIR --root DIR [--tail] [--once] [--tolerance-ms N] [--window-ms N]
                              [--slide-ms N] [--threshold N]
-    python -m vitrine land   --source DIR --landing DIR --checkpoint DIR [--once]
+    python -m vitrine land   --source DIR --landing DIR --checkpoint DIR [--tail] [--once]
 
 Like the original scripts, ``etl`` also reads ``HDFS_INPUT_PATH`` and
 ``TARGET_DATE`` from the environment when the flags are absent.  Paths may be
@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     st = sub.add_parser("stream", help="exact event-time stream: late filter, windows, alerts")
     st.add_argument("--source", required=True)
     st.add_argument("--root", required=True, help="output and checkpoint folder")
+    st.add_argument("--tail", action="store_true", help="--source names files that are still written")
     st.add_argument("--once", "--exit-on-eof", action="store_true", dest="once")
     st.add_argument("--tolerance-ms", type=int, default=C.MAX_ALLOWED_DELAY_MS)
     st.add_argument("--window-ms", type=int, default=C.WINDOW_SIZE_MS)
@@ -46,6 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     ld.add_argument("--landing", required=True)
     ld.add_argument("--checkpoint", required=True)
     ld.add_argument("--once", action="store_true")
+    ld.add_argument("--tail", action="store_true", help="--source names files that are still written")
     ld.add_argument("--max-records-per-file", type=int, default=C.LANDING_ROLL_RECORDS)
     return p
 
@@ -66,9 +68,8 @@ def main(argv: list[str] | None = None, spark=None):
 
     if args.command == "stream":
         from vitrine.streaming.event_time import EventTimeJob
-        from vitrine.streaming.landing import line_stream
         job = EventTimeJob(spark, args.root, args.tolerance_ms, args.window_ms, args.slide_ms, args.threshold)
-        lines = line_stream(spark, args.source, wait_seconds=args.wait_seconds)
+        lines = _lines(spark, args, args.wait_seconds)
         if args.once:
             _await(job.start_accept(lines, once=True))
             _await(job.start_windows(once=True))
@@ -82,13 +83,22 @@ def main(argv: list[str] | None = None, spark=None):
         return job
 
     if args.command == "land":
-        from vitrine.streaming.landing import line_stream, start_landing
-        q = start_landing(line_stream(spark, args.source), args.landing, args.checkpoint,
+        from vitrine.streaming.landing import start_landing
+        q = start_landing(_lines(spark, args), args.landing, args.checkpoint,
                           once=args.once, max_records_per_file=args.max_records_per_file)
         _await(q)
         return q
 
 
+def _lines(spark, args, wait_seconds: float | None = None):
+    """Files that are complete, each read once, or files that grow."""
+    if args.tail:
+        from vitrine.sources.tail import tail_stream
+        return tail_stream(spark, args.source)
+    from vitrine.streaming.landing import line_stream
+    return line_stream(spark, args.source, wait_seconds=wait_seconds)
+
+
 def _await(q) -> None:
     q.awaitTermination()
     if q.exception() is not None:

@@ -374,3 +374,4 @@ SELECT event_type, CAST(count(*) AS BIGINT) AS total_events,
        round(count(CASE WHEN is_late THEN 1 END) / count(*) * 100, 2) AS late_pct
 FROM wml GROUP BY event_type
 UNION ALL SELECT NULL, CAST(count(*) AS BIGINT), 0, 0, 0, 0.0 FROM noise WHERE d = 77 HAVING count(*) > 0""", _WM, _NOISE)
+ORACLE["stream_tail"] = ORACLE["land_raw_stream"]

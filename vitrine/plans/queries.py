@@ -7,8 +7,11 @@ stream write below ``spark.checkpoint.dir`` and return what they read back.
 
 from __future__ import annotations
 
+import glob
+import os
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,7 @@ from vitrine.session import ensure_session_settings, materialize, scratch_path
 from vitrine.sinks.warehouse import Warehouse, read_partitioned_path, write_partitioned_path
 from vitrine.sources import json_lines as J
 from vitrine.sources.driver_events import noisy_event_log, read_driver_events
+from vitrine.sources.tail import local_path, tail_stream
 from vitrine.streaming import landing as L
 from vitrine.streaming.event_time import EventTimeJob
 from vitrine.streaming.files import publish
@@ -480,3 +484,64 @@ def q_stream_metrics_latest(spark, sf_dir):
 def q_stream_late_rate(spark, sf_dir):
     """Counters that the accept stage commits with its batches; nothing is read again."""
     return with_late_pct(stream_job(spark, sf_dir, flush=False).counters())
+
+
+# ---------------------------------------------------------------- files that grow
+GROWING_LOGS = 4
+
+
+def append_to_logs(spark: SparkSession, root: str, part: DataFrame | None) -> None:
+    """A producer: appends the lines of `part`, in arrival order, to ``GROWING_LOGS`` files (users are dealt over
+    them), a task each.  The last line stays half written until the next call; None ends all lines."""
+    folder = local_path(root)
+    schema = "log int, lines long"
+    if part is None:
+        lines = spark.range(0).selectExpr("cast(null AS string) AS value", "0 AS log")
+    else:
+        lines = noisy_event_log(part.repartitionById(GROWING_LOGS, F.pmod(F.xxhash64("user_id"), F.lit(GROWING_LOGS)).cast("int"))
+                                .sortWithinPartitions("ingestion_time", "event_id")).selectExpr("value", "spark_partition_id() AS log")
+    os.makedirs(folder, exist_ok=True)
+
+    def append(batches):
+        for batch in batches:
+            for log in sorted(set(batch.column("log").to_pylist())):
+                own = [v for v, k in zip(batch.column("value").to_pylist(), batch.column("log").to_pylist()) if k == log]
+                path = f"{folder}/events-{log}.log"
+                data = b"".join(v.encode() + b"\n" for v in own)
+                rest = f"{folder}/half-{log}"                # (not a name that a rotated log would have)
+                if os.path.exists(rest):
+                    with open(rest, "rb") as f:
+                        data = f.read() + data
+                cut = len(data) - min(len(data), 9)          # inside the last line, or behind an empty one
+                with open(path, "ab") as f:
+                    f.write(data[:cut])
+                with open(rest, "wb") as f:
+                    f.write(data[cut:])
+                yield pa.RecordBatch.from_arrays([pa.array([log], pa.int32()), pa.array([len(own)], pa.int64())], ["log", "lines"])
+
+    lines.mapInArrow(append, schema).write.format("noop").mode("overwrite").save()
+    if part is None:
+        for path in glob.glob(f"{folder}/half-*"):
+            with open(path, "rb") as f, open(f"{folder}/events-{path.rsplit('-', 1)[1]}.log", "ab") as log:
+                log.write(f.read())
+            os.remove(path)
+
+
+@register("stream_tail")
+def q_stream_tail(spark, sf_dir):
+    """Log files that grow while they are landed (S4, S5): slices end inside a line, and the query restarts in between."""
+    root = scratch_path(spark, "tail")
+    parts = arrival_slices(events(spark, sf_dir), STREAM_SLICES)
+    for step in (parts[:1], parts[1:3], parts[3:] + [None]):
+        append_to_logs(spark, f"{root}/logs", step[0])
+        query = L.start_landing(tail_stream(spark, f"{root}/logs/*.log"), f"{root}/landing", f"{root}/_chk/landing", interval_seconds=0)
+        try:
+            query.processAllAvailable()
+            for part in step[1:]:
+                append_to_logs(spark, f"{root}/logs", part)
+                query.processAllAvailable()
+        finally:
+            query.stop()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+    return J.read_tolerant(spark, f"{root}/landing")
