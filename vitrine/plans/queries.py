@@ -30,6 +30,7 @@ from vitrine.operators.windows import emitted_windows, sliding_click_counts, spl
 from vitrine.plans.batch_etl import run_daily_etl
 from vitrine.schemas import EVENT_COLUMNS
 from vitrine.session import ensure_session_settings, materialize, scratch_path
+from vitrine.sinks.keyed import KeyedTable, by_prefix_and_time
 from vitrine.sinks.warehouse import Warehouse, read_partitioned_path, write_partitioned_path
 from vitrine.sources import json_lines as J
 from vitrine.sources.driver_events import noisy_event_log, read_driver_events
@@ -225,10 +226,36 @@ def q_alerts_json(spark, sf_dir):
     return A.alerts_json(alert_changelog(accepted_snapshot(spark, sf_dir, deliveries=True)))
 
 
+#: Batches that the stored tables are put in; all but the last are merged into the base.
+PUT_BATCHES = 3
+
+
+def stored(spark: SparkSession, name: str, puts: DataFrame, cells: str, versions: int, **layout) -> KeyedTable:
+    """A keyed table that holds `puts`: a merged base of the earlier batches, and the last one as a delta."""
+    root = scratch_path(spark, name)
+    table = KeyedTable(spark, "vitrine_keyed", f"{name}_{root.rsplit('-', 1)[-1]}", root, cells, versions, **layout).create()
+    puts = materialize(puts, f"{name}-puts")
+    batch = F.pmod(F.xxhash64("row_key", "put_seq"), F.lit(PUT_BATCHES))
+    for i in range(PUT_BATCHES):
+        if i == PUT_BATCHES - 1:
+            table.merge()
+        table.put(puts.where(batch == i), i)
+    return table
+
+
+def stored_alerts(spark, sf_dir) -> KeyedTable:
+    puts = alert_changelog(accepted_snapshot(spark, sf_dir, deliveries=True))
+    cells = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in puts.schema if f.name not in ("row_key", "put_seq"))
+    return stored(spark, "alerts", puts, cells, C.ALERT_VERSIONS, part=by_prefix_and_time, buckets=2)
+
+
+def stored_metrics(spark, sf_dir) -> KeyedTable:
+    return stored(spark, "metrics", metric_puts(spark, sf_dir), "clicks_window bigint, last_window_end bigint", C.METRIC_VERSIONS)
+
+
 @register("recent_alerts")
 def q_recent_alerts(spark, sf_dir):
-    alerts = alert_changelog(accepted_snapshot(spark, sf_dir, deliveries=True)).drop("put_seq")
-    return A.recent_alerts(alerts, C.LOGISTICS_ALERT_TYPE, RECENT_ALERTS_N)
+    return stored_alerts(spark, sf_dir).newest(C.LOGISTICS_ALERT_PREFIX, RECENT_ALERTS_N).select(*A.ALERT_COLUMNS)
 
 
 @register("alerts_latest")
@@ -257,7 +284,7 @@ def q_metrics_versions(spark, sf_dir):
 
 @register("metric_lookup")
 def q_metric_lookup(spark, sf_dir):
-    return S.lookup(S.metrics_latest(metric_puts(spark, sf_dir)), LOOKUP_METRIC_KEY)
+    return stored_metrics(spark, sf_dir).get(LOOKUP_METRIC_KEY).drop("put_seq")
 
 
 # ---------------------------------------------------------------- JSON sources
