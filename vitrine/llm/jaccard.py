@@ -14,14 +14,17 @@ Sets x and y with 4 |x & y| >= 3 |x | y| differ in at most H = (|x| + |y|) / 7 e
    share, or large groups of near copies) are left out where that loses nothing: a set
    that keeps more than H signatures outside them still meets every partner in a
    short run.  Sets that do not are *dense*.
-4. *Dense sets.*  (a) In each long run every dense set is paired with the run's smallest, which
-   ties large groups of near copies together.  (b) What may be left are links between
+4. *Dense sets.*  (a) In each long run every dense set is paired with its hub, the run's smallest
+   set that it may be linked with, which ties large groups of near copies, and texts that are one passage for
+   the most part, together.  The task that holds the run names the hubs
+   and counts each set's long runs; members of long runs are not listed.  (b) What may be left are links between
    two dense sets that are not yet connected.  The dense sets' rarest shingles
    (a quarter of each set, rarest among the dense sets first: sets that share three quarters
-   share one of these) form runs again; only pairs of different components
-   are taken.  So no link between components is lost, and no group is ever paired with itself.
-5. *Verification.*  Candidates pass a filter that never drops a link (counts of elements
-   by hash; their difference is at most H), and then their whole sets are intersected.
+   share one of these) form runs again.  Each set is tested with the next two of its runs, which ties those with many
+   links; then all pairs of different components are.  So no link between components is
+   lost, and no group is paired with itself.
+5. *Verification.*  Candidates pass a filter that never drops a link (parities of the elements
+   by hash: at most H differ), and then their whole sets are intersected.
 6. Components of the links; every document gets the smallest doc_id it can reach.
 """
 
@@ -51,6 +54,10 @@ ROWS_AT_ONCE = 250
 #: A shard is sorted in so many pieces (as a power of two), by other bits of the signatures.
 PIECE_BITS = 3
 PAIRS_AT_ONCE = 1_000_000
+#: Sets of a shingle that each one is first tested with.
+NEIGHBOURS = 2
+#: Signatures that a task packs together.
+SIGNATURES_AT_ONCE = 400_000
 #: Ids of sets to look up are broadcast up to this many; beyond it the look-up is a shuffled join.
 BROADCAST_ROWS = 2_000_000
 NO_ID = 2 ** 63 - 1
@@ -105,23 +112,21 @@ def _set_ids(row: np.ndarray, value: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _sketch(value: np.ndarray) -> bytes:
-    """Elements counted by hash in a power of two of bins, about two to four in each; counts stop at 255."""
-    bins = 1 << max(4, (len(value) // 2).bit_length() - 1)
-    count = np.bincount((mix64(value + np.uint64(77)) % np.uint64(bins)).astype(np.int64), minlength=bins)
-    return np.minimum(count, 255).astype(np.uint8).tobytes()
+    """Bits, at least four an element: whether the number of elements that a hash deals to a place is odd."""
+    bits = 1 << max(7, (4 * len(value) - 1).bit_length())
+    count = np.bincount((mix64(value + np.uint64(77)) % np.uint64(bits)).astype(np.int64), minlength=bits)
+    return np.packbits((count & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
 def may_link(a: bytes, b: bytes, n_a: int, n_b: int) -> bool:
-    """False only for pairs that differ in more than H elements."""
+    """False only for pairs that differ in more than H elements: each such element changes one bit.
+
+    Bits of the longer sketch are folded, so that both have the same places."""
     if 4 * min(n_a, n_b) < 3 * max(n_a, n_b):
         return False
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    if (x == 255).any() or (y == 255).any():
-        return True
-    x, y = x.astype(np.int64), y.astype(np.int64)
-    size = min(len(x), len(y))
-    x, y = x.reshape(-1, size).sum(axis=0), y.reshape(-1, size).sum(axis=0)
-    return int(np.abs(x - y).sum()) <= (n_a + n_b) // 7
+    size = min(len(a), len(b)) // 8
+    x, y = (np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, size), axis=0) for s in (a, b))
+    return int(np.bitwise_count(x ^ y).sum()) <= (n_a + n_b) // 7
 
 
 def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,9 +216,38 @@ def _unpack(kind: type, column) -> np.ndarray:
 
 
 def _emit_signatures(upper: np.ndarray, shards: int):
-    """(text) -> packed signatures for each shard, grouped by set and band; a set once a batch."""
+    """(text) -> packed signatures for each shard, grouped by set and band; a set once a batch.
+
+    Signatures of several batches are packed together, so that a shard gets few and long rows."""
+    names = [f.split()[0] for f in _PACKED.split(", ")]
+
+    def packed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        ids, n, band, slack, sig = (np.concatenate([h[k] for h in held]) for k in range(5))
+        weak = np.concatenate([h[5] for h in held])
+        held.clear()
+        shard = (sig % np.uint64(shards)).astype(np.int64)
+        order = np.lexsort((band, ids, shard))
+        ids, n, band, slack, sig, shard = (x[order] for x in (ids, n, band, slack, sig, shard))
+        new = np.ones(len(ids), bool)
+        new[1:] = (ids[1:] != ids[:-1]) | (band[1:] != band[:-1]) | (shard[1:] != shard[:-1])
+        head = np.flatnonzero(new)
+        count = np.diff(np.append(head, len(ids)))
+        weak = weak[np.argsort(weak % shards, kind="stable")]
+        present = np.union1d(shard, weak % shards)
+        cut, head_cut = (np.searchsorted(x, present, "left") for x in (shard, shard[head]))
+        end, head_end = (np.searchsorted(x, present, "right") for x in (shard, shard[head]))
+        weak_cut, weak_end = (np.searchsorted(weak % shards, present, side) for side in ("left", "right"))
+        out = []
+        for k, s in enumerate(present.tolist()):
+            h = head[head_cut[k]:head_end[k]]
+            out.append((s, _pack(np.int64, ids[h]), _pack(np.uint32, n[h]), _pack(np.uint8, band[h]), _pack(np.int32, slack[h]),
+                        _pack(np.uint32, count[head_cut[k]:head_end[k]]), _pack(np.uint64, sig[cut[k]:end[k]]),
+                        _pack(np.int64, weak[weak_cut[k]:weak_end[k]])))
+        columns = list(zip(*out)) if out else [[]] * 8
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
         for batch in _small(batches):
             row, value = shingle_sets(batch.column("text"))
             n = np.bincount(row, minlength=batch.num_rows)
@@ -227,36 +261,25 @@ def _emit_signatures(upper: np.ndarray, shards: int):
             slack_of = np.zeros((len(n), len(upper)), np.int32)
             slack_of[slack_row, slack_band] = slack
             weak = ids[np.unique(slack_row[slack < 0])]
-            shard = (sig % np.uint64(shards)).astype(np.int64)
-            order = np.lexsort((band, r, shard))
-            r, band, sig, shard = r[order], band[order], sig[order], shard[order]
-            new = np.ones(len(r), bool)
-            new[1:] = (r[1:] != r[:-1]) | (band[1:] != band[:-1]) | (shard[1:] != shard[:-1])
-            head = np.flatnonzero(new)
-            count = np.diff(np.append(head, len(r)))
-            head_cut = np.searchsorted(shard[head], np.arange(shards + 1))
-            cut = np.searchsorted(shard, np.arange(shards + 1))
-            out = []
-            for s in range(shards):
-                a, h = slice(cut[s], cut[s + 1]), head[head_cut[s]:head_cut[s + 1]]
-                mine = weak[weak % shards == s]
-                if len(h) or len(mine):
-                    out.append((s, _pack(np.int64, ids[r[h]]), _pack(np.uint32, n[r[h]]), _pack(np.uint8, band[h]),
-                                _pack(np.int32, slack_of[r[h], band[h]]), _pack(np.uint32, count[head_cut[s]:head_cut[s + 1]]),
-                                _pack(np.uint64, sig[a]), _pack(np.int64, mine)))
-            columns = list(zip(*out)) if out else [[]] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-                                             [f.split()[0] for f in _PACKED.split(", ")])
+            held.append((ids[r], n[r].astype(np.uint32), band.astype(np.uint8), slack_of[r, band], sig, weak))
+            if sum(len(h[0]) for h in held) >= SIGNATURES_AT_ONCE:
+                yield packed(held)
+        if held:
+            yield packed(held)
 
     return run
 
 
-#: kind 0: a pair of sets (x, y); 1: set x in the long run y of a band with a slack; 2: set x is weak in a band.
+#: kind 0: a pair of sets (x, y); 1: set x is in y long runs of a band with a slack; 2: set x is weak in a band;
+#: 3: y is the hub of set x in a long run.
 _RUNS = "kind int, x long, y long, band int, slack int"
 
 
 def _runs_of(sig: np.ndarray, owner: np.ndarray, ids: np.ndarray, size: np.ndarray, band: np.ndarray, upper: np.ndarray, run_limit: int):
-    """Distinct pairs of the short runs (2, n); signature and owner of each member of the long runs."""
+    """Distinct pairs of the short runs (2, n); owner, and hub, of each member of the long runs.
+
+    The hub is the run's smallest set that is large enough to be a partner: sets that consist of the
+    same passage for the most part are all near the one that has least besides."""
     order = np.argsort(sig)
     sig, owner = sig[order], owner[order]
     alone = np.ones(len(sig), bool)                # signatures that occur once are done with
@@ -281,40 +304,60 @@ def _runs_of(sig: np.ndarray, owner: np.ndarray, ids: np.ndarray, size: np.ndarr
                 fit = (4 * np.minimum(size[a], size[b]).astype(np.int64) >= 3 * big) & (np.searchsorted(upper, big) == band[a])
                 pairs.append(np.stack([ids[a[fit]], ids[b[fit]]]))
     long = np.repeat(length > run_limit, length)
-    return np.unique(np.concatenate(pairs, axis=1), axis=1), sig[long], owner[long]
+    run, owner = np.repeat(np.arange(len(head)), length)[long], owner[long]
+    own = size[owner].astype(np.int64)
+    order = np.lexsort((ids[owner], own, run))
+    run, owner, own = run[order], owner[order], own[order]
+    step = int(own.max(initial=0)) + 1
+    hub = owner[np.searchsorted(run * step + own, run * step + -(-3 * own // 4))]
+    return np.unique(np.concatenate(pairs, axis=1), axis=1), owner, ids[hub]
 
 
 def _find_runs(upper: np.ndarray, run_limit: int):
-    """Packed signatures of shards -> pairs of short runs, members of long runs, weak sets."""
+    """Packed signatures of shards -> pairs of short runs, number of long runs of each set, their hubs, weak sets.
+
+    A partition has its shards one after the other, and one is held at a time."""
+
+    def runs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        mine = pa.Table.from_batches(held)
+        held.clear()
+        get = lambda c, kind: _unpack(kind, mine.column(c))
+        count, sig = get("n", np.uint32), get("signature", np.uint64)
+        ids, size, band, slack = (get(c, k) for c, k in (("set_id", np.int64), ("size", np.uint32), ("band", np.uint8), ("slack", np.int32)))
+        weak = np.unique(get("weak", np.int64))
+        del mine
+        owner = np.repeat(np.arange(len(ids), dtype=np.int32), count)
+        found = [_runs_of(sig[pick], owner[pick], ids, size, band, upper, run_limit)
+                 for pick in (sig >> np.uint64(64 - PIECE_BITS) == p for p in range(1 << PIECE_BITS))]
+        pairs = np.unique(np.concatenate([f[0] for f in found], axis=1), axis=1)
+        o, hub = (np.concatenate([f[k] for f in found]) for k in (1, 2))
+        # A set once a band (it may come from several batches), with its number of long runs here.
+        key, first, times = np.unique(np.stack([ids[o], band[o].astype(np.int64)]), axis=1, return_index=True, return_counts=True)
+        stars = np.unique(np.stack([ids[o], hub]), axis=1)
+        stars = stars[:, stars[0] != stars[1]]
+        kinds = np.repeat(np.arange(4), [pairs.shape[1], key.shape[1], len(weak), stars.shape[1]])
+        none = lambda *sizes: [np.zeros(n, np.int64) for n in sizes]
+        a, c, d = none(pairs.shape[1], len(weak), stars.shape[1])
+        out = pa.RecordBatch.from_arrays([
+            pa.array(kinds.astype(np.int32)), pa.array(np.concatenate([pairs[0], key[0], weak, stars[0]])),
+            pa.array(np.concatenate([pairs[1], times, c, stars[1]])),
+            pa.array(np.concatenate([a, key[1], c, d]).astype(np.int32)),
+            pa.array(np.concatenate([a, slack[o][first], c, d]).astype(np.int32))], ["kind", "x", "y", "band", "slack"])
+        release()
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        shard = table.column("shard").to_numpy()
-        del held
-        for s in np.unique(shard):
-            mine = table.filter(pa.array(shard == s))
-            get = lambda c, kind: _unpack(kind, mine.column(c))
-            count, sig = get("n", np.uint32), get("signature", np.uint64)
-            ids, size, band, slack = (get(c, k) for c, k in (("set_id", np.int64), ("size", np.uint32), ("band", np.uint8), ("slack", np.int32)))
-            owner = np.repeat(np.arange(len(ids), dtype=np.int32), count)
-            found = [_runs_of(sig[pick], owner[pick], ids, size, band, upper, run_limit)
-                     for pick in (sig >> np.uint64(64 - PIECE_BITS) == p for p in range(1 << PIECE_BITS))]
-            pairs = np.unique(np.concatenate([f[0] for f in found], axis=1), axis=1)
-            long_sig, o = (np.concatenate([f[k] for f in found]) for k in (1, 2))
-            weak = get("weak", np.int64)
-            kinds = np.repeat(np.arange(3), [pairs.shape[1], len(o), len(weak)])
-            zero = np.zeros(pairs.shape[1], np.int64)
-            zeros = np.zeros(len(weak), np.int64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(kinds.astype(np.int32)), pa.array(np.concatenate([pairs[0], ids[o], weak])),
-                pa.array(np.concatenate([pairs[1], long_sig.view(np.int64), zeros])),
-                pa.array(np.concatenate([zero, band[o], zeros]).astype(np.int32)),
-                pa.array(np.concatenate([zero, slack[o], zeros]).astype(np.int32))], ["kind", "x", "y", "band", "slack"])
-            del sig, owner, found, mine
-            release()
+        held, now = [], None
+        for batch in batches:
+            shard = batch.column("shard").to_numpy()
+            cut = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(shard) else [0]
+            for lo, hi in zip(cut[:-1], cut[1:]):
+                if held and shard[lo] != now:
+                    yield runs(held)
+                now = shard[lo]
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield runs(held)
 
     return run
 
@@ -353,65 +396,89 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, broadcast_rows: int) -> DataFra
     return materialize(same.dropDuplicates(["set_id"]), "jaccard-sets")
 
 
-def _folded(sketches: list[bytes], bins: int) -> np.ndarray:
-    """Counts of each sketch added up to `bins` bins (sketches with fewer are left at zero)."""
-    out = np.zeros((len(sketches), bins), np.int32)
+def _folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Each sketch folded to `size` words (those with fewer are left at zero)."""
+    out = np.zeros((len(sketches), size), np.uint64)
     for i, sketch in enumerate(sketches):
-        if len(sketch) >= bins:
-            out[i] = np.frombuffer(sketch, np.uint8).reshape(-1, bins).sum(axis=0, dtype=np.int32)
+        if len(sketch) >= 8 * size:
+            out[i] = np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, size), axis=0)
     return out
 
 
-def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(shingle, set_id, component, n_shingles, sketch), a task holding all of a shingle -> pairs of different components.
+#: Words of a folded sketch that pairs are tested with at once, at most.
+FOLDED = 64
+
+
+def _cross_pairs(neighbours: int | None):
+    """(shingle, set_id, component, n_shingles, sketch), a task holding all of a shingle -> pairs of different components
+    that pass the filter: all of them, or of each set those with the next so many sets of the shingle, in an order dealt by a hash.
 
     A pair that several shingles give is tested once a block of PAIRS_AT_ONCE.
     """
-    held = list(batches)
-    if not held:
-        return
-    table = pa.Table.from_batches(held)
-    shingle, ids, comp = (table.column(c).to_numpy() for c in ("shingle", "set_id", "component"))
-    order = np.lexsort((comp, shingle))
-    shingle, comp = shingle[order], comp[order]
-    sets, first, member = np.unique(ids[order], return_index=True, return_inverse=True)
-    n = table.column("n_shingles").to_numpy()[order][first].astype(np.int64)
-    sketches = [x.as_py() for x in table.column("sketch").take(pa.array(order[first]))]
-    bins = np.array([len(x) for x in sketches])
-    full = np.array([255 in x for x in sketches], bool)
-    folded = {16: _folded(sketches, 16), 64: _folded(sketches, 64)}
-
-    def test(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-        key = np.unique(np.minimum(x, y) * len(sets) + np.maximum(x, y))
-        x, y = key // len(sets), key % len(sets)
-        fit = 4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y])
-        x, y = x[fit], y[fit]
-        near = np.zeros(len(x), bool)
-        for size, use in ((64, np.minimum(bins[x], bins[y]) >= 64), (16, np.minimum(bins[x], bins[y]) < 64)):
-            at = np.flatnonzero(use)
-            for lo in range(0, len(at), 50_000):
-                i = at[lo:lo + 50_000]
-                far = np.abs(folded[size][x[i]] - folded[size][y[i]]).sum(axis=1) > (n[x[i]] + n[y[i]]) // 7
-                near[i] = ~far | full[x[i]] | full[y[i]]
-        some = [(a, b) for a, b in zip(x[near].tolist(), y[near].tolist()) if may_link(sketches[a], sketches[b], int(n[a]), int(n[b]))]
-        return pa.RecordBatch.from_arrays([pa.array([int(sets[k]) for k in side], pa.int64()) for side in
-                                           (zip(*some) if some else ([], []))], ["x", "y"])
-
-    cut = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1], [True]]))
-    # Components stand together: a member's partners are those behind its own component.
-    end = np.concatenate([a + np.searchsorted(comp[a:b], comp[a:b], "right") for a, b in zip(cut[:-1], cut[1:])]) if len(shingle) else cut[:0]
-    last = np.repeat(cut[1:], np.diff(cut))
-    count = last - end
-    total = np.cumsum(count)
-    lo = 0
-    while lo < len(count):
-        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + PAIRS_AT_ONCE, "right")))
-        c = count[lo:hi]
-        if c.any():
-            left = np.repeat(np.arange(lo, hi), c)
-            right = np.arange(c.sum()) + np.repeat(end[lo:hi] - (np.cumsum(c) - c), c)
-            yield test(member[left], member[right])
-        lo = hi
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        shingle, ids, comp = (table.column(c).to_numpy() for c in ("shingle", "set_id", "component"))
+        order = np.lexsort((comp if neighbours is None else mix64((ids ^ shingle).astype(np.uint64)), shingle))
+        shingle, comp = shingle[order], comp[order]
+        sets, first, member = np.unique(ids[order], return_index=True, return_inverse=True)
+        n = table.column("n_shingles").to_numpy()[order][first].astype(np.int64)
+        sketches = [x.as_py() for x in table.column("sketch").take(pa.array(order[first]))]
+        words = np.minimum([len(x) // 8 for x in sketches], FOLDED)
+        folded = {size: _folded(sketches, size) for size in np.unique(words).tolist()}
+
+        def test(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+            key = np.unique(np.minimum(x, y) * len(sets) + np.maximum(x, y))
+            x, y = key // len(sets), key % len(sets)
+            fit = 4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y])
+            x, y = x[fit], y[fit]
+            near, least = np.zeros(len(x), bool), np.minimum(words[x], words[y])
+            for size, rows in folded.items():
+                at = np.flatnonzero(least == size)
+                for lo in range(0, len(at), (1 << 21) // size):
+                    i = at[lo:lo + (1 << 21) // size]
+                    near[i] = np.bitwise_count(rows[x[i]] ^ rows[y[i]]).sum(axis=1) <= (n[x[i]] + n[y[i]]) // 7
+            some = [(a, b) for a, b in zip(x[near].tolist(), y[near].tolist()) if may_link(sketches[a], sketches[b], int(n[a]), int(n[b]))]
+            return pa.RecordBatch.from_arrays([pa.array([int(sets[k]) for k in side], pa.int64()) for side in
+                                               (zip(*some) if some else ([], []))], ["x", "y"])
+
+        cut = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1], [True]]))
+        last = np.repeat(cut[1:], np.diff(cut))
+        if neighbours is not None:
+            for k in range(1, neighbours + 1):
+                left = np.flatnonzero(np.arange(len(shingle)) + k < last)
+                left = left[comp[left] != comp[left + k]]
+                for lo in range(0, len(left), PAIRS_AT_ONCE):
+                    some = left[lo:lo + PAIRS_AT_ONCE]
+                    yield test(member[some], member[some + k])
+            return
+        # Components stand together: a member's partners are those behind its own component.
+        end = np.concatenate([a + np.searchsorted(comp[a:b], comp[a:b], "right") for a, b in zip(cut[:-1], cut[1:])]) if len(shingle) else cut[:0]
+        count = last - end
+        total = np.cumsum(count)
+        lo = 0
+        while lo < len(count):
+            hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + PAIRS_AT_ONCE, "right")))
+            c = count[lo:hi]
+            if c.any():
+                left = np.repeat(np.arange(lo, hi), c)
+                right = np.arange(c.sum()) + np.repeat(end[lo:hi] - (np.cumsum(c) - c), c)
+                yield test(member[left], member[right])
+            lo = hi
+
+    return run
+
+
+def _across(prefix: DataFrame, classes: DataFrame, label: DataFrame, neighbours: int | None) -> DataFrame:
+    """Distinct candidates between components among the sets of one shingle of `prefix`; label: (node, component)."""
+    prefix = prefix.join(label.withColumnRenamed("node", "set_id"), "set_id", "left") \
+        .withColumn("component", F.coalesce("component", "set_id"))
+    mixed = prefix.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
+    prefix = prefix.join(mixed, "shingle").join(classes.select("set_id", "n_shingles", "sketch"), "set_id") \
+        .select("shingle", "set_id", "component", "n_shingles", "sketch")
+    return prefix.repartition("shingle").mapInArrow(_cross_pairs(neighbours), "x long, y long").distinct()
 
 
 def set_links(docs: DataFrame, classes: DataFrame, run_limit: int = RUN, shard_bytes: int = SHARD_BYTES,
@@ -421,14 +488,11 @@ def set_links(docs: DataFrame, classes: DataFrame, run_limit: int = RUN, shard_b
     longest = classes.agg(F.max("n_shingles")).first()[0] or 1
     shards, upper = max(MIN_SHARDS, -(-total // shard_bytes)), bands(longest)
     runs = docs.select("text").mapInArrow(_emit_signatures(upper, shards), _PACKED) \
-        .repartition(shards, "shard").mapInArrow(_find_runs(upper, run_limit), _RUNS)
+        .repartitionById(shards, "shard").sortWithinPartitions("shard").mapInArrow(_find_runs(upper, run_limit), _RUNS)
     runs = materialize(runs, "jaccard-runs")
-    long = runs.where("kind = 1")
-    dense = long.groupBy("x", "band").agg(F.count(F.lit(1)).alias("n"), F.first("slack").alias("slack")).where("n > slack").select("x")
+    dense = runs.where("kind = 1").groupBy("x", "band").agg(F.sum("y").alias("n"), F.first("slack").alias("slack")).where("n > slack").select("x")
     dense = materialize(dense.unionByName(runs.where("kind = 2").select("x")).distinct(), "jaccard-dense")
-    in_long = long.join(dense, "x").select("x", "y")
-    pivots = in_long.groupBy("y").agg(F.min("x").alias("pivot"))
-    stars = in_long.join(pivots, "y").select("x", F.col("pivot").alias("y"))
+    stars = runs.where("kind = 3").select("x", "y").distinct().join(dense, "x")
     first = materialize(_filtered(runs.where("kind = 0").select("x", "y").unionByName(stars), classes), "jaccard-pairs")
 
     known = classes.select("set_id", "rep", "n_shingles")
@@ -446,13 +510,12 @@ def set_links(docs: DataFrame, classes: DataFrame, run_limit: int = RUN, shard_b
     room = F.col("n") - F.ceil(F.col("n") * 3 / 4) + 1 - (F.col("n") - F.size("shared"))
     prefix = shared.where(room > 0).select("set_id", F.explode(F.slice("shared", F.lit(1), room.cast("int"))).alias("e")) \
         .select("set_id", F.col("e.shingle").alias("shingle"))
-    prefix = prefix.join(label.withColumnRenamed("node", "set_id"), "set_id", "left") \
-        .withColumn("component", F.coalesce("component", "set_id"))
-    mixed = prefix.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
-    prefix = prefix.join(mixed, "shingle").join(classes.select("set_id", "n_shingles", "sketch"), "set_id") \
-        .select("shingle", "set_id", "component", "n_shingles", "sketch")
-    cross = prefix.repartition("shingle").mapInArrow(_cross_pairs, "x long, y long").distinct()
-    return links.unionByName(_links(cross, sets))
+    prefix = materialize(prefix, "jaccard-prefix")
+    # A few neighbours of each set first: they tie sets that have many links, so that what is left to test is little.
+    near = materialize(_links(_across(prefix, classes, label, NEIGHBOURS), sets), "jaccard-near")
+    links = links.unionByName(near)
+    label = connected_components(links, "x", "y", "jaccard-tied")
+    return links.unionByName(_links(_across(prefix, classes, label, None), sets))
 
 
 def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

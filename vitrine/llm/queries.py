@@ -74,7 +74,30 @@ QUERIES = {f.__name__: f for f in (
 #: translate() in the SQL below: exactly A-Z become a-z.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Words of every text; those of op4 in lower case.
+_SPLIT = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
 ORACLE = {
+    "op4_ngram_jaccard_join": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, {_SPLIT.format(_LOWER)} AS w FROM documents),
+             s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                   ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+             e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+             p AS (SELECT a.doc_id AS i, b.doc_id AS j FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+                   HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+             l AS (SELECT i, j FROM p UNION ALL SELECT j, i FROM p),
+             r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, l.j FROM r JOIN l ON r.c = l.i)
+        SELECT doc_id, CAST(any_value(len(s)) AS BIGINT) AS n_shingles, min(c) AS component_id FROM r JOIN s USING (doc_id) GROUP BY doc_id""",
+    "op8_substring_dedup": f"""
+        WITH w AS (SELECT doc_id, {_SPLIT.format("coalesce(text, '')")} AS w FROM documents),
+             g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS x
+                   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w)),
+             o AS (SELECT x, min(doc_id) AS least FROM g GROUP BY x),
+             c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN o USING (x) WHERE least < doc_id),
+             k AS (SELECT t.doc_id, string_agg(t.word, ' ' ORDER BY t.p) AS kept, count(*) AS n
+                   FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM w) t ANTI JOIN c USING (doc_id, p) GROUP BY 1)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN k USING (doc_id)""",
     "op11_hard_negatives": """
         WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
