@@ -14,8 +14,7 @@ an allow-list pattern covers, and spans that overlap a base span, are suppressed
 
 Everything is a map over the rows: no shuffle, no join.  Positions count code
 points.  They come from the texts between the matches (``split`` with the same
-pattern).  The cost of a text grows with its length, and only an array copy with
-the square of its number of matches.
+pattern), some matches at a time, so that the cost of a text grows with its length.
 """
 
 from __future__ import annotations
@@ -53,8 +52,11 @@ CLASSES = [CharClass("entropy_hex", "[0-9A-Fa-f]", _HEX, 20, 2.9),
 #: Candidates that are no secrets: without a digit, without a letter, a UUID, words and numbers joined
 #: by single marks (paths, identifiers), a stated example.
 ALLOW = [r"^[^0-9]+$", r"^[^A-Za-z]+$", r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-         r"^([A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})([-_/+]+([A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[-_/+]*$", r"(?i)example|placeholder"]
+         # (the repeated group is possessive: it has one way to match, and a greedy one recurses once a repetition)
+         r"^(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[-_/+]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*+[-_/+]*$", r"(?i)example|placeholder"]
 UNIT = 1_000_000
+#: Matches of a text whose places are worked out in one array, which is copied with each of them.
+PIECE = 256
 
 _SPAN = "array<struct<start:int,end:int>>"
 
@@ -74,7 +76,7 @@ def _locate(df: DataFrame, out: str, pattern: str, group: int = 0, least: int =
     some = F.size("_m") > 0
     df = df.withColumns({"_gap": F.when(some, F.split("_t", pattern, -1)),
                          "_g": F.when(some, F.regexp_extract_all("_t", F.lit(pattern), F.lit(group))) if group else F.col("_m")})
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string,n:int>>").alias("out"))
+    none = F.array().cast("array<struct<start:int,end:int,text:string,n:int>>")
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["_gap"])
@@ -82,9 +84,15 @@ def _locate(df: DataFrame, out: str, pattern: str, group: int = 0, least: int =
         one = F.struct(start.alias("start"), end.alias("end"), x["_m"].alias("text"), F.length(x["_g"]).alias("n"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    zipped = F.arrays_zip(F.slice("_gap", F.lit(1), F.size("_m")), "_m", "_g")
-    spans = F.aggregate(zipped.cast("array<struct<_gap:string,_m:string,_g:string>>"), zero, step, lambda a: a["out"])
-    return df.withColumn(out, F.when(some, F.filter(spans, lambda s: s["n"] >= least))).drop("_m", "_gap", "_g")
+    def piece(acc: Column, first: Column) -> Column:
+        zero = F.struct(F.element_at(acc, -1)["at"].alias("at"), none.alias("out"))
+        return F.concat(acc, F.array(F.aggregate(F.slice("_zip", first + 1, PIECE), zero, step)))
+
+    zipped = F.arrays_zip(F.slice("_gap", F.lit(1), F.size("_m")), "_m", "_g").cast("array<struct<_gap:string,_m:string,_g:string>>")
+    df = df.withColumn("_zip", F.when(some, zipped))
+    firsts = F.sequence(F.lit(0), F.greatest(F.size("_m") - 1, F.lit(0)), F.lit(PIECE))
+    pieces = F.aggregate(firsts, F.array(F.struct(F.lit(0).alias("at"), none.alias("out"))), piece, lambda a: F.flatten(F.transform(a, lambda p: p["out"])))
+    return df.withColumn(out, F.when(some, F.filter(pieces, lambda s: s["n"] >= least))).drop("_m", "_gap", "_g", "_zip")
 
 
 def _windows(candidate: Column, c: CharClass) -> Column:
@@ -93,8 +101,9 @@ def _windows(candidate: Column, c: CharClass) -> Column:
     w, size = c.window, len(c.alphabet)
     chars = F.transform(F.split(candidate, ""), lambda ch: F.instr(F.lit(c.alphabet), ch))
     # Each step adds one place; from step w on the character w places back leaves.
-    moves = F.transform(chars, lambda ch, i: F.struct(ch.alias("come"), F.when(
-        i >= w, F.element_at(chars, (i - w + 1).cast("int"))).otherwise(0).alias("go"), i.alias("i")))
+    back = F.slice(F.concat(F.array_repeat(F.lit(0), w), chars), F.lit(1), F.length(candidate))
+    pairs = F.arrays_zip(chars, back).cast("array<struct<come:int,go:int>>")
+    moves = F.transform(pairs, lambda m, i: F.struct(m["come"].alias("come"), m["go"].alias("go"), i.alias("i")))
     zero = F.struct(F.array_repeat(F.lit(0), size).alias("n"), F.lit(0).cast("long").alias("sum"),
                     F.lit(-1).alias("lo"), F.lit(-1).alias("hi"), F.array().cast(_SPAN).alias("out"))
 
@@ -148,7 +157,8 @@ def scan_secrets(docs: DataFrame, classes: list[CharClass] = CLASSES, allow: lis
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_entropy, found.
 
     ``found`` is the array of spans (start, rank, kind, end), in order of start and
-    then of kind.  NULL and empty texts have none.  An empty table gives an empty result.
+    then of kind.  NULL and empty texts have none.  Very long texts and runs are read whole.  Repeated rows give
+    a row each.  Other columns are ignored.  An empty table gives an empty result.
     """
     df = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("_t"))
     for kind, pattern, group, least in BASE:
