@@ -41,8 +41,10 @@ def latest_checkouts(events: DataFrame) -> DataFrame:
 
 
 def abandoned_carts(events: DataFrame) -> DataFrame:
-    units = cart_units(events)
-    checkouts = latest_checkouts(events)
+    return abandoned_from(cart_units(events), latest_checkouts(events))
+
+
+def abandoned_from(units: DataFrame, checkouts: DataFrame) -> DataFrame:
     joined = units.join(
         checkouts,
         (units["dt"] == checkouts["o_dt"]) & units["user_id"].eqNullSafe(checkouts["o_user_id"]),

@@ -51,6 +51,11 @@ class Warehouse:
         else:
             raise ValueError(f"unknown mode {mode}")
 
+    def drop_dates(self, table: str, dates: list[str]) -> None:
+        """Removes the partitions of dates that have no rows any more."""
+        for dt in dates:
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (dt = '{dt}')")
+
     def read(self, table: str, dt: str | None = None) -> DataFrame:
         """Table scan; a ``dt`` value becomes a partition filter."""
         df = self.spark.table(self.name(table))
