@@ -375,3 +375,9 @@ SELECT event_type, CAST(count(*) AS BIGINT) AS total_events,
 FROM wml GROUP BY event_type
 UNION ALL SELECT NULL, CAST(count(*) AS BIGINT), 0, 0, 0, 0.0 FROM noise WHERE d = 77 HAVING count(*) > 0""", _WM, _NOISE)
 ORACLE["stream_tail"] = ORACLE["land_raw_stream"]
+ORACLE["click_checkout_factors"] = with_ev("""
+SELECT c.user_id, 'clicks' AS side, c.product_id AS id, CAST(count(*) AS BIGINT) AS n
+FROM ev c WHERE event_type = 'CLICK' AND user_id IN (SELECT user_id FROM ev WHERE event_type = 'CHECKOUT_COMPLETED') GROUP BY 1, 3
+UNION ALL
+SELECT o.user_id, 'orders', o.order_id, CAST(count(*) AS BIGINT)
+FROM ev o WHERE event_type = 'CHECKOUT_COMPLETED' AND user_id IN (SELECT user_id FROM ev WHERE event_type = 'CLICK') GROUP BY 1, 3""")

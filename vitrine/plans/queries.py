@@ -25,7 +25,7 @@ from vitrine.operators.funnel import cart_subtotal_by_category, filter_event_typ
 from vitrine.operators.lateness import (accepted_events, arrival_key_cols, late_events, late_rate, with_arrival_watermark,
                                         with_late_pct)
 from vitrine.operators.logistics import logistics_sla
-from vitrine.operators.pairs import click_checkout_pair_count, click_checkout_pairs
+from vitrine.operators.pairs import click_checkout_pair_count, click_checkout_pairs, factor_entries, pair_factors
 from vitrine.operators.windows import emitted_windows, sliding_click_counts, split_windows
 from vitrine.plans.batch_etl import run_daily_etl
 from vitrine.schemas import EVENT_COLUMNS
@@ -101,6 +101,11 @@ def q_pair_count(spark, sf_dir):
     return click_checkout_pair_count(events(spark, sf_dir, C.CLICK, C.CHECKOUT))
 
 
+@register("click_checkout_factors")
+def q_factors(spark, sf_dir):
+    return factor_entries(pair_factors(events(spark, sf_dir, C.CLICK, C.CHECKOUT)))
+
+
 @register("abandoned_carts")
 def q_abandoned(spark, sf_dir):
     return abandoned_carts(events(spark, sf_dir, C.CART_ADD, C.CART_REMOVE, C.CHECKOUT))
@@ -312,9 +317,9 @@ def q_scan_raw_table(spark, sf_dir):
     ev = events(spark, sf_dir)
     layout = J.landing_layout(J.to_json_lines(ev, keep=("ingestion_time",)), "ingestion_time")
     root = scratch_path(spark, "raw")
-    J.write_landing(layout, root)
     table = "vitrine_raw_" + root.rsplit("-", 1)[-1]
-    J.create_raw_table(spark, table, root)
+    J.create_raw_table(spark, table, root, recover=False)
+    J.land(spark, layout, root, table)
     return spark.table(table)
 
 

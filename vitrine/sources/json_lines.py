@@ -91,12 +91,26 @@ def write_landing(layout: DataFrame, path: str) -> None:
      .partitionBy("year", "month", "day").text(path))
 
 
-def create_raw_table(spark: SparkSession, table: str, location: str) -> None:
+def land(spark: SparkSession, layout: DataFrame, path: str, table: str) -> None:
+    """Writes one load to the landing zone and registers its days with the table.
+
+    Only the days of this load are named (a row per day comes to the driver), so the zone is
+    never listed, however many days it holds."""
+    days = layout.select("year", "month", "day").distinct().collect()
+    write_landing(layout, path)
+    for lo in range(0, len(days), 100):
+        named = " ".join(f"PARTITION (year='{d.year}', month='{d.month}', day='{d.day}')" for d in days[lo:lo + 100])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {named}")
+
+
+def create_raw_table(spark: SparkSession, table: str, location: str, recover: bool = True) -> None:
     """External table over the landing zone (S2): the declared 20 columns
-    plus the ``year/month/day`` partitions, discovered from the folders."""
+    plus the ``year/month/day`` partitions.  ``recover``: those of a zone that exists are
+    discovered from its folders, once; later loads register theirs (``land``)."""
     cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EVENT_SCHEMA.fields
                      if f.name in RAW_TABLE_COLUMNS)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"""CREATE TABLE {table} ({cols}, year STRING, month STRING, day STRING)
                   USING json PARTITIONED BY (year, month, day) LOCATION '{location}'""")
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    if recover:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
