@@ -34,6 +34,17 @@ def test_every_document_equals_brute_force(docs_of, corpus):
             assert sum(s.end - s.start for s in r.removed) == r.n_removed
 
 
+@pytest.mark.parametrize("length", [130, 131, 200])
+def test_long_windows(docs_of, length):
+    """Spans of more than 255 words."""
+    rng = random.Random(length)
+    text = lambda n: " ".join(f"v{rng.randrange(5000)}" for _ in range(n))
+    shared = text(700)
+    rows = [(1, text(90) + " " + shared), (2, shared), (3, text(40) + " " + shared + " " + text(300)), (4, shared[:len(shared) // 2])]
+    got = substrings.remove_repeats(docs_of(rows), length).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got), key=str) == _brute(rows, length)
+
+
 def test_few_words_many_repeats(docs_of):
     """A small vocabulary: windows overlap, nest and repeat within documents."""
     rng = random.Random(3)

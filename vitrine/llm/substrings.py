@@ -229,6 +229,11 @@ _ROUTED = ("shard int, doc_id binary, row_key binary, n binary, minimizer binary
 _COVERED = "row_key long, covered binary"
 
 
+def size_kind(length: int, seed: int) -> type:
+    """Of the number of words of a span: 2 * length - seed at most."""
+    return np.uint8 if 2 * length - seed < 256 else np.uint16
+
+
 def _candidate_spans(length: int, seed: int, shards: int):
     """(doc_id, row_key, text, found) -> packed spans for each shard, and windows already known to be covered (`done`)."""
 
@@ -265,13 +270,11 @@ def _candidate_spans(length: int, seed: int, shards: int):
             go = go[np.argsort(row_[go], kind="stable")]
             shard, back = _shard_of_key(key[go], shards), _shard_of_row(done_row, shards)
             out = []
-            for s in range(shards):
+            for s in np.union1d(shard, back).tolist():
                 a, b = go[shard == s], back == s
-                if not len(a) and not b.any():
-                    continue
                 rows, n = np.unique(row_[a], return_counts=True)
                 out.append((s, _pack(np.int64, ids[rows]), _pack(np.int64, keys[rows]), _pack(np.uint32, n), _pack(np.uint32, key[a] >> np.uint64(32)),
-                            _pack(np.uint32, relative[a]), _pack(np.uint8, size[a]), _pack(np.uint32, code[_expand(start[a], size[a])]),
+                            _pack(np.uint32, relative[a]), _pack(size_kind(length, seed), size[a]), _pack(np.uint32, code[_expand(start[a], size[a])]),
                             _pack(np.int64, done_row[b]), _pack(np.uint32, done[b])))
             yield _batch(out, _ROUTED)
 
@@ -365,7 +368,7 @@ def _shared_windows(codes: np.ndarray, size: np.ndarray, group: np.ndarray, leng
     return out
 
 
-def _match_spans(length: int):
+def _match_spans(length: int, seed: int):
     """Packed spans of shards -> for each row the first words of its covered windows.
 
     Half a minimizer is enough here: where two agree in it, their spans share an automaton.
@@ -376,7 +379,7 @@ def _match_spans(length: int):
             get = lambda c, kind: _unpack(kind, table.column(c))
             n = get("n", np.uint32)
             ids, rows = np.repeat(get("doc_id", np.int64), n), np.repeat(get("row_key", np.int64), n)
-            key, start, size = get("minimizer", np.uint32), get("start", np.uint32).astype(np.int64), get("size", np.uint8).astype(np.int64)
+            key, start, size = get("minimizer", np.uint32), get("start", np.uint32).astype(np.int64), get("size", size_kind(length, seed)).astype(np.int64)
             codes = get("codes", np.uint32)
             at = np.cumsum(size) - size
             content = _content(codes, size)
@@ -502,7 +505,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, shar
     placed = rows.repartition("row_key")
     routed = placed.join(found.hint("shuffle_hash"), "row_key").select("doc_id", "row_key", "text", "found") \
         .mapInArrow(_candidate_spans(length, seed, shards), _ROUTED)
-    covered = routed.repartition(shards, "shard").mapInArrow(_match_spans(length), _COVERED) \
+    covered = routed.repartition(shards, "shard").mapInArrow(_match_spans(length, seed), _COVERED) \
         .groupBy("row_key").agg(F.collect_list("covered").alias("covered"))
     joined = placed.join(covered.hint("shuffle_hash"), "row_key", "left").select(F.col("id").alias("doc_id"), "text", "covered")
     return joined.mapInArrow(_remove(length), _RESULT)
