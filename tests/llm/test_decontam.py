@@ -58,14 +58,23 @@ def test_planted_items_are_found_and_clean_documents_left(spark, docs_of):
     texts, planted = _texts(rng, items)
     docs = docs_of([*enumerate(texts), (900, None), (901, ""), (None, items[3][1])]).selectExpr("*", "1 AS score", "2 AS hits")
     bench = spark.createDataFrame([*items, (500, None), (501, ""), (502, "?!")], "item_id long, text string")
-    for block in (20_000, 7):
-        got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench, index_items=block).collect()}
-        if block == 20_000:
-            assert got == planted | {(None, 3)}
-        assert planted <= got and {d for d, _ in got} == {d for d, _ in planted} | {None}
-        kept = decontam.keep_uncontaminated(docs, bench, index_items=block)
+    results = []
+    for size in (4 << 20, 900, 200):
+        rows = decontam.contaminated(docs, bench, index_bytes=size).collect()
+        results.append(sorted(((r.doc_id, r.item_id, round(r.score, 9), *tuple(r)[3:]) for r in rows), key=str))
+        assert {(r.doc_id, r.item_id) for r in rows} == planted | {(None, 3)}
+        kept = decontam.keep_uncontaminated(docs, bench, index_bytes=size)
         assert kept.columns == docs.columns
         assert {r.doc_id for r in kept.collect()} == (set(range(len(texts))) | {900, 901}) - {d for d, _ in planted}
+    assert results[0] == results[1] == results[2]                   # whatever the blocks
+
+
+def test_very_long_text(spark, docs_of):
+    rng = random.Random(4)
+    items = _items(rng, 5)
+    long = " ".join(f"z{rng.randrange(10 ** 6)}" for _ in range(200_000)) + " " + items[2][1]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontam.contaminated(docs_of([(1, long), (2, "x" * 1_000_000)]), bench).collect()] == [(1, 2)]
 
 
 def test_a_question_without_its_answer_is_no_leak(spark, docs_of):

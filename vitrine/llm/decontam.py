@@ -1,8 +1,10 @@
 """Benchmark decontamination: BM25 over an inverted index of test items, with block-max WAND.
 
-The index is made of the benchmark in blocks of about ``index_items`` items; each
+The index is made of the benchmark in blocks of about ``index_bytes`` of text; each
 block is broadcast in turn, so what is broadcast is bounded, and all documents are
-read against it (a block of queries against all rows).  A map over the documents:
+read against it (a block of queries against all rows).  Document frequencies, the number of items, their mean
+length and the longest are those of the whole benchmark, counted once in Spark, so the blocks do not
+change any score.  A map over the documents:
 
 1. Every text is cut into passages of ``2 * h`` words that overlap by ``h``, where ``h``
    is the longest item's number of words: an item copied into a text lies whole in a
@@ -33,12 +35,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitrine.session import materialize
+
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 QUESTION, ANSWER = 0.6, 0.5
 GRAM = 3
 GROUP = 8
-INDEX_ITEMS = 20_000
+INDEX_BYTES = 4 << 20
 TOKENS_AT_ONCE = 400_000
 
 _WORD = re.compile(r"\w+")
@@ -78,8 +82,18 @@ class Index(NamedTuple):
     longest: int
 
 
-def build_index(items: list[tuple[int, str]]) -> Index:
-    """Items without words are left out: nothing can hold them."""
+class Figures(NamedTuple):
+    """Of the whole benchmark: items with words, their mean and largest number of words, items of each term (of those asked for)."""
+    items: int
+    average: float
+    longest: int
+    frequency: dict[str, int]
+
+
+def build_index(items: list[tuple[int, str]], whole: Figures | None = None) -> Index:
+    """Index of a block of items; ``whole``: the benchmark's figures (None: the block is all of it).
+
+    Items without words are left out: nothing can hold them."""
     split = [(i, *item_parts(t or "")) for i, t in items]
     split = [(i, q, a) for i, q, a in split if q or a]
     terms: dict[str, int] = {}
@@ -92,10 +106,10 @@ def build_index(items: list[tuple[int, str]]) -> Index:
         rows += [(t, number, c) for t, c in count.items()]
     size = np.array([len(q) + len(a) for _, q, a in split], float)
     term, item, tf = (np.array([r[k] for r in rows], np.int64) for k in range(3))
-    df = np.bincount(term, minlength=len(terms))
     n = len(split)
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    average = size.mean() if n else 1.0
+    df = np.bincount(term, minlength=len(terms)) if whole is None else np.array([whole.frequency[t] for t in terms], np.int64)
+    every, average, longest = (n, size.mean() if n else 1.0, int(size.max()) if n else 1) if whole is None else whole[:3]
+    idf = np.log1p((every - df + 0.5) / (df + 0.5))
     weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[item] / average)) if n else np.zeros(0)
     share = weight / np.bincount(item, weight, n)[item] if n else weight
     order = np.lexsort((item, term))
@@ -107,7 +121,7 @@ def build_index(items: list[tuple[int, str]]) -> Index:
     first = np.flatnonzero(np.diff(key, prepend=-1)) if n else np.zeros(0, np.int64)
     return Index(terms, top, at, item, share, np.searchsorted(term[first], np.arange(len(terms) + 1)), item[first] // GROUP,
                  np.maximum.reduceat(share, first) if n else np.zeros(0), [i for i, _, _ in split],
-                 [(_grams(q), _grams(a)) for _, q, a in split], int(size.max()) if n else 1)
+                 [(_grams(q), _grams(a)) for _, q, a in split], longest)
 
 
 def _postings(at: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,27 +252,46 @@ def leak_finder(spark: SparkSession, index: Index, threshold: float, question: f
     return leaks
 
 
-def _indexes(benchmark: DataFrame, index_items: int):
-    """The benchmark's blocks, one at a time on the driver: about index_items items each."""
-    items = benchmark.where(F.col("text").isNotNull()).groupBy("item_id", "text").agg(F.lit(1).alias("one"))
-    blocks = max(1, -(-items.count() // index_items))
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _item_words(text: pa.Array) -> pa.Array:
+    return pa.array([sum(item_parts(t or ""), []) for t in text.to_pylist()], pa.list_(pa.string()))
+
+
+def _indexes(benchmark: DataFrame, index_bytes: int):
+    """The benchmark's blocks, one at a time on the driver: about index_bytes of text each, and the figures of their terms."""
+    items = benchmark.where(F.col("text").isNotNull()).groupBy("item_id", "text").agg(F.lit(1).alias("one")).drop("one")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // index_bytes))
+    if blocks == 1:
+        index = build_index([(r.item_id, r.text) for r in items.orderBy("item_id", "text").collect()])
+        if index.ids:
+            yield index
+        return
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).alias("block")
+    words = materialize(items.select("item_id", "text", block, _item_words("text").alias("words")), "decontam-items")
+    size = F.size("words")
+    count = words.where(size > 0).agg(F.count(F.lit(1)).alias("n"), F.avg(size).alias("average"), F.max(size).alias("longest")).first()
+    terms = words.select("block", F.explode(F.array_distinct("words")).alias("term"))
+    frequency = materialize(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "decontam-terms")
     for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        index = build_index([(r.item_id, r.text) for r in rows])
+        rows = words.where(F.col("block") == b).select("item_id", "text").orderBy("item_id", "text").collect()
+        own = frequency.join(terms.where(F.col("block") == b).select("term").distinct(), "term").collect()
+        index = build_index([(r.item_id, r.text) for r in rows], Figures(count.n, count.average or 1.0, count.longest or 1, {r.term: r.df for r in own}))
         if index.ids:
             yield index
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, question: float = QUESTION,
-                 answer: float = ANSWER, index_items: int = INDEX_ITEMS) -> DataFrame:
+                 answer: float = ANSWER, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """One row per document and test item that it holds: doc_id, item_id, score, question_overlap, answer_overlap,
     passage_start, passage_end (in words).
 
     Clean documents have no row.  NULL and empty texts, and items without words, have
-    none.  Repeated rows give repeated rows.  Empty tables give an empty result.
+    none.  Very long texts are read whole, passage by passage.  Repeated rows give repeated rows.  Other columns
+    are ignored.  Empty tables give an empty result.
     """
     found = None
-    for index in _indexes(benchmark, index_items):
+    for index in _indexes(benchmark, index_bytes):
         leaks = leak_finder(docs.sparkSession, index, threshold, question, answer)
         part = docs.select("doc_id", leaks(F.col("text")).alias("hits")).select("doc_id", F.explode("hits").alias("hit"))
         found = part if found is None else found.unionByName(part)
@@ -268,9 +301,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, question: float = QUESTION,
-                        answer: float = ANSWER, index_items: int = INDEX_ITEMS) -> DataFrame:
+                        answer: float = ANSWER, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """The documents that hold no test item, with all their columns."""
-    for index in _indexes(benchmark, index_items):
+    for index in _indexes(benchmark, index_bytes):
         leaks = leak_finder(docs.sparkSession, index, threshold, question, answer)
         docs = docs.where(F.size(leaks(F.col("`text`"))) == 0)
     return docs
