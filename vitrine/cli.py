@@ -49,6 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     ld.add_argument("--once", action="store_true")
     ld.add_argument("--tail", action="store_true", help="--source names files that are still written")
     ld.add_argument("--max-records-per-file", type=int, default=C.LANDING_ROLL_RECORDS)
+    ld.add_argument("--roll-bytes", type=int, help="roll files by bytes and commit them by manifest")
     return p
 
 
@@ -83,6 +84,11 @@ def main(argv: list[str] | None = None, spark=None):
         return job
 
     if args.command == "land":
+        if args.roll_bytes:
+            from vitrine.sinks.rolled import start_rolled
+            q = start_rolled(spark, _lines(spark, args), args.landing, args.checkpoint, args.roll_bytes, once=args.once)
+            _await(q)
+            return q
         from vitrine.streaming.landing import start_landing
         q = start_landing(_lines(spark, args), args.landing, args.checkpoint,
                           once=args.once, max_records_per_file=args.max_records_per_file)

@@ -48,6 +48,8 @@ WINDOW_SLIDE_MS = 15_000
 # --- fixed values: landing zone ------------------------------------------
 SOURCE_STREAM_TAG = "ecommerce_stream"
 LANDING_ROLL_SECONDS = 60
+LANDING_ROLL_BYTES = 10_485_760
+LANDING_IDLE_SECONDS = 30
 
 # Written in a row key in place of a part that is NULL.
 NULL_KEY_PART = "NULL"

@@ -381,3 +381,4 @@ FROM ev c WHERE event_type = 'CLICK' AND user_id IN (SELECT user_id FROM ev WHER
 UNION ALL
 SELECT o.user_id, 'orders', o.order_id, CAST(count(*) AS BIGINT)
 FROM ev o WHERE event_type = 'CHECKOUT_COMPLETED' AND user_id IN (SELECT user_id FROM ev WHERE event_type = 'CLICK') GROUP BY 1, 3""")
+ORACLE["land_rolled"] = ORACLE["land_raw_stream"]

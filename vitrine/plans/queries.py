@@ -31,6 +31,7 @@ from vitrine.plans.batch_etl import run_daily_etl
 from vitrine.schemas import EVENT_COLUMNS
 from vitrine.session import ensure_session_settings, materialize, scratch_path
 from vitrine.sinks.keyed import KeyedTable, by_prefix_and_time
+from vitrine.sinks.rolled import merge_idle, read_landed, start_rolled
 from vitrine.sinks.warehouse import Warehouse, read_partitioned_path, write_partitioned_path
 from vitrine.sources import json_lines as J
 from vitrine.sources.driver_events import noisy_event_log, read_driver_events
@@ -518,6 +519,21 @@ def q_stream_late_rate(spark, sf_dir):
     return with_late_pct(stream_job(spark, sf_dir, flush=False).counters())
 
 
+#: Bytes of a landed file in the registered query: small, so that files roll at every scale.
+ROLL_BYTES = 64 << 10
+
+
+@register("land_rolled")
+def q_land_rolled(spark, sf_dir):
+    """Landing with byte roll and manifests (K2), then the small files of the idle days merged."""
+    root = scratch_path(spark, "rolled")
+    for i, part in enumerate(arrival_slices(events(spark, sf_dir), STREAM_SLICES)):
+        _write_text(noisy_event_log(part), f"{root}/source/slice={i}")
+        _await(start_rolled(spark, L.line_stream(spark, f"{root}/source/*/*.txt"), f"{root}/landing", f"{root}/_chk", ROLL_BYTES, once=True))
+    merge_idle(spark, f"{root}/landing", 0, ROLL_BYTES)
+    return J.good_events(J.parse_json_lines(read_landed(spark, f"{root}/landing")))
+
+
 # ---------------------------------------------------------------- files that grow
 GROWING_LOGS = 4
 
