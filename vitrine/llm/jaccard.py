@@ -57,7 +57,7 @@ PAIRS_AT_ONCE = 1_000_000
 #: Sets of a shingle that each one is first tested with.
 NEIGHBOURS = 2
 #: Signatures that a task packs together.
-SIGNATURES_AT_ONCE = 400_000
+SIGNATURES_AT_ONCE = 200_000
 #: Ids of sets to look up are broadcast up to this many; beyond it the look-up is a shuffled join.
 BROADCAST_ROWS = 2_000_000
 NO_ID = 2 ** 63 - 1
@@ -166,6 +166,7 @@ def _read_set(text: pa.Array) -> pa.Array:
         values.append(value.astype(np.int64))
         base += len(value)
     cat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    release()
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate(offsets), pa.int32()), pa.array(cat(values)))
     return pa.StructArray.from_arrays([pa.array(cat(ids), pa.int64()), lists], ["id", "elements"])
 
@@ -561,6 +562,7 @@ def _set_id(text: pa.Array) -> pa.Array:
         piece = text[lo:lo + ROWS_AT_ONCE]
         row, value = shingle_sets(piece)
         out.append(_set_ids(row, value, np.bincount(row, minlength=len(piece))))
+    release()
     return pa.array(np.concatenate(out) if out else np.zeros(0, np.int64))
 
 

@@ -8,6 +8,7 @@ Python string per word.
 
 from __future__ import annotations
 
+import ctypes
 from contextlib import contextmanager
 from typing import NamedTuple
 
@@ -54,8 +55,11 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 
 def release() -> None:
-    """Gives freed Arrow memory back to the system: idle Python workers stay alive beside the next stage's."""
+    """Gives freed memory back to the system: idle Python workers stay alive beside the next stage's."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)          # (the allocator of glibc has it)
+    if trim is not None:
+        trim(0)
 
 
 class Words(NamedTuple):

@@ -21,6 +21,7 @@ runs for all texts of a batch at once, place by place.
 
 from __future__ import annotations
 
+import gc
 import re
 from typing import NamedTuple
 
@@ -30,6 +31,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitrine.llm.text import release
+
 TRAIN_DOCS = 4000
 TRAIN_CHARS = 24_000_000
 SEGMENT = 128
@@ -252,6 +255,8 @@ def train(texts: list[str], toxic: list[int]) -> Model:
     w, bias, start, move = _fit_chain(corpus, labels)
     keep = np.flatnonzero(np.abs(w) > 1e-3)
     model = Model({corpus.names[i]: float(w[i]) for i in keep}, float(bias), float(start), move, np.zeros(4), np.zeros(3), np.ones(3))
+    del corpus, labels, w, keep
+    release()
     score = _Emissions(model)
     parts = []
     for text in texts:                                # a text at a time: only its three inputs are kept
@@ -285,7 +290,13 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_
     rows = sample.withColumn("chars", chars).where(F.col("chars") <= train_chars).select("text", "toxic").collect()
     if not rows and not sample.isEmpty():
         raise ValueError(f"every labelled text of the sample is longer than {train_chars} characters")
-    return train([r.text for r in rows], [int(r.toxic) for r in rows])
+    texts, toxic = [r.text for r in rows], [int(r.toxic) for r in rows]
+    del rows
+    model = train(texts, toxic)
+    del texts
+    gc.collect()
+    release()                                        # the driver goes on: it need not keep what training took
+    return model
 
 
 # ---- scoring -------------------------------------------------------------------------------------------------------
