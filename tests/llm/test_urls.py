@@ -76,3 +76,28 @@ def test_mined_rules_and_verdicts_equal_brute_force(spark):
 
 def test_empty_tables(spark):
     assert urls.filter_urls(_pages(spark, []), _labels(spark, [])).count() == 0
+
+
+def test_chance_is_no_rule_and_held_out_pages_of_true_rules_are_right(spark):
+    """Labels that URLs do not tell give no rules under lift and interval; planted ones are found, and hold on pages never mined."""
+    import random
+    rng = random.Random(5)
+    word = lambda: rng.choice(["news", "shop", "blog", "about", "list", "item", "team", "help", "docs", "map"])
+    rows = []
+    for i in range(3000):
+        spam = rng.random() < 0.1
+        url = f"http://www.site{chr(97 + rng.randrange(20))}.com/{word()}/{'casino' if spam else word()}/{word()}"
+        rows.append((i, url, rng.random() < 0.25, (rng.random() < 0.9) if spam else (rng.random() < 0.2)))
+    df = spark.createDataFrame(rows, "page_id long, url string, chance boolean, told boolean")
+    by_chance = df.select("url", F.col("chance").alias("block"))
+    assert urls.mine_rules(by_chance, 0.002, 0.4).count() > 0
+    assert urls.mine_rules(by_chance, 0.002, 0.4, urls.MIN_LIFT, urls.LEVEL).count() == 0
+    rules = urls.mine_rules(df.where("page_id % 5 <> 0").select("url", F.col("told").alias("block")), min_lift=urls.MIN_LIFT, level=urls.LEVEL)
+    fired = urls.match_rules(df.where("page_id % 5 = 0"), rules).join(df.where("page_id % 5 = 0"), "url")
+    right, n = fired.agg(F.avg(F.col("told").cast("int")), F.count(F.lit(1))).first()
+    assert n >= 40 and right >= 0.8
+
+
+def test_wilson_low(spark):
+    got = spark.createDataFrame([(5, 8), (50, 80), (0, 4), (4, 4)], "a long, b long").select(urls.wilson_low(F.col("a"), F.col("b"), 1.96)).collect()
+    assert [round(r[0], 3) for r in got] == [0.306, 0.515, 0.0, 0.51]

@@ -22,7 +22,7 @@ def op2_secret_scan(spark, sf_dir):
 
 
 def op3_url_rules(spark, sf_dir):
-    return urls.filter_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+    return urls.filter_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"), min_lift=urls.MIN_LIFT, level=urls.LEVEL)
 
 
 def op4_ngram_jaccard_join(spark, sf_dir):

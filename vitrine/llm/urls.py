@@ -4,8 +4,9 @@ A URL becomes a set of tokens (registered domain, words of the host and of the
 path, names of query parameters).
 FP-growth mines the token sets of the labelled URLs together with the label
 ``=block``; every frequent set that holds the label is a rule (tokens -> block)
-with its support and confidence.  Rules under either threshold are pruned, and so
-are rules that a shorter rule of at least their confidence makes redundant.
+with its support and confidence.  Rules under either threshold are pruned, so are those
+without lift or whose confidence may be chance, and
+rules that a shorter rule of at least their confidence makes redundant.
 
 Matching uses an inverted index: (token, rule) pairs, joined with the tokens of
 the distinct URLs; a rule fires where all its tokens have met.  The index holds
@@ -15,6 +16,8 @@ small, else the same join is shuffled.
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +31,8 @@ MIN_CONFIDENCE = 0.5
 #: A rule also needs this many labelled URLs, so that few labels do not make every URL a rule.
 MIN_COUNT = 5
 BROADCAST_ROWS = 100_000
+#: What the registered query asks of a rule besides: lift, and a chance of at most 5 % that any rule at all is chance.
+MIN_LIFT, LEVEL = 1.5, 0.05
 LABEL = "=block"
 
 
@@ -63,8 +68,20 @@ def tokens(url: Column) -> Column:
     return F.filter(F.array_distinct(every), lambda x: F.length(x) > 2)
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(rule_tokens, support, confidence) from rows of (url, block)."""
+def wilson_low(hits: Column, of: Column, z: float) -> Column:
+    """The lower end of Wilson's interval for a share of `hits` in `of`."""
+    share, spread = hits / of, F.lit(z * z) / of
+    return (share + spread / 2 - F.sqrt(spread * (share * (1 - share) + spread / 4))) / (1 + spread)
+
+
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+               min_lift: float = 0.0, level: float | None = None) -> DataFrame:
+    """(rule_tokens, support, confidence) from rows of (url, block).
+
+    ``min_lift``: confidence over the share of blocked URLs; ``level``: the lower end of the confidence's interval
+    must lie above that share, at this level over all candidates together (so the more sets are looked at, the
+    wider each one's interval), and what a few URLs share by chance is no rule.
+    """
     baskets = materialize(labelled.select(
         F.concat(tokens(F.col("url")), F.when(F.col("block"), F.array(F.lit(LABEL))).otherwise(F.array().cast("array<string>"))).alias("items"))
         .where(F.size("items") > 0), "url-baskets")
@@ -73,7 +90,12 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
     sets = materialize(sets.select(F.array_sort("items").alias("items"), "freq"), "url-itemsets")
     blocked = sets.where(F.array_contains("items", LABEL) & (F.size("items") > 1)) \
         .select(F.array_remove("items", LABEL).alias("items"), F.col("freq").alias("both"))
-    rules = blocked.join(sets, "items").select(F.col("items").alias("rule_tokens"), (F.col("both") / F.lit(max(n, 1))).alias("support"),
+    base = baskets.where(F.array_contains("items", LABEL)).count() / max(n, 1)
+    told = F.col("both") / F.col("freq") >= min_lift * base
+    if level is not None:
+        z = NormalDist().inv_cdf(1 - level / max(1, blocked.count()))
+        told &= wilson_low(F.col("both"), F.col("freq"), z) > base
+    rules = blocked.join(sets, "items").where(told).select(F.col("items").alias("rule_tokens"), (F.col("both") / F.lit(max(n, 1))).alias("support"),
                                                (F.col("both") / F.col("freq")).alias("confidence")) \
         .where(F.col("confidence") >= min_confidence)
     # Redundant: the rule without one of its tokens is at least as confident.
@@ -97,7 +119,8 @@ def match_rules(urls: DataFrame, rules: DataFrame, broadcast_rows: int = BROADCA
         .select("url", F.col("best.confidence").alias("confidence"), F.split("best.rule_id", " ").alias("rule_tokens"))
 
 
-def filter_urls(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def filter_urls(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+                min_lift: float = 0.0, level: float | None = None) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, confidence, rule_tokens.
 
     ``labels``: (doc_id, quality, toxic) of the page with that id.  A page counts as
@@ -108,7 +131,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SU
     """
     marks = labels.groupBy("doc_id").agg(F.max((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("block"))
     labelled = pages.select("page_id", "url").join(marks, F.col("page_id") == F.col("doc_id")).select("url", "block")
-    rules = mine_rules(labelled, min_support, min_confidence)
+    rules = mine_rules(labelled, min_support, min_confidence, min_lift, level)
     fired = match_rules(pages, rules).withColumnRenamed("url", "_url")
     judged = pages.select("page_id", "url", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     judged = judged.withColumn("given", given_rule(F.col("host"), F.col("path"))) \
