@@ -549,7 +549,8 @@ def ngram_groups(docs: DataFrame, **limits: int) -> DataFrame:
     Texts without words (NULL, empty) have no shingles and are linked with nothing.
     Equal sets are linked.  A NULL doc_id counts as the largest, and its component's
     id is NULL only if the component has no other.  Repeated rows are linked with
-    each other.  An empty table gives an empty result.
+    each other.  Very long texts are sets like others, in bands of their size.  Other columns are ignored.  An
+    empty table gives an empty result.
     """
     real = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
     return _grouped(docs, **limits).select(real("doc_id"), "n_shingles", real("component_id"), "set_id")

@@ -84,7 +84,7 @@ def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, per_source: int
 
     Every token of every document is in exactly one piece; a text without tokens
     is one piece of none.  NULL sources count as one source.  An empty table gives
-    an empty result.
+    an empty result.  Repeated rows are documents of their own; a very long text fills bins of its own.
     """
     rows = packing_rows(docs)
     lots = max(1, -(-rows.count() // lot_rows))

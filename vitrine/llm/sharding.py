@@ -80,7 +80,8 @@ def shard_rows(docs: DataFrame) -> DataFrame:
 def vector_shards(docs: DataFrame, shards: int = SHARDS, heavy: int = HEAVY, lot_groups: int = LOT_GROUPS) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard, tokens.
 
-    An empty table gives an empty result.  Repeated rows are rows of one group.
+    An empty table gives an empty result.  Repeated rows are rows of one group.  A very long
+    text is one group of many bytes, placed whole.  Other columns are ignored.
     """
     spark = docs.sparkSession
     rows = shard_rows(docs)

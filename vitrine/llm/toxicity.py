@@ -357,8 +357,8 @@ def tagger(spark: SparkSession, model: Model):
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, spans (toxic runs, code points).
 
-    NULL texts count as empty; those get the score of a text without tokens.  An
-    empty table gives an empty result; without labels every score is 0.
+    NULL texts count as empty; those get the score of a text without tokens.  Very long texts are
+    scored whole, repeated rows each.  An empty table gives an empty result; without labels every score is 0.
     """
     tag = tagger(docs.sparkSession, fit(docs, labels))
     scored = docs.select("doc_id", tag(F.col("text")).alias("t"))

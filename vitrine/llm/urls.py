@@ -126,7 +126,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SU
     ``labels``: (doc_id, quality, toxic) of the page with that id.  A page counts as
     labelled ``block`` when its text is of quality 0 or toxic; the label is no input
     of a verdict.  Without a rule that fits or fires the verdict is ``allow``.  NULL
-    and malformed URLs have empty host and path.  Empty tables give no rules, or an
+    and malformed URLs have empty host and path.  Very long URLs are read whole, repeated rows judged each.  Empty tables give no rules, or an
     empty result.
     """
     marks = labels.groupBy("doc_id").agg(F.max((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("block"))
