@@ -1,8 +1,9 @@
 import random
 from collections import defaultdict
 
+import pyarrow as pa
 from llm_cases import ASCII_LOWER, WORD
-from vitrine.llm import packing
+from vitrine.llm import packing, text
 
 
 def _naive(sizes, sources, clusters, capacity, per_source):
@@ -66,3 +67,36 @@ def test_empty_table_and_large_ids(docs_of):
     assert packing.best_fit_packing(docs_of([])).count() == 0
     big = 2 ** 62 + 1
     assert {r.doc_id for r in packing.best_fit_packing(docs_of([(big, "a b"), (None, "c")])).collect()} == {big, None}
+
+
+def test_words_are_counted_without_a_string_for_each(docs_of, corpus, monkeypatch):
+    """No word strings in the JVM, texts in small Arrow batches, and the counts of the pattern."""
+    seen = []
+
+    def spy(df, name):
+        seen.append((df._jdf.queryExecution().optimizedPlan().toString(),
+                     int(df.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))))
+        return kept(df, name)
+
+    kept = packing.materialize
+    monkeypatch.setattr(packing, "materialize", spy)
+    docs = docs_of(corpus)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = docs.sparkSession.conf.get(key)
+    rows = packing.packing_rows(docs)
+    assert "regexp_" not in seen[0][0] and seen[0][1] <= text.BATCH_ROWS
+    assert docs.sparkSession.conf.get(key) == before
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.tokens) for r in rows.collect()))
+    assert got == sorted(((i is None, i or 0, len(WORD.findall(t or ""))) for i, t in corpus))
+
+
+def test_word_counts_across_chunks_and_slices(monkeypatch):
+    monkeypatch.setattr(text, "CHUNK", 7)
+    rng = random.Random(4)
+    texts = [None if rng.random() < 0.1 else "".join(rng.choice("ab\u00e9\u2581 \t\n\x0b\x1c\x85") for _ in range(rng.choice([0, 1, 3, 9, 60])))
+             for _ in range(400)]
+    want = [len(WORD.findall(t or "")) for t in texts]
+    for column in (pa.array(texts), pa.array(texts, pa.large_string()), pa.chunked_array([texts[:9], texts[9:]], pa.string())):
+        assert text.word_counts(column).tolist() == want
+    assert text.word_counts(pa.array(texts)[5:77]).tolist() == want[5:77]
+    assert text.word_counts(pa.array([], pa.string())).tolist() == []

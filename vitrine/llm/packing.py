@@ -19,11 +19,13 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitrine.llm.exact import normalised_sha256
-from vitrine.llm.text import WORD_PATTERN
+from vitrine.llm.text import BATCH_ROWS, batches_of, release, word_counts
 from vitrine.session import materialize
 
 CAPACITY = 2048
@@ -66,16 +68,24 @@ def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int, per
     return out
 
 
+@F.arrow_udf(T.LongType())
+def _tokens(text: pa.Array) -> pa.Array:
+    """Words of each text, counted on its bytes: regexp_count makes a string of every word in the JVM first."""
+    out = pa.array(word_counts(text))
+    release()
+    return out
+
+
 def packing_rows(docs: DataFrame) -> DataFrame:
     """The narrow rows that decide, written once: row, doc_id, source, cluster, tokens.
 
     Cluster: documents of equal text after lower-casing A-Z.  Empty texts have no cluster.
     """
     text = F.coalesce("text", F.lit(""))
-    return materialize(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("source").cast("string"),
-        F.when(text != "", normalised_sha256("text")).alias("cluster"),
-        F.regexp_count(text, F.lit(WORD_PATTERN)).cast("long").alias("tokens")), "packing-rows")
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        return materialize(docs.select(
+            F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("source").cast("string"),
+            F.when(text != "", normalised_sha256("text")).alias("cluster"), _tokens("text").alias("tokens")), "packing-rows")
 
 
 def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE,

@@ -141,6 +141,21 @@ def words(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> Words:
     return Words(cat(hashes, np.uint64), start, cat(ends, np.int64), np.searchsorted(start, offsets), data)
 
 
+def word_counts(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The number of words of each text, a chunk at a time."""
+    data, offsets = utf8(column)
+    out = np.zeros(len(offsets) - 1, np.int64)
+    cuts = _cuts(data, offsets)
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        keep = ~_SEPARATOR[data[lo:hi]]
+        first = keep.copy()
+        first[1:] &= ~keep[:-1]
+        inner = offsets[np.searchsorted(offsets, lo):np.searchsorted(offsets, hi)] - lo
+        first[inner] = keep[inner]
+        out += np.bincount(np.searchsorted(offsets, np.flatnonzero(first) + lo, "right") - 1, minlength=len(out))
+    return out
+
+
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n words that start at each place (the last n - 1 places are left out)."""
     m = len(hashes) - n + 1
